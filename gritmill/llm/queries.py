@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gritmill.llm import capping, encoding, sampling, splits
+from gritmill.functions.text import clean_source
+from gritmill.llm import capping, encoding, leaks, overlap, sampling, splits
 from gritmill.session import cut_lineage, table
 
 #: Limit of a contributor, in percent of all distinct records.
@@ -53,6 +54,32 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _overlaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return overlap.overlaps(_gold(spark, sf_dir), "record_id", "normalized_text", splits.unified_split(), "source_id")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = overlap.record_pairs(*_overlaps(spark, sf_dir))
+    return pairs.select(F.least("e_record", "t_record").alias("record_id_a"), F.greatest("e_record", "t_record").alias("record_id_b")).distinct()
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs and evaluation records per split and clean source."""
+    pairs = overlap.record_pairs(*_overlaps(spark, sf_dir)).withColumn("source_id", clean_source("e_extra"))
+    per_record = pairs.groupBy("e_side", "source_id", "e_record").agg(F.count("*").alias("n"), F.max("coverage").alias("c"))
+    return per_record.groupBy(F.col("e_side").alias("split"), "source_id").agg(F.sum("n").alias("pairs"), F.count("*").alias("records"), F.round(F.avg("c"), 4).alias("mean_coverage"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that leaked, with the number of documents."""
+    found = p9_found(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("documents"))
+    return found.join(table(spark, sf_dir, "eval_items").select("item_id", "suite"), "item_id").select("suite", "item_id", "documents")
+
+
 #: (dimension, table, column)
 DIMENSIONS = (("main_category", "silver_records", "main_category"), ("evaluation_head", "gold_benchmark", "evaluation_head"), ("task_type", "gold_benchmark", "task_type"))
 
@@ -90,8 +117,10 @@ def p8_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_capped": p1_capped, "p1_report": p1_report,
     "p2_found": p2_found, "p2_splits": p2_splits, "p2_report": p2_report,
+    "p4_found": p4_found, "p4_report": p4_report,
     "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample,
     "p8_ids": p8_ids, "p8_offsets": p8_offsets,
+    "p9_found": p9_found, "p9_report": p9_report,
 }
 
 _SOURCE = "nullif(trim(regexp_replace(lower(source_id), '[^a-z0-9]+', '_', 'g'), '_'), '')"
