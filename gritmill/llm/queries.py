@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gritmill.functions.text import clean_source
-from gritmill.llm import capping, encoding, leaks, overlap, sampling, splits
+from gritmill.llm import capping, encoding, leaks, overlap, sampling, sentences, splits
 from gritmill.session import cut_lineage, table
 
 #: Limit of a contributor, in percent of all distinct records.
@@ -80,6 +80,18 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(table(spark, sf_dir, "eval_items").select("item_id", "suite"), "item_id").select("suite", "item_id", "documents")
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return sentences.split_sentences(documents, "doc_id", "text", sentences.fit(documents, "doc_id", "text"))
+
+
+def p10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units and their mean length per source."""
+    spans = p10_found(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("units"), F.sum(F.col("end_at") - F.col("start_at")).alias("points"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", clean_source("source").alias("source")).join(spans, "doc_id", "left")
+    return rows.groupBy("source").agg(F.count("*").alias("documents"), F.sum("units").alias("units"), F.round(F.sum("points") / F.sum("units"), 3).alias("mean_length"))
+
+
 #: (dimension, table, column)
 DIMENSIONS = (("main_category", "silver_records", "main_category"), ("evaluation_head", "gold_benchmark", "evaluation_head"), ("task_type", "gold_benchmark", "task_type"))
 
@@ -121,6 +133,7 @@ QUERIES = {
     "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample,
     "p8_ids": p8_ids, "p8_offsets": p8_offsets,
     "p9_found": p9_found, "p9_report": p9_report,
+    "p10_found": p10_found, "p10_counts": p10_counts,
 }
 
 _SOURCE = "nullif(trim(regexp_replace(lower(source_id), '[^a-z0-9]+', '_', 'g'), '_'), '')"
