@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gritmill.functions.text import clean_source
-from gritmill.llm import capping, encoding, leaks, overlap, sampling, sentences, splits
+from gritmill.llm import capping, encoding, leaks, overlap, pairs, sampling, sentences, splits
 from gritmill.session import cut_lineage, table
 
 #: Limit of a contributor, in percent of all distinct records.
@@ -54,19 +54,27 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.defective(table(spark, sf_dir, "gold_benchmark"), table(spark, sf_dir, "sft_examples"))
+
+
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_found(spark, sf_dir).groupBy("table_name", "defect").agg(F.count("*").alias("pairs"))
+
+
 def _overlaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return overlap.overlaps(_gold(spark, sf_dir), "record_id", "normalized_text", splits.unified_split(), "source_id")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = overlap.record_pairs(*_overlaps(spark, sf_dir))
-    return pairs.select(F.least("e_record", "t_record").alias("record_id_a"), F.greatest("e_record", "t_record").alias("record_id_b")).distinct()
+    found = overlap.record_pairs(*_overlaps(spark, sf_dir))
+    return found.select(F.least("e_record", "t_record").alias("record_id_a"), F.greatest("e_record", "t_record").alias("record_id_b")).distinct()
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs and evaluation records per split and clean source."""
-    pairs = overlap.record_pairs(*_overlaps(spark, sf_dir)).withColumn("source_id", clean_source("e_extra"))
-    per_record = pairs.groupBy("e_side", "source_id", "e_record").agg(F.count("*").alias("n"), F.max("coverage").alias("c"))
+    found = overlap.record_pairs(*_overlaps(spark, sf_dir)).withColumn("source_id", clean_source("e_extra"))
+    per_record = found.groupBy("e_side", "source_id", "e_record").agg(F.count("*").alias("n"), F.max("coverage").alias("c"))
     return per_record.groupBy(F.col("e_side").alias("split"), "source_id").agg(F.sum("n").alias("pairs"), F.count("*").alias("records"), F.round(F.avg("c"), 4).alias("mean_coverage"))
 
 
@@ -129,6 +137,7 @@ def p8_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_capped": p1_capped, "p1_report": p1_report,
     "p2_found": p2_found, "p2_splits": p2_splits, "p2_report": p2_report,
+    "p3_found": p3_found, "p3_report": p3_report,
     "p4_found": p4_found, "p4_report": p4_report,
     "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample,
     "p8_ids": p8_ids, "p8_offsets": p8_offsets,
