@@ -40,10 +40,10 @@ _SPEECH = re.compile("[^。！？!?\n]{0,24}?(?:问道|说道|答道|喊道|写
 _PARTICLE = re.compile("(?:と|って|は|が|を|も|の|に|で|という)")
 
 _BLANK = r"[^\S\r\n]"
-_BLOCK_END = re.compile(rf"(?:\r\n|\r|\n)(?:{_BLANK}*(?:\r\n|\r|\n))+")
+_BLOCK_END = re.compile(rf"(?>\r\n|\r|\n)(?:{_BLANK}*(?>\r\n|\r|\n))+")
 _LIST = re.compile(rf"{_BLANK}*(?:[-*+•‣◦▪·]|(\d{{1,3}})[.)])(?={_BLANK})")
 _HEADING = re.compile(rf"{_BLANK}*#{{1,6}}(?={_BLANK})")
-_LINE = re.compile(r"[^\r\n]*(?:\r\n|\r|\n|$)")
+_LINE = re.compile(r"[^\r\n]*(?>\r\n|\r|\n|$)")
 _CLOSE = "\"”»“’'」』）)\\]】》"
 _STOPS = re.compile(rf"(?:\.{{2,}}|…+|[.!?。！？．।॥؟۔‼⁇⁈⁉])[.!?。！？।؟…]*(?:{_BLANK}?»|[{_CLOSE}])*")
 _THAI = re.compile("[ก-๛]")
