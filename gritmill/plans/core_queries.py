@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gritmill.functions import classify, hashing, text
 from gritmill.operators import benchmark, curate, dedup, evaluate, predict, reports, sft, validate
+from gritmill.plans import sql
 from gritmill.session import table
 
 SEED = 42
@@ -258,4 +259,4 @@ QUERIES = {
         cross_source_overlap, coverage_report, null_counts, stability_stats, json_extract, validation_issues, majority_baseline, top_targets, heading_sections,
     )
 }
-SQL: dict[str, str] = {}
+SQL = sql.SQL
