@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,7 +81,6 @@ def clean_lines(value: Column | str) -> Column:
 
 def nfc(value: Column | str) -> Column:
     """Composed characters; texts of ASCII only stay in the JVM."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def compose(texts: pd.Series) -> pd.Series:

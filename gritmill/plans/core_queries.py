@@ -9,6 +9,7 @@ from gritmill.functions import classify, hashing, text
 from gritmill.operators import benchmark, curate, dedup, evaluate, predict, reports, sft, validate
 from gritmill.plans import sql
 from gritmill.session import table
+from gritmill.streaming import events
 
 SEED = 42
 
@@ -260,3 +261,14 @@ QUERIES = {
     )
 }
 SQL = sql.SQL
+
+
+def event_windows(spark, sf_dir):
+    return events.windowed_counts(table(spark, sf_dir, "events"))
+
+
+def event_sessions(spark, sf_dir):
+    return events.sessions(table(spark, sf_dir, "events"))
+
+
+QUERIES |= {"event_windows": event_windows, "event_sessions": event_sessions}
