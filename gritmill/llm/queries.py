@@ -176,3 +176,26 @@ SQL = {
       SELECT t.dimension, t.category FROM sampling_targets t LEFT JOIN c ON c.dimension = t.dimension AND c.k = {_CATEGORY.format('t.category')}
       WHERE coalesce(c.n, 0) < t.target_share * t.sample_size OR coalesce(c.n, 0) < t.min_rows""",
 }
+
+
+def _draw(dimension: str, name: str, column: str) -> str:
+    return f"""(WITH pop AS (SELECT record_id, min({_CATEGORY.format(column)}) AS k FROM {name} WHERE record_id IS NOT NULL GROUP BY 1),
+  rk AS (SELECT record_id, k, row_number() OVER (PARTITION BY k ORDER BY md5('42' || record_id), record_id) AS r FROM pop WHERE k IS NOT NULL),
+  av AS (SELECT k, count(*) AS n FROM rk GROUP BY k),
+  tg AS (SELECT {_CATEGORY.format('category')} AS k, min_by(category, target_id) AS category, min_by(target_share * sample_size, target_id) AS wanted, min_by(coalesce(min_rows, 0), target_id) AS least_rows
+    FROM sampling_targets WHERE dimension = '{dimension}' GROUP BY 1),
+  pl AS (SELECT tg.*, coalesce(n, 0) AS n, CASE WHEN coalesce(n, 0) > 0 THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, wanted / n)) ELSE 0 END AS p FROM tg LEFT JOIN av USING (k)),
+  bs AS (SELECT *, ('0x' || substr(sha1('42'), 1, 8))::BIGINT / 4294967296.0 + coalesce(sum(p * n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM pl),
+  cr AS (SELECT rk.record_id, rk.k, bs.category, r, base, p, least_rows, floor(round(base + r * p, 9)) > floor(round(base + (r - 1) * p, 9)) AS crossed, floor(round(base + (r - 1) * p, 9)) - floor(round(base, 9)) AS sofar FROM rk JOIN bs USING (k)),
+  dr AS (SELECT *, least_rows - count(*) FILTER (crossed) OVER (PARTITION BY k) AS missing FROM cr)
+  SELECT '{dimension}' AS dimension, record_id, k, category, crossed, NOT crossed AND r - 1 - sofar < missing AS by_floor FROM dr)"""
+
+
+_DRAWN = "dr AS (" + " UNION ALL ".join(f"SELECT * FROM {_draw(d, n, c)}" for d, n, c in DIMENSIONS) + ")"
+SQL |= {
+    "p6_sample": f"WITH {_DRAWN} SELECT dimension, record_id, category, by_floor FROM dr WHERE crossed OR by_floor",
+    "p6_report": f"""WITH {_DRAWN}, c AS ({' UNION ALL '.join(_counts(n, c, d) for d, n, c in DIMENSIONS)}), s AS (SELECT dimension, k, count(*) FILTER (crossed OR by_floor) AS selected, count(*) FILTER (by_floor) AS from_floor FROM dr GROUP BY ALL)
+      SELECT t.dimension, t.category, t.target_share, t.min_rows, t.target_share * t.sample_size AS wanted, coalesce(c.n, 0) AS available, coalesce(s.selected, 0) AS selected, coalesce(s.from_floor, 0) AS from_floor,
+      coalesce(c.n, 0) < t.target_share * t.sample_size AS capped, coalesce(c.n, 0) < t.min_rows AS below_floor
+      FROM sampling_targets t LEFT JOIN c ON c.dimension = t.dimension AND c.k = {_CATEGORY.format('t.category')} LEFT JOIN s ON s.dimension = t.dimension AND s.k = {_CATEGORY.format('t.category')}""",
+}
