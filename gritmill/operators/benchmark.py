@@ -80,7 +80,8 @@ def stratified_cap(df: DataFrame, most: int, strata: list[str], identifier: str,
         condition = condition & F.col(c).eqNullSafe(F.col(f"__gm_{c}"))
     rows = keyed.join(broadcast_below(renamed, MAX_BROADCAST_STRATA), condition)
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy("__gm_h", identifier))
-    rows = rows.withColumn("__gm_rank", rank)
+    # a row beyond twice the size can be neither drawn nor filled in; a literal bound lets Spark limit each stratum before the shuffle
+    rows = rows.withColumn("__gm_rank", rank).where(F.col("__gm_rank") <= 2 * max(1, most))
     first = rows.where(F.col("__gm_rank") <= F.col("__gm_take"))
     rest = rows.where(F.col("__gm_rank") > F.col("__gm_take")).where(F.col("__gm_taken") < most).orderBy("__gm_h", identifier).limit(most)
     # the fill needs only as many rows as are missing, by the same hash order
@@ -93,7 +94,8 @@ def quota_sample(df: DataFrame, category: str, identifier: str, quotas: dict[str
     keyed = df.withColumn("__gm_h", F.sha1(F.concat(F.lit(f"{seed}:"), F.col(identifier))))
     quota = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in quotas.items() for x in p]), F.col(category)), F.lit(default)) if quotas else F.lit(default)
     rank = F.row_number().over(Window.partitionBy(category).orderBy("__gm_h", identifier))
-    kept = keyed.withColumn("__gm_rank", rank).where(F.col("__gm_rank") <= quota)
+    largest = max([default, *quotas.values()])
+    kept = keyed.withColumn("__gm_rank", rank).where(F.col("__gm_rank") <= largest).where(F.col("__gm_rank") <= quota)
     return kept.orderBy("__gm_h", identifier).limit(most).select(*df.columns)
 
 

@@ -20,7 +20,7 @@ def first_wins(df: DataFrame, key: str, order: list[str], among: Column | None =
 
 
 def once(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The first delivery of each key by ``order``; repeated deliveries of a key are few, so a window does."""
+    """The first delivery of each key by ``order``. The literal rank lets Spark keep one row per key and task before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last()))
     return df.withColumn("__gm_rank", rank).where("__gm_rank = 1").drop("__gm_rank")
 

@@ -81,7 +81,8 @@ def judged(gold: DataFrame, order: list[str], leakage: str = "exclude_from_train
     rows share needs no window.
     """
     rows = flagged(gold, seed).withColumn("__gm_own", own_reason(leakage)).withColumn("__gm_order", F.struct(*order))
-    first = rows.where("__gm_own is null").groupBy("pair_hash").agg(F.min("__gm_order").alias("__gm_first"))
+    # the condition is within the aggregate: a filter would be pushed down and compute the flags again
+    first = rows.groupBy("pair_hash").agg(F.min(F.when(F.col("__gm_own").isNull(), F.col("__gm_order"))).alias("__gm_first"))
     rows = rows.join(first, "pair_hash", "left")
     duplicate = F.coalesce(F.col("__gm_order") > F.col("__gm_first"), F.lit(False))
     return rows.withColumn("reason", F.when(duplicate, "duplicate_prompt_target").otherwise(F.col("__gm_own"))).drop("__gm_own", "__gm_order", "__gm_first")

@@ -264,11 +264,11 @@ SQL = sql.SQL
 
 
 def event_windows(spark, sf_dir):
-    return events.windowed_counts(table(spark, sf_dir, "events"))
+    return events.windowed_counts(table(spark, sf_dir, "events")).withColumn("start", F.unix_timestamp("start"))
 
 
 def event_sessions(spark, sf_dir):
-    return events.sessions(table(spark, sf_dir, "events"))
+    return events.sessions(table(spark, sf_dir, "events")).withColumns({"start": F.unix_timestamp("start"), "end": F.unix_timestamp("end")})
 
 
 QUERIES |= {"event_windows": event_windows, "event_sessions": event_sessions}

@@ -264,3 +264,41 @@ SQL = {
       r AS (SELECT *, row_number() OVER (PARTITION BY main_category ORDER BY n DESC, p) AS k, sum(n) OVER (PARTITION BY main_category) AS t FROM c) SELECT main_category, gold_label AS label, round(n / t, 6) AS share FROM r WHERE k = 1""",
     "top_targets": f"WITH {GOLD} SELECT expected_output, count(*) AS n FROM gb GROUP BY 1 ORDER BY n DESC, expected_output NULLS LAST LIMIT 25",
 }
+
+
+_SILVER_COLUMNS = (
+    "record_id source_dataset source_type main_category attack_name attack_family label binary_label mitre_tactic mitre_technique_id cwe_id cve_id severity severity_score platform language protocol "
+    "ecosystem package_name url domain ip timestamp raw_text features_json source_file license notes schema_version ingested_at"
+).split()
+
+
+def _issues(table: str, name: str, checks: dict[str, str], repeated: tuple[str, ...]) -> str:
+    parts = [f"SELECT '{name}' AS table_name, {quoted(i)} AS issue FROM {table} WHERE {c}" for i, c in checks.items()]
+    parts += [f"SELECT '{name}', 'repeated {c}' FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1" for c in repeated]
+    return " UNION ALL ".join(parts)
+
+
+_UNIFIED_CHECKS = {f"missing {c}": f"{filled(c)} IS NULL" for c in ("record_id", "source_id", "domain", "normalized_text", "label", "dedup_hash", "split")} | {
+    "unknown domain": f"{filled('domain')} IS NOT NULL AND domain NOT IN ({', '.join(quoted(d) for d in (*DOMAIN_KEYWORDS, 'miscellaneous'))})",
+    "unknown split": f"{filled('split')} IS NOT NULL AND split NOT IN ('train', 'val', 'test')",
+    "quality outside 0..1": "quality_score IS NULL OR isnan(quality_score) OR NOT quality_score BETWEEN 0 AND 1",
+}
+_SILVER_CHECKS = {f"missing {c}": f"{filled(f'CAST({c} AS VARCHAR)')} IS NULL" for c in ("record_id", "source_dataset", "source_type", "main_category", "label", "binary_label", "source_file", "license", "schema_version", "ingested_at")} | {
+    "schema version": "schema_version <> '1.0.0'",
+    "binary label": "binary_label NOT IN (0, 1)",
+    "severity": f"{filled('severity')} IS NOT NULL AND lower(severity) NOT IN ('info', 'low', 'medium', 'high', 'critical', 'unknown')",
+    "score outside 0..10": "NOT isnan(severity_score) AND NOT severity_score BETWEEN 0 AND 10",
+    "unsafe text": "NOT (" + " AND ".join(f"NOT regexp_matches(coalesce(raw_text, ''), {quoted(p)})" for p in SECRETS) + ")",
+}
+
+SQL |= {
+    "event_windows": "SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL",
+    "event_sessions": """WITH l AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), s AS (SELECT *, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM l)
+      SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, CAST(floor(epoch(max(ts) + INTERVAL 30 MINUTE)) AS BIGINT) AS "end", count(*) AS n FROM s GROUP BY user_id, k""",
+    "null_counts": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL{f' OR isnan({c})' if c == 'severity_score' else ''}) AS nulls, count(*) AS rows FROM silver_records" for c in _SILVER_COLUMNS),
+    "validation_issues": f"WITH i AS ({_issues('gold_unified', 'gold_unified', _UNIFIED_CHECKS, ('record_id', 'dedup_hash'))} UNION ALL {_issues('silver_records', 'silver_records', _SILVER_CHECKS, ('record_id',))}) SELECT table_name, issue, count(*) AS n FROM i GROUP BY ALL",
+    "chat_turns": """WITH m AS (SELECT DISTINCT example_id, CASE WHEN json_valid(messages_json) THEN CAST(messages_json AS JSON) END AS j FROM sft_examples),
+      t AS (SELECT example_id, j, json_array_length(j) AS turns, list_transform(json_extract_string(j, '$[*].role'), lambda r: r = 'assistant') AS a FROM m),
+      p AS (SELECT *, len(a) - list_position(list_reverse(a), true) + 1 AS place FROM t)
+      SELECT example_id, CAST(turns AS INTEGER) AS turns, CAST(CASE WHEN list_contains(a, true) THEN place - 1 END AS INTEGER) AS context_turns, CASE WHEN list_contains(a, true) THEN json_extract_string(j, '$[' || (place - 1) || '].content') END AS answer FROM p""",
+}
