@@ -137,6 +137,7 @@ class Pair:
     def __init__(self, prompt: str, record: str, instruction: str, answer: str | None, broken: bool = False):
         self.prompt, self.record, self.instruction, self.answer, self.broken = prompt, record, instruction, (answer or "").strip(), broken
         self._facts: dict | None = None
+        self._slots: np.ndarray | None = None
 
     def facts(self) -> dict:
         """The exact conditions of the defects that have one."""
@@ -177,6 +178,11 @@ class Pair:
             "other_language": f["foreign"],
         }
 
+    def slots(self) -> np.ndarray:
+        if self._slots is None:
+            self._slots = _slots(self.features())
+        return self._slots
+
     def features(self) -> list[str]:
         f, p = self.facts(), self.possible()
         out = ["bias", f"size={min(int(np.log2(f['size'] + 1)), 7)}", f"cover={min(int(f['cover'] * 10), 10)}"]
@@ -206,7 +212,7 @@ class Classifier:
 
     def defect(self, pair: Pair, slack: float = 0.0) -> str | None:
         """The first label, in the order of _ORDER, over its threshold less ``slack`` whose exact condition holds."""
-        scores = self.weights[:, _slots(pair.features())].sum(axis=1) - self.thresholds + slack
+        scores = self.weights[:, pair.slots()].sum(axis=1) - self.thresholds + slack
         possible = pair.possible()
         # a refusal may also be unfinished or in another language
         return min((k for s, k in zip(scores.tolist(), DEFECTS) if s > 0 and possible[k]), key=_ORDER.get, default=None)
@@ -279,7 +285,7 @@ def train(pairs: list[Pair], seed: int = 42) -> Classifier:
         rng.shuffle(examples)
         # several labels at once: a refusal in another language is both
         y = np.array([[float(label is not None and (label == k or (k in hard and p.possible()[k]))) for k in DEFECTS] for p, label in examples])
-        slots = [_slots(p.features()) for p, _ in examples]
+        slots = [p.slots() for p, _ in examples]
         held = np.arange(len(examples)) % 5 == 0
         w = _fit([s for s, h in zip(slots, held) if not h], y[~held], 60)
         scores = np.array([w[:, s].sum(axis=1) for s, h in zip(slots, held) if h])
