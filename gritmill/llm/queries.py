@@ -104,26 +104,24 @@ def p10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 DIMENSIONS = (("main_category", "silver_records", "main_category"), ("evaluation_head", "gold_benchmark", "evaluation_head"), ("task_type", "gold_benchmark", "task_type"))
 
 
-def _each_dimension(spark: SparkSession, sf_dir: str, what) -> DataFrame:
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
-    for dimension, name, column in DIMENSIONS:
-        people = sampling.population(table(spark, sf_dir, name), "record_id", column)
-        targets = table(spark, sf_dir, "sampling_targets").where(F.col("dimension") == dimension)
-        rows = what(people, targets).withColumn("dimension", F.lit(dimension))
+    for name in dict.fromkeys(n for _, n, _ in DIMENSIONS):
+        rows = sampling.population(table(spark, sf_dir, name), "record_id", {d: c for d, n, c in DIMENSIONS if n == name})
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _each_dimension(spark, sf_dir, sampling.report).where("capped or below_floor").select("dimension", "category")
+    return p6_report(spark, sf_dir).where("capped or below_floor").select("dimension", "category")
 
 
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _each_dimension(spark, sf_dir, sampling.report)
+    return sampling.report(_people(spark, sf_dir), table(spark, sf_dir, "sampling_targets"))
 
 
 def p6_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _each_dimension(spark, sf_dir, sampling.sample).withColumnRenamed("identifier", "record_id")
+    return sampling.sample(_people(spark, sf_dir), table(spark, sf_dir, "sampling_targets")).withColumnRenamed("identifier", "record_id")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.functions.text import clean_category
@@ -12,29 +12,39 @@ from gritmill.operators.bounded import broadcast_below
 MAX_BROADCAST_TARGETS = 100_000
 
 
-def population(df: DataFrame, identifier: str, category: str) -> DataFrame:
-    """(identifier, key) of each distinct identifier; rows without an identifier or a category can't be sampled."""
-    rows = df.select(F.col(identifier).cast("string").alias("identifier"), clean_category(category).alias("key"))
-    return rows.where("identifier is not null").groupBy("identifier").agg(F.min("key").alias("key")).where("key is not null")
+def _key(dimension: Column, category: Column) -> Column:
+    """Categories of different dimensions are different groups."""
+    return F.concat(dimension, F.lit("\x01"), category)
+
+
+def population(df: DataFrame, identifier: str, categories: dict[str, str]) -> DataFrame:
+    """(identifier, key) of each distinct identifier and dimension; ``categories`` names the column of each dimension.
+
+    Rows without an identifier or a category can't be sampled.
+    """
+    rows = df.select(F.col(identifier).cast("string").alias("identifier"), *[clean_category(c).alias(f"__gm_{i}") for i, c in enumerate(categories.values())])
+    once = rows.where("identifier is not null").groupBy("identifier").agg(*[F.min(f"__gm_{i}").alias(f"__gm_{i}") for i in range(len(categories))])
+    keys = F.array_compact(F.array(*[_key(F.lit(d), F.col(f"__gm_{i}")) for i, d in enumerate(categories)]))
+    return once.select("identifier", F.explode(keys).alias("key"))
 
 
 def draw(people: DataFrame, targets: DataFrame, seed: str = "42") -> DataFrame:
     """Ranked rows of the target categories with ``selected``, ``by_floor`` and their target.
 
-    Within a category every row has the inclusion probability share * size / rows, at most 1. Categories follow each other sorted,
+    Dimensions are sampled apart, all in one pass. Within a category every row has the inclusion probability share * size / rows, at most 1. Categories follow each other sorted,
     rows within them in random order (md5 of seed and identifier), and a row is drawn where the running sum of probabilities, after
     one random start, passes a whole number. A category that got fewer rows than its floor is then filled up in the same order.
     """
-    wanted = targets.select("target_id", "category", clean_category("category").alias("key"), (F.col("target_share") * F.col("sample_size")).alias("wanted"), F.coalesce("min_rows", F.lit(0)).alias("floor_rows"))
-    wanted = wanted.where("key is not null").groupBy("key").agg(F.min(F.struct("target_id", "category", "wanted", "floor_rows")).alias("t")).select("key", "t.*")
+    wanted = targets.select("target_id", "dimension", "category", _key(F.col("dimension"), clean_category("category")).alias("key"), (F.col("target_share") * F.col("sample_size")).alias("wanted"), F.coalesce("min_rows", F.lit(0)).alias("floor_rows"))
+    wanted = wanted.where("key is not null").groupBy("key").agg(F.min(F.struct("target_id", "dimension", "category", "wanted", "floor_rows")).alias("t")).select("key", "t.*")
     sizes = people.groupBy("key").agg(F.count("*").alias("available"))
     plan = wanted.join(sizes, "key", "left").withColumn("available", F.coalesce("available", F.lit(0)))
     plan = plan.withColumn("p", F.when(F.col("available") > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("wanted") / F.col("available")))).otherwise(0.0))
     # the targets are a short list (checked), so the running sums over categories need one small task
-    before = plan.agg(F.sort_array(F.collect_list(F.struct("key", (F.col("p") * F.col("available")).alias("mass")))).alias("all_masses"))
+    before = plan.agg(F.sort_array(F.collect_list(F.struct("key", "dimension", (F.col("p") * F.col("available")).alias("mass")))).alias("all_masses"))
     start = F.conv(F.substring(F.sha1(F.lit(seed)), 1, 8), 16, 10).cast("double") / 4294967296.0
     plan = plan.join(F.broadcast(before)).withColumn(
-        "base", start + F.aggregate(F.filter("all_masses", lambda x: x["key"] < F.col("key")), F.lit(0.0), lambda a, x: a + x.mass)
+        "base", start + F.aggregate(F.filter("all_masses", lambda x: (x["dimension"] == F.col("dimension")) & (x["key"] < F.col("key"))), F.lit(0.0), lambda a, x: a + x.mass)
     )
     plan = broadcast_below(plan.drop("all_masses"), MAX_BROADCAST_TARGETS)
     ranked = salted_rank(people, "key", None, "identifier", seed=seed).drop("group_rows").join(plan, "key")
@@ -50,13 +60,13 @@ def draw(people: DataFrame, targets: DataFrame, seed: str = "42") -> DataFrame:
 
 
 def sample(people: DataFrame, targets: DataFrame, seed: str = "42") -> DataFrame:
-    return draw(people, targets, seed).where("selected").select("identifier", "category", "by_floor")
+    return draw(people, targets, seed).where("selected").select("dimension", "identifier", "category", "by_floor")
 
 
 def report(people: DataFrame, targets: DataFrame, seed: str = "42") -> DataFrame:
     """A row per target: available, wanted, selected; ``capped`` if there are fewer rows than wanted, ``below_floor`` if fewer than the floor."""
     got = draw(people, targets, seed).groupBy("key").agg(F.count("*").alias("available"), F.count_if("selected").alias("selected"), F.count_if("by_floor").alias("from_floor"))
-    rows = targets.withColumn("key", clean_category("category")).join(broadcast_below(got, MAX_BROADCAST_TARGETS), "key", "left")
+    rows = targets.withColumn("key", _key(F.col("dimension"), clean_category("category"))).join(broadcast_below(got, MAX_BROADCAST_TARGETS), "key", "left")
     counted = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("available", "selected", "from_floor")}
     wanted = F.col("target_share") * F.col("sample_size")
     return rows.withColumns(counted).select(

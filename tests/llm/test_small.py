@@ -177,7 +177,7 @@ def test_sampling(spark):
         [(1, "main_category", "big one", 0.5, 1, 100), (2, "main_category", "SMALL", 0.01, 3, 100), (3, "main_category", "rare", 0.3, 2, 100), (4, "main_category", "gone", 0.19, 0, 100)],
         "target_id long, dimension string, category string, target_share double, min_rows int, sample_size long",
     )
-    people = sampling.population(df, "record_id", "main_category")
+    people = sampling.population(df, "record_id", {"main_category": "main_category"})
     got = Counter(r.category for r in sampling.sample(people, targets).collect())
     assert got == {"big one": 50, "SMALL": 3, "rare": 1}
     assert sampling.sample(people, targets).distinct().count() == 54
