@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gritmill.functions.text import clean_source
 from gritmill.operators import nested, timestamps
 from gritmill.session import table
 
@@ -22,13 +23,27 @@ def p5_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.unionByName(features).groupBy("parent_table", F.coalesce("variant", F.lit("broken")).alias("variant")).agg(F.count("*").alias("records"))
 
 
+def p5_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct inferred shapes of the feature documents with their variant."""
+    return nested.shapes(nested.feature_documents(table(spark, sf_dir, "silver_records")))
+
+
+def p5_subtypes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, records and distinct parent rows of every subtype table."""
+    rows = nested.nvd_elements(table(spark, sf_dir, "nvd_items")).unionByName(nested.feature_elements(table(spark, sf_dir, "silver_records")))
+    per_record = rows.groupBy("parent_table", "child", "parent_key", "parent_row_key").agg(F.count("*").alias("n"))
+    per_record = per_record.groupBy("parent_table", "child", "parent_key").agg(F.sum("n").alias("n"), F.count("*").alias("parents"))
+    return per_record.groupBy("parent_table", "child").agg(F.sum("n").alias("n"), F.count("*").alias("records"), F.sum("parents").alias("parents"))
+
+
 def _times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timestamps.feed_times(table(spark, sf_dir, "silver_records"), table(spark, sf_dir, "gold_unified"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _times(spark, sf_dir).where(F.col("value").isNotNull() & ~F.col("value").rlike(timestamps.PLAIN_UTC))
-    rows = rows.dropDuplicates(["table_name", "record_id", "value"])
+    # the clean source decides; should two deliveries differ in it, the smaller one counts
+    rows = rows.groupBy("table_name", "record_id", "value").agg(F.min(clean_source("source")).alias("source"))
     done = timestamps.normalise_timestamps(rows, "value", "source", table(spark, sf_dir, "source_feeds"))
     return done.where("utc_micros is not null").select("table_name", "record_id", "utc_micros")
 
@@ -39,5 +54,5 @@ def p7_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.groupBy("table_name", "time_status").agg(F.count("*").alias("n"), F.min("utc_micros").alias("first_micros"), F.max("utc_micros").alias("last_micros"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_variants": p5_variants, "p7_found": p7_found, "p7_status": p7_status}
+QUERIES = {"p5_found": p5_found, "p5_variants": p5_variants, "p5_shapes": p5_shapes, "p5_subtypes": p5_subtypes, "p7_found": p7_found, "p7_status": p7_status}
 SQL: dict[str, str] = {}

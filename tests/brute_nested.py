@@ -23,7 +23,7 @@ def get(v, *keys):
 
 def nvd_rows(item_id, cve, raw):
     raw, own = decoded(raw), decoded(cve)
-    v = own if isinstance(own, dict) else get(raw, "cve")
+    v = own if isinstance(own, dict) and own else get(raw, "cve")
     v = decoded(v) if isinstance(v, str) else v
     out = []
     add = lambda child, value, *path: value is not None and out.append(("nvd_items", str(item_id), child, ".".join(map(str, path)), value))
