@@ -28,8 +28,10 @@ ABBREVIATIONS = {
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 DAY = 86_400_000_000
-BLOCK_DAYS = 64
-FIRST_YEAR, LAST_YEAR = 1960, 2060
+BLOCK_DAYS = 512
+#: Zones have no changes before the first year; the calendar and the rules of the last 400 years before the last one repeat after it.
+FIRST_YEAR, LAST_YEAR = 1800, 2500
+CYCLE = 146_097 * DAY
 #: More feeds than that are joined by a shuffle.
 MAX_BROADCAST_FEEDS = 100_000
 
@@ -42,7 +44,7 @@ _REST = (
     r"^(?:(?:\s*[Tt]\s*|[\s,]+)(?:at\s+)?(\d{1,2}):?(\d{2})(?::?(\d{2})(?:[.,](\d{1,18}))?)?(?:\s*([AaPp])\.?[Mm](?![A-Za-z])\.?)?)?"
     r"\s*(?:([Zz])|(?:UTC|GMT)?([+-])(\d{2}):?(\d{2})?|([A-Za-z]{1,5})|([A-Za-z_]+(?:/[A-Za-z0-9_+-]+)+))?(?:\s*\[([^\]]*)\])?\s*$"
 )
-_NUMBER = r"^(\d{1,17})(?:\.(\d{1,18}))?$"
+_NUMBER = r"^(-?\d{1,19})(?:\.(\d{1,18}))?$"
 _ZONE_NAME = r"[A-Za-z_]+(?:/[A-Za-z0-9_+-]+)+"
 
 
@@ -110,10 +112,14 @@ def with_civil(df: DataFrame, value: str, date_order: str) -> DataFrame:
     df = df.withColumns({"__gm_local": local, "__gm_offset": offset, "__gm_abbr": part(9), "__gm_zone": F.coalesce(F.nullif(part(10), F.lit("")), F.nullif(part(11), F.lit("")))})
     whole, digits = F.regexp_extract("__gm_text", _NUMBER, 1), F.regexp_extract("__gm_text", _NUMBER, 2)
     # the fraction continues the whole number's unit; what is finer than a microsecond is cut
-    number = F.when(F.col("__gm_text").rlike(_NUMBER) & F.col("__gm_date").isNull(), whole.try_cast("long"))
-    places = F.when(number < 100_000_000_000, 6).when(number < 100_000_000_000_000, 3).otherwise(0)
+    df = df.withColumn("__gm_number", F.when(F.col("__gm_text").rlike(_NUMBER) & F.col("__gm_date").isNull(), whole.try_cast("long")))
+    number = F.col("__gm_number")
+    size = F.abs(number)
+    places = F.when(size < 100_000_000_000, 6).when(size < 100_000_000_000_000, 3).otherwise(0)
     fraction = F.coalesce(F.nullif(F.substring(F.rpad(digits, 6, "0"), F.lit(1), places), F.lit("")).cast("long"), F.lit(0))
-    epoch = number * F.when(places == 6, 1_000_000).when(places == 3, 1_000).otherwise(1) + fraction
+    # from 17 digits on they are nanoseconds, rounded down like any finer digits
+    micros = F.when(size >= 100_000_000_000_000_000, F.expr("__gm_number div 1000 - if(__gm_number % 1000 < 0, 1, 0)")).otherwise(number * F.when(places == 6, 1_000_000).when(places == 3, 1_000).otherwise(1))
+    epoch = micros + F.when(whole.startswith("-"), -fraction).otherwise(fraction)
     unknown_word = (F.col("__gm_abbr") != "") & F.col("__gm_offset").isNull()
     df = df.withColumns(
         {
@@ -121,7 +127,7 @@ def with_civil(df: DataFrame, value: str, date_order: str) -> DataFrame:
             "__gm_local": F.when(F.col("__gm_offset").isNull() & ~F.coalesce(unknown_word, F.lit(False)), F.col("__gm_local")),
         }
     )
-    return df.drop(*[f"__gm_{x}" for x in ("text", "date", "rest", "y", "m", "d", "h", "mi", "s", "us", "offset", "abbr")])
+    return df.drop(*[f"__gm_{x}" for x in ("text", "date", "rest", "y", "m", "d", "h", "mi", "s", "us", "offset", "abbr", "number")])
 
 
 def offset_changes(zone: str) -> list[tuple[int, int]]:
@@ -175,7 +181,7 @@ def _explode_zones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def zone_intervals(zones: DataFrame) -> DataFrame:
     """Exploded offset intervals of the names in ``zones.zone``; names that are no zone have no rows.
 
-    At most about 600 names exist, each with less than 600 blocks and 200 changes: under 500,000 rows whatever the data.
+    At most about 600 names exist, each with 500 blocks of a few spans: under 400,000 blocks whatever the data.
     """
     return zones.mapInPandas(_explode_zones, "zone string, block long, from_local long, to_local long, offset long, gap boolean")
 
@@ -197,13 +203,16 @@ def normalise_timestamps(df: DataFrame, value: str, source: str, feeds: DataFram
     intervals = F.broadcast(zone_intervals(named)).withColumnRenamed("zone", "__gm_zone").withColumnRenamed("block", "__gm_block")
     rows = with_civil(rows, value, "__gm_order").withColumn("__gm_zone", F.coalesce("__gm_zone", F.col("__gm_feed.zone"), F.lit("UTC")))
     low, high = _block(-(1 << 40)), _block(1 << 40)
-    block = F.least(F.greatest(F.floor(F.col("__gm_local") / (DAY * BLOCK_DAYS)).cast("long"), F.lit(low)), F.lit(high))
+    # a local time after the last year has the offset of the same day whole cycles before
+    last = int(datetime(LAST_YEAR, 1, 1, tzinfo=UTC).timestamp()) * 1_000_000
+    rows = rows.withColumn("__gm_at", F.col("__gm_local") - F.greatest(F.ceil((F.col("__gm_local") - last) / CYCLE), F.lit(0)) * CYCLE)
+    block = F.least(F.greatest(F.floor(F.col("__gm_at") / (DAY * BLOCK_DAYS)).cast("long"), F.lit(low)), F.lit(high))
     is_utc = F.col("__gm_zone") == "UTC"
     rows = rows.withColumn("__gm_block", F.when(~is_utc & F.col("__gm_local").isNotNull(), block))
     # one row per (zone, block) with all its intervals: a row of the data meets one row, so none is repeated
     packed = intervals.groupBy("__gm_zone", "__gm_block").agg(F.sort_array(F.collect_list(F.struct("from_local", "to_local", "offset", "gap"))).alias("__gm_spans"))
     rows = rows.join(F.broadcast(packed), ["__gm_zone", "__gm_block"], "left")
-    rows = rows.withColumn("__gm_hits", F.filter("__gm_spans", lambda x: (x.from_local <= F.col("__gm_local")) & (F.col("__gm_local") < x.to_local)))
+    rows = rows.withColumn("__gm_hits", F.filter("__gm_spans", lambda x: (x.from_local <= F.col("__gm_at")) & (F.col("__gm_at") < x.to_local)))
     rows = rows.withColumn("__gm_first", F.array_max(F.transform("__gm_hits", lambda x: x.offset)))
     utc = F.coalesce("__gm_instant", F.when(is_utc, F.col("__gm_local")).otherwise(F.col("__gm_local") - F.col("__gm_first")))
     status = (

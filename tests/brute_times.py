@@ -25,8 +25,12 @@ def in_zone(t, zone):
 
 def read(value, zone="UTC", order="YMD"):
     v = (value or "").strip()
-    if re.fullmatch(r"\d+(\.\d+)?", v):
+    if re.fullmatch(r"-?\d+(\.\d+)?", v):
+        if v.startswith("-"):
+            return -read(v[1:])
         whole, _, frac = v.partition(".")
+        if int(whole) >= 10**17:
+            return int(whole) // 1000
         n = int(whole)
         unit = 1_000_000 if n < 10**11 else 1000 if n < 10**14 else 1
         return n * unit + (int((frac + "000000")[:6]) if frac and unit == 1_000_000 else 0)

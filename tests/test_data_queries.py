@@ -26,6 +26,7 @@ def test_flatten_odd_items(spark):
         (3, "{", "{", None),
         (4, "", json.dumps({"cve": "text"}), None),
         (5, "[1]", None, None),
+        (6, "{}", json.dumps({"cve": v2}), None),
         (None, json.dumps(v2), None, None),
         (1, json.dumps(v2), None, "extra"),
     ]
@@ -34,12 +35,33 @@ def test_flatten_odd_items(spark):
     assert got == sorted((tuple(r) for r in nested.flatten_nvd(df).collect()), key=str)
     one = [("description", "0", "en"), ("reference", "0", "u"), ("reference_tag", "0.0", "t")]
     assert sorted(r[2:] for r in got if r[1] == "1") == sorted(one * 2)
-    assert sorted(r[2:] for r in got if r[1] == "2") == one
+    assert sorted(r[2:] for r in got if r[1] == "2") == sorted(r[2:] for r in got if r[1] == "6") == one
     assert sorted(r[2:] for r in got if r[1] is None) == one
     assert not [r for r in got if r[1] in ("3", "4", "5")]
     assert nested.flatten_nvd(df.limit(0)).count() == 0
 
 
+def test_subtype_tables(spark):
+    """Typed tables, parent links that resolve, rows for elements without content."""
+    items, silver = spark.read.parquet(D + "nvd_items.parquet"), spark.read.parquet(D + "silver_records.parquet")
+    for rows in (nested.nvd_elements(items), nested.feature_elements(silver)):
+        keys = rows.select("row_key", "parent_row_key", "parent_table", "parent_key").cache()
+        assert keys.count() == keys.select("row_key").distinct().count() > 0
+        records = keys.select(F.concat_ws("/", "parent_table", "parent_key").alias("row_key")).distinct()
+        known = keys.select("row_key").union(records).distinct().withColumnRenamed("row_key", "above")
+        assert keys.join(known, F.col("parent_row_key") == F.col("above"), "left_anti").count() == 0
+    odd = {"id": "x", "references": [{"tags": ["a"]}, {"url": None}], "weaknesses": [{}], "configurations": {"operator": "AND", "nodes": {"negate": True, "cpeMatch": {"criteria": "c", "vulnerable": False}}}}
+    df = spark.createDataFrame([(1, json.dumps(odd), None)], "item_id long, cve string, raw string")
+    tag, references = nested.nvd_table(df, "reference_tag").collect(), {r.row_key: r.url for r in nested.nvd_table(df, "reference").collect()}
+    assert [(r.tag, references[r.parent_row_key]) for r in tag] == [("a", None)] and len(references) == 2
+    assert [(r.criteria, r.vulnerable) for r in nested.nvd_table(df, "cpe").collect()] == [("c", False)]
+    assert nested.nvd_table(df, "weakness_entry").count() == 1 and nested.nvd_table(df, "node").first().negate is True
+    flows = nested.feature_table(silver, "flow")
+    assert dict(flows.dtypes)["dport"] == "int" and flows.where("dport is not null").count() > 0
+    assert nested.feature_table(silver, "section").where("rsize > 0").count() > 0
+    assert nested.shapes(nested.feature_documents(silver)).where("variant = 'executable'").count() > 1
+
+
 FEEDS = [("ny_feed", "America/New_York", "MDY"), ("berlin_feed", "Europe/Berlin", "DMY"), ("berlin_feed", "Europe/Berlin", "DMY"), (None, "Asia/Tokyo", "YMD")]
 
 
@@ -54,6 +76,12 @@ FEEDS = [("ny_feed", "America/New_York", "MDY"), ("berlin_feed", "Europe/Berlin"
         ("1999-12-31", "ny_feed", "exact"),
         ("Mar 6, 2021 12:10 AM", "x", "exact"),
         ("1658122398.8569999", "x", "exact"),
+        ("1850-07-01 12:00:00", "ny_feed", "exact"),
+        ("1916-06-01 12:00:00", "berlin_feed", "exact"),
+        ("2475-07-01 12:00:00", "ny_feed", "exact"),
+        ("9998-07-01 12:00:00", "ny_feed", "exact"),
+        ("1658122398856999912", "x", "exact"),
+        ("-86400.25", "x", "exact"),
         ("2024-05-20 08:07:26 America/New_York", "x", "exact"),
         ("2024-05-20T08:07:26.123456789-03:30", "x", "exact"),
         ("2024-05-20 24:07:26", "x", "none"),
