@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,16 +22,17 @@ from gritmill.llm.words import WordHashes, words
 
 #: One changed unit in so many, and the least share of an item.
 PER_CHANGE, LEAST_SHARE = 10, 2
-#: Units of a window, shorter ones for shorter items; documents are read at every STRIDE-th unit, items at every one.
-WINDOWS, STRIDE = (16, 8, 4), 4
+#: Units of a window, shorter ones for shorter items, and the step at which documents are read; items are read at every unit. A window
+#: has at most half the units of the least stretch, so every stretch has more windows than a step.
+WINDOWS = {16: 4, 8: 2, 4: 1, 2: 1, 1: 1}
 #: Random walks, tables per walk, and output positions per table.
 WALKS, TABLES, POSITIONS = 3, 4, 10
 #: Items of one pass over the documents; larger sets are taken in blocks.
 ITEMS_AT_ONCE = 5_000
 UNITS_AT_ONCE = 200_000
 _U = np.uint64
-_BLOCK_TAG = re.compile(r"</?(?:br|p|div|li|ul|ol|td|tr|th|table|h[1-6]|blockquote|pre)\b[^<>]{0,300}>", re.IGNORECASE)
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,300}>")
+_BLOCK_TAG = re.compile(r"</?(?:br|p|div|li|ul|ol|td|tr|th|table|h[1-6]|blockquote|pre)\b[^<>]*>", re.IGNORECASE)
+_TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 _LINE_HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐­][ \t]*\r?\n[ \t>]*(?=[^\W\d_])")
 _CJK = re.compile("[㐀-䶿一-鿿]")
 
@@ -120,45 +120,54 @@ class Index:
         return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def contains_stretch(item: np.ndarray, region: np.ndarray) -> bool:
+def contains_stretch(item: np.ndarray, region: np.ndarray, base: int, slack: int) -> bool:
     """Whether the region contains at least half of the item in one stretch with at most one changed unit in ten.
 
-    longest[e, j]: item units of the longest alignment that ends at the current item unit and before region unit j with e edits.
+    Item unit i lies at ``region[base + i]``, give or take ``slack``. longest[i, d]: item units of the longest alignment with e edits
+    that ends before item unit i and region unit i + d. Along a diagonal it grows by equal units from the best entry, which is a
+    running maximum within runs of equal units, so each number of edits takes a few array operations; most leaks need few.
     """
-    n, m = len(item), len(region)
+    n = len(item)
     least, most = -(-n // LEAST_SHARE), n // PER_CHANGE
-    none = np.int32(-(1 << 20))
-    longest = np.full((most + 1, m + 1), none, np.int32)
-    longest[0] = 0
-    needed = np.maximum(least, PER_CHANGE * np.arange(most + 1, dtype=np.int32))[:, None]
-    for i in range(n):
-        now = np.full((most + 1, m + 1), none, np.int32)
-        equal = region == item[i]
-        now[:, 1:] = np.where(equal, longest[:, :-1] + 1, none)
-        if most:
-            now[1:, 1:] = np.maximum(now[1:, 1:], longest[:-1, :-1] + 1)
-            now[1:] = np.maximum(now[1:], longest[:-1] + 1)
-            now[0] = np.maximum(now[0], 0)
-            for e in range(1, most + 1):
-                np.maximum(now[e, 1:], now[e - 1, :-1], out=now[e, 1:])
-        else:
-            now[0] = np.maximum(now[0], 0)
-        if (now >= needed).any():
+    diagonals = base + np.arange(-slack, slack + 1)
+    at = np.arange(n)[:, None] + diagonals[None, :]
+    inside = (at >= 0) & (at < len(region))
+    equal = np.zeros((n + 1, len(diagonals)), bool)
+    equal[1:] = inside & (region[np.clip(at, 0, max(0, len(region) - 1))] == item[:, None]) if len(region) else False
+    run = np.cumsum(~equal, axis=0, dtype=np.int64) * (4 * n + 4)
+    i = np.arange(n + 1, dtype=np.int64)[:, None]
+    shift = run - i
+    enter = np.zeros((n + 1, len(diagonals)), np.int64)
+    for e in range(most + 1):
+        longest = np.maximum.accumulate(enter + shift, axis=0) - shift
+        if longest.max() >= max(least, PER_CHANGE * e):
             return True
-        longest = now
+        if e < most:
+            enter = np.zeros_like(longest)
+            enter[1:] = longest[:-1] + 1
+            np.maximum(enter[1:, :-1], longest[:-1, 1:] + 1, out=enter[1:, :-1])
+            np.maximum(enter[:, 1:], longest[:, :-1], out=enter[:, 1:])
     return False
 
 
-def may_contain(item: np.ndarray, region: np.ndarray, base: int, slack: int) -> bool:
-    """Cheap necessary condition: enough item units occur near their place. ``region[base]`` is where the item's first unit should be."""
+def may_contain(item: np.ndarray, h: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray, slack: int) -> np.ndarray:
+    """Cheap necessary condition for many places at once: enough item units occur near their place.
+
+    The item's first unit should be at ``h[first]`` of a document that fills ``h[low:high]``.
+    """
     n = len(item)
-    padded = np.concatenate([np.zeros(n + slack, np.uint64), region, np.zeros(n + slack, np.uint64)])
-    first = base + n + slack
-    near = np.zeros(n, bool)
-    for d in range(-slack, slack + 1):
-        near |= padded[first + d : first + d + n] == item
     least = -(-n // LEAST_SHARE)
-    return int(near.sum()) >= least - least // PER_CHANGE
+    out = np.zeros(len(first), bool)
+    step = max(1, 2_000_000 // (n + 2 * slack))
+    for k in range(0, len(first), step):
+        part = slice(k, k + step)
+        at = first[part, None] + np.arange(-slack, n + slack)[None, :]
+        values = np.where((at >= low[part, None]) & (at < high[part, None]), h[np.clip(at, 0, len(h) - 1)], _U(0))
+        near = np.zeros((len(at), n), bool)
+        for d in range(2 * slack + 1):
+            near |= values[:, d : d + n] == item
+        out[part] = near.sum(axis=1) >= least - least // PER_CHANGE
+    return out
 
 
 def scan(index: Index, documents: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -170,29 +179,31 @@ def scan(index: Index, documents: list[np.ndarray]) -> list[tuple[int, int]]:
     firsts = np.cumsum(sizes) - sizes
     document = np.repeat(np.arange(len(sizes)), sizes)
     position = np.arange(len(document)) - np.repeat(firsts, sizes)
-    starts = np.flatnonzero((position % STRIDE == 0) & (position + index.window <= sizes[document]))
+    starts = np.flatnonzero((position % WINDOWS[index.window] == 0) & (position + index.window <= sizes[document]))
     window, item, offset = index.hits(h, starts)
     if not len(window):
         return []
     where = starts[window]
-    hits = pd.DataFrame({"d": document[where], "i": item, "base": position[where] - offset})
-    hits = hits.drop_duplicates()
+    lengths = np.array([len(x) for _, x in index.items])
+    slack = lengths // PER_CHANGE + 2
+    # neighbouring diagonals of a document and an item are verified together
+    width = slack[item] // 2 + 1
+    band = (position[where] - offset) // width
+    low, span = band.min(), int(np.ptp(band)) + 1
+    # one number per item, document and band: below 2**63, as items, documents and units of a batch are bounded
+    keys = np.unique((item * len(sizes) + document[where]) * span + (band - low))
+    rest, band = np.divmod(keys, span)
+    hits = np.stack([*np.divmod(rest, len(sizes)), band + low], axis=1)
     out = []
-    for (d, i), group in hits.groupby(["d", "i"], sort=False):
-        units_ = index.items[i][1]
-        n, text = len(units_), documents[d]
-        slack = n // PER_CHANGE + 2
-        bases = np.sort(group["base"].to_numpy())
-        tried = None
-        for base in bases.tolist():
-            # neighbouring diagonals share a region
-            if tried is not None and base - tried <= slack // 2:
-                continue
-            tried = base
-            low, high = max(0, base - 2 * slack), min(len(text), base + n + 2 * slack)
-            if may_contain(units_, text[low:high], base - low, slack + slack // 2) and contains_stretch(units_, text[low:high]):
-                out.append((d, i))
-                break
+    for i, group in zip(hits[np.flatnonzero(np.diff(hits[:, 0], prepend=-1)), 0].tolist(), np.split(hits, np.flatnonzero(np.diff(hits[:, 0])) + 1)):
+        units_, room = index.items[i][1], int(slack[i])
+        d, base = group[:, 1], group[:, 2] * (room // 2 + 1) + (room // 2 + 1) // 2
+        fits = may_contain(units_, h, firsts[d] + base, firsts[d], firsts[d] + sizes[d], room + room // 2)
+        done = -1
+        for k, b in zip(d[fits].tolist(), base[fits].tolist()):
+            if k != done and contains_stretch(units_, documents[k], b, 2 * room):
+                out.append((k, i))
+                done = k
     return out
 
 
@@ -202,7 +213,7 @@ def _index(items: list[tuple[int, str]]) -> list[Index]:
         by_character = is_by_character(text)
         h = hashes(units(text, by_character))
         half = -(-len(h) // LEAST_SHARE)
-        window = next((w for w in WINDOWS if 2 * w <= half + 1), min(2, max(1, half)))
+        window = next((w for w in WINDOWS if 2 * w <= half + 1), 1)
         if len(h):
             made.setdefault((window, by_character), Index(window, by_character)).items.append((key, h))
     for index in made.values():
@@ -210,19 +221,33 @@ def _index(items: list[tuple[int, str]]) -> list[Index]:
     return list(made.values())
 
 
+def _blocks(items: DataFrame) -> Iterator[list[tuple[object, str]]]:
+    """The items in blocks of ITEMS_AT_ONCE, one block at a time on the driver."""
+    block: list[tuple[object, str]] = []
+    for r in items.toLocalIterator():
+        block.append((r.i, r.t))
+        if len(block) == ITEMS_AT_ONCE:
+            yield block
+            block = []
+    yield block
+
+
 def find_leaks(documents: DataFrame, document_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
     """(document_id, item_id) of every document that contains an item: at least half of it in one stretch but for one unit in ten.
 
     Units are words, or characters for items in Han script. Case, punctuation, blanks, line breaks, hyphens at line ends, markup and
     character forms don't matter. Null and empty texts and items contain nothing; repeated documents are found each; a null id is kept.
-    The items are a stated query set, collected in blocks of ITEMS_AT_ONCE, each of which reads the documents once; no shuffle.
+    The items are a stated query set, taken in blocks of ITEMS_AT_ONCE (each about 20 kB of tables), each of which reads the documents
+    once; no shuffle of documents.
     """
     found = None
-    rows = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("t is not null").distinct().orderBy("i", "t").collect()
+    rows = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("t is not null").distinct()
     kinds = dict(documents.dtypes)[document_id], dict(items.dtypes)[item_id]
     schema = f"d {kinds[0]}, i {kinds[1]}"
-    for first in range(0, max(1, len(rows)), ITEMS_AT_ONCE):
-        indexes = _index([(r.i, r.t) for r in rows[first : first + ITEMS_AT_ONCE]])
+    for block in _blocks(rows):
+        if not block and found is not None:
+            break
+        indexes = _index(block)
         shared = documents.sparkSession.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -34,24 +34,23 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(text)
 
 
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class WordHashes:
     """64-bit hashes of words, the same in every process, behind a bounded cache."""
 
     def __init__(self, entries: int = 1 << 20):
-        self._known: dict[str, int] = {}
+        self._known = _Hashes()
         self._entries = entries
 
     def __call__(self, all_words: list[str]) -> np.ndarray:
-        known = self._known
-        if len(known) > self._entries:
-            known.clear()
-        out = np.empty(len(all_words), np.uint64)
-        for i, w in enumerate(all_words):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w)
-            out[i] = h
-        return out
+        if len(self._known) > self._entries:
+            self._known.clear()
+        return np.fromiter(map(self._known.__getitem__, all_words), np.uint64, len(all_words))
 
 
 def gram_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
