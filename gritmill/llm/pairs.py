@@ -1,112 +1,111 @@
 """Broken prompt and response pairs.
 
 A multi-label linear classifier over hashed word n-grams of the answer and features of the pair. It is trained here on answers of the
-corpus and on copies of them broken on purpose (emptied, cut, copied from the prompt, swapped to another language, refused); each
-label's threshold is set on held-out examples. A label is only given if the pair also passes the label's exact condition.
+corpus and on copies of them broken on purpose (emptied, cut, copied from the prompt, swapped with an answer of another language,
+refused). Exact conditions (a label, a part of one, an unfinished sentence, the share of the prompt that is repeated, a language that
+nobody asked for) are features beside others, not decisions. Each label's score is calibrated and its threshold set on pairs that
+the weights have not seen, with families of refusals that are kept apart for it. Only a copy is checked exactly afterwards.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import random
 import re
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gritmill.llm import phrases
 from gritmill.llm.words import words
 
 DEFECTS = ("empty", "truncated", "refusal", "copied", "other_language")
-_ORDER = {name: i for i, name in enumerate(("empty", "copied", "refusal", "other_language", "truncated"))}
-#: Pairs of the training sample at most, taken by the hash of their key: the bound of the only sampled step.
-TRAINING_PAIRS = 3_000
-#: Slots of the features of pairs, and all slots with those of hashed n-grams, which are learned more slowly.
-PAIR_SLOTS, DIMENSIONS = 256, 1 << 13
-#: Words decide on refusals; on the other defects they hardly add to what the features of the pair say.
-NGRAM_RATE = {"refusal": 0.2}
-#: Pairs of the corpus scored so far below a threshold or above are no negatives of the next round.
-SUSPICION = 3.0
+_ORDER = ("empty", "copied", "refusal", "other_language", "truncated")
+#: Pairs of the training sample at most, taken by the hash of their key, characters of one of them, and pairs of each kind (one word, or
+#: more) of which broken copies are made: the bounds of the only sampled step.
+TRAINING_PAIRS, TRAINING_LENGTH, BROKEN_FROM = 3_000, 100_000, 500
+#: Where the slots of facts, of the answer's make-up, of cues and of hashed n-grams end. What words are there decides on refusals, what
+#: they are made of also on other languages; on the other defects they hardly add to the facts, so they are learned slowly.
+FACT_SLOTS, MAKE_UP_SLOTS, CUE_SLOTS, DIMENSIONS = 1 << 10, 1 << 12, 1 << 13, 1 << 15
+RATES = {"refusal": (1.0, 1.0, 0.1), "other_language": (1.0, 0.01, 0.01)}
+#: Pairs of the corpus that a first round scores so high as refusals are no negatives of the next round.
+SUSPICION = -2.0
 #: Part of the prompt or its record that makes a copy.
 COPIED_SHARE = 0.7
 
-#: The labels that answers may name.
+#: The labels that answers may name; those of a prompt's own list and those frequent in the sample count too.
 LABELS = frozenset(
     "benign malicious phishing benign_url vulnerable_dependency vulnerable_code non_vulnerable_code malicious_package attack_technique attack_pattern "
-    "vulnerability_advisory malicious_prompt benign_prompt jailbreak_prompt exploit_incident intrusion anomaly unknown".split()
+    "vulnerability_advisory malicious_prompt benign_prompt jailbreak_prompt ai_security_risk exploit_incident intrusion anomaly unknown".split()
 )
-NULL_WORDS = frozenset("none null nan nil na undefined void empty".split())
-_IDENTIFIER = re.compile(r"(?:CVE-\d{4}-\d{4,}|CWE-\d{1,5}|T\d{4}(?:\.\d{3})?|(?:TA|S|G|M)\d{4})", re.IGNORECASE)
-_PART_OF_IDENTIFIER = re.compile(r"(?:C|CV|CVE|CVE-|CVE-\d{1,4}|CVE-\d{4}-\d{0,3}|CW|CWE|CWE-|T|T\d{1,3}|T\d{4}\.\d{0,2})", re.IGNORECASE)
+#: Words for null.
+NULL_WORDS = frozenset("none null nan nil na nat undefined void empty missing".split())
+_IDENTIFIER = re.compile(r"(?:CVE-\d{4}-\d{4,}|CWE-\d{1,5}|CAPEC-\d{1,4}|GHSA(?:-[0-9a-z]{4}){3}|T\d{4}(?:\.\d{3})?|(?:TA|S|G|M)\d{4})", re.IGNORECASE)
+_PART_OF_IDENTIFIER = re.compile(r"(?:C|CV|CVE|CVE-|CVE-\d{1,4}|CVE-\d{4}-\d{0,3}|CW|CWE|CWE-|CA|CAPE?C?-?|GHSA?(?:-[0-9a-z]{0,4}){0,3}|T|T\d{1,3}|T\d{4}\.\d{0,2}|TA\d{0,3})", re.IGNORECASE)
 _ENDS_WELL = re.compile(r"(?:[.!?。！？।؟۔…]|[^\W\d_]\.?\s?[\U0001F300-\U0001FAFF☀-➿]️?)[\s\"”»“’'」』）)\]]*$")
+_INSTRUCTED = re.compile(r"[a-z][a-z_]+(?=\s*[,;?.|\]]|$)")
 
 #: Small words that tell languages in Latin script apart.
 SMALL_WORDS = {
-    "en": "the of and to in which so that with from by is are this for on an as it be or not at its",
-    "de": "der die das und ein eine im bei ohne auf mit dem den des nach vor ist nicht für von zu alle trotz während innerhalb über",
-    "fr": "le la les des du un une sans dans pour avec par sur et est que après avant malgré lors pendant en au",
-    "es": "el la los las del un una con por sin para en al y que tras antes de muchas pocos durante",
-    "it": "il lo gli della delle di che con per una sono nel alla",
-    "pt": "o os uma do da dos das com por sem para em ao não",
+    "en": "the of and to in which so that with from by is are this for on an as it be or not at its was were has have will can i i'm do does you we they my your there if any all more than when who what about a an under over into through after before",
+    "de": "der die das und ein eine im bei ohne auf mit dem den des nach vor ist nicht für von zu alle trotz während innerhalb über sich wird wurde auch am in jede durch",
+    "fr": "le la les des du un une sans dans pour avec par sur et est que après avant malgré lors pendant en au aux ce cette qui ne pas sont a",
+    "es": "el la los las del un una con por sin para en al y que tras antes de después muchas mucha pocos durante es se no su ha lo como",
+    "it": "il lo gli della delle di che con per una sono nel alla dopo la le senza alcun durante i un è non da del si",
+    "pt": "o os uma do da dos das com por sem para em ao não que as durante depois qualquer a é um no na se foi",
+    "nl": "de het een en van in op met zonder voor na is niet door bij naar dat die zijn alle",
+    "pl": "w i na z do nie bez po się przez oraz jest są że od dla za po żadnej",
+    "sv": "och i att det som en på är av för med utan under efter den inte till",
+    "tr": "ve bir bu için ile olarak de da sonra boyunca olmadan",
 }
 _SMALL = {k: frozenset(v.split()) for k, v in SMALL_WORDS.items()}
-_SCRIPTS = {"ja": "[ぁ-ヿ]", "ko": "[가-힣]", "zh": "[一-鿿]", "ru": "[а-яёА-ЯЁ]", "ar": "[ء-ي]", "hi": "[ऀ-ॣ]", "th": "[ก-๎]", "el": "[α-ωΑ-Ω]", "he": "[א-ת]"}
+_SCRIPTS = {"ja": "[ぁ-ヿ]", "ko": "[가-힣]", "zh": "[一-鿿]", "ru": "[а-яёА-ЯЁ]", "ar": "[ء-ي]", "hi": "[ऀ-ॣ]", "th": "[ก-๎]", "el": "[α-ωΑ-Ωά-ώ]", "he": "[א-ת]"}
 _SCRIPTS = {k: re.compile(v) for k, v in _SCRIPTS.items()}
 #: How prompts name the language they want.
 LANGUAGE_NAMES = {
     "en": "english|englisch|anglais|inglés", "de": "german|deutsch|allemand|alemán", "fr": "french|französisch|français|francés", "es": "spanish|spanisch|espagnol|español",
-    "it": "italian|italienisch|italiano", "pt": "portuguese|portugiesisch", "ru": "russian|russisch|russe|ruso|русском", "zh": "chinese|chinesisch|chinois|chino|中文",
-    "ja": "japanese|japanisch|japonais|japonés|日本語", "ko": "korean|koreanisch", "ar": "arabic|arabisch|arabe|árabe|العربية", "hi": "hindi|हिन्दी", "th": "thai|ไทย",
+    "it": "italian|italienisch|italiano", "pt": "portuguese|portugiesisch|português", "nl": "dutch|niederländisch|nederlands", "pl": "polish|polnisch|polski", "sv": "swedish|schwedisch|svenska", "tr": "turkish|türkisch|türkçe",
+    "ru": "russian|russisch|russe|ruso|русск\\w+", "zh": "chinese|mandarin|chinesisch|chinois|chino|中文|汉语", "ja": "japanese|japanisch|japonais|japonés|日本語", "ko": "korean|koreanisch|한국어", "ar": "arabic|arabisch|arabe|árabe|العربية",
+    "hi": "hindi|हिन्दी|हिंदी", "th": "thai|ไทย", "el": "greek|griechisch", "he": "hebrew|hebräisch",
 }
-_ASKED = {k: re.compile(rf"\b(?:in|into|auf|en|au|to|на)\s+(?:\w+\s+){{0,2}}(?:{v})|(?:用|以)(?:{v})|(?:{v})で", re.IGNORECASE) for k, v in LANGUAGE_NAMES.items()}
-
-#: Openings and endings that training refusals are put together from.
-_REFUSALS = (
-    "I'm sorry, but I can't help with that|I am sorry, I cannot assist you with this|I cannot assist with this request|I can’t answer that|I won't provide that information|"
-    "I will not answer this question|I must decline to discuss this topic|I have to decline|I refuse to answer|I apologise, however I have to refuse|Sorry, I am not allowed to say|"
-    "Sorry, this content is against my guidelines|My policies do not allow me to respond to this|As an AI model, I am not able to answer this|As a language model I can't do that|"
-    "Unfortunately I am unable to comply|Unfortunately, I cannot fulfil this request|This request is something I can’t fulfil|I do not feel comfortable answering|"
-    "I'm not comfortable labelling this|It would not be appropriate for me to label this record|It is inappropriate for me to comment on this|Please consult a professional, as I am not permitted to judge this|"
-    "No answer can be given here, because I was asked not to handle such material|I am not permitted to respond|I can not comply with this|Ich muss die Antwort verweigern|"
-    "Es tut mir leid, dabei kann ich nicht helfen|Ich kann diese Anfrage nicht beantworten|Dazu darf ich mich nicht äußern|Je suis désolé, je ne peux pas répondre|Je dois refuser de répondre|"
-    "Lo siento, no puedo ayudar con eso|No puedo responder a esta solicitud|Извините, я не могу помочь с этим|Я вынужден отказаться отвечать|抱歉，我无法回答这个问题|我不能提供这些信息|"
-    "申し訳ありませんが、お答えできません|この依頼にはお応えできません|عذرا، لا أستطيع المساعدة في ذلك|क्षमा करें, मैं इसमें मदद नहीं कर सकता|ขออภัย ฉันไม่สามารถตอบได้"
-).split("|")
-_ENDINGS = (".", "!", "", ", because it may be harmful.", " as it concerns security.", " about this.", ". Please ask something else.", ". If you have another question, let me know.", ". Let me know if there is something else about defence.", ". Thank you for understanding.")
-#: Sentences that look like refusals but state facts; training negatives.
-_NO_REFUSALS = (
-    "The service is unable to start, so the record describes an outage.|Nobody was able to reach the host.|The gateway refuses connections from outside.|I can see two causes in the record.|"
-    "The reviewers cannot rule out a second flaw.|Users are not permitted to upload files.|The vendor declined to comment.|The parser cannot handle long names.|The request was refused by the server.|"
-    "It is not possible to log in without a token.|The policy does not allow guests to read the ledger.|The client must decline the certificate.|My reading of the record is that the key leaked.|"
-    "Das Gateway verweigert die Verbindung.|Le service refuse la connexion.|El servidor no puede responder."
-).split("|")
-_FOREIGN = (
-    "Der Dienst speichert alle Schlüssel ohne jede Prüfung und meldet die Daten an den Server.|Le serveur efface les journaux pendant la nuit et bloque les comptes sans contrôle.|"
-    "El servidor guarda las claves sin control y bloquea las cuentas durante la noche.|Сервер хранит все ключи без проверки и удаляет старые журналы по ночам.|服务器在没有检查的情况下保存了所有密钥。|"
-    "サーバーは確認なしですべての鍵を保存した。|الخادم يحفظ كل المفاتيح دون أي فحص ويحذف السجلات القديمة.|सर्वर बिना जाँच के सभी कुंजियाँ सहेजता है और पुराने लॉग हटाता है।|เซิร์ฟเวอร์เก็บกุญแจทั้งหมดโดยไม่ตรวจสอบ|"
-    "攻击者在夜间修改了配置文件，并删除了旧的日志。|该漏洞允许远程用户读取访问记录。主机在几分钟之内重新启动。|邮件服务接受了过期的证书。管理员应更新软件。|伪造的页面要求输入密码，然后转发给外部地址。|"
-    "攻撃者は夜間に設定ファイルを書き換え、古いログを消去した。|この欠陥により遠隔の利用者が記録を読める。端末は数分以内に再起動した。|メールサービスは期限切れの証明書を受け入れた。管理者は更新すべきである。|偽のページはパスワードを要求し、外部に転送した。|"
-    "Злоумышленник изменил настройки ночью и удалил журнал. Узел был перезапущен за несколько минут.|Почтовая служба принимает просроченные сертификаты, администратор должен обновить программу.|"
-    "المهاجم غير الإعدادات أثناء الليل وحذف السجلات.|خدمة البريد تقبل شهادات منتهية وعلى المدير تحديث البرنامج.|हमलावर ने रात में सेटिंग बदल दी और लॉग हटा दिए।|मेल सेवा पुराने प्रमाणपत्र स्वीकार करती है।|"
-    "ผู้โจมตีเปลี่ยนการตั้งค่าในเวลากลางคืนและลบบันทึก|บริการอีเมลยอมรับใบรับรองที่หมดอายุ|"
-    "Ein Angreifer änderte in der Nacht die Einstellungen und löschte das Protokoll.|Un attaquant modifie les réglages pendant la nuit et efface les journaux du service.|Un atacante cambia la configuración por la noche y borra los registros del servicio."
-).split("|")
+_ASK = r"(?:answer|repl(?:y|ies)|respon[ds]\w*|write|written|use|using|translate\w*|return|output|state|explain|language|please|must be|should be|antwort\w*|schreib\w*|répon\w+|rédige\w*|écri\w+|respond\w*|contest\w+|escrib\w+|ответ\w*|напиш\w*|用|以|请|回答|答え|書)"
+_ASKED = {k: re.compile(rf"{_ASK}[^.!?\n]{{0,60}}?(?:{v})|(?:\b(?:in|into|auf|en|au|to|на)\s+(?:\w+\s+){{0,2}}(?:{v}))|(?:{v})(?:で|[^.!?\n]{{0,20}}\b(?:please|only|answer|reply|response))", re.IGNORECASE) for k, v in LANGUAGE_NAMES.items()}
+
+#: Words that refusals are made of, by kind and in many languages; features of the classifier, alone and with each other within a sentence.
+CUES = {
+    "first": r"\b(?:i|i'm|i'd|i've|i'll|me|my|we|our|us|ich|mir|mich|meine?[rnms]?|je|j'|moi|nous|yo|mis?|puedo|debo|tengo|lamento|siento|estoy|posso|sono|devo|eu|estou|recuso|ik|mij|jag|mogę|muszę|mi|я|мне|мной|мои|мой|нам|yanıtlayamam|olamam)\b|我|私|저|죄송|أستطيع|يمكنني|لي |أنا|علي|मैं|मुझे|ฉัน|ผม|申し訳|お答え",
+    "cannot": r"\b(?:cannot|can't|can not|could not|couldn't|unable|not able|won't|will not|would not|must not|may not|shall not|not (?:able|permitted|allowed|going|prepared|supposed|in a position|something|possible|to)|do not|don't|nothing|never|kann|darf|nicht|ne|pas|impossible|no|non|não|niet|nie|inte|kan|не|нельзя|запрещено|yanıtlayamam|olamam)\b|无法|不能|不便|ません|없습니다|لا |नहीं|ไม่|ได้",
+    "refuse": r"declin|refus|\breject|\bdenied|abstain|\bpass on|opt out|rather not|prefer (?:to|not)|unwilling|keep out|stay away|skip|verweiger|ablehn|rechaz|negar|rifiut|recus|weiger|odmów|отказ|拒绝|控え|거절|رفض|मना|ปฏิเสธ",
+    "sorry": r"\b(?:sorry|apolog\w+|afraid|regret\w*|unfortunately|sadly|tut mir leid|leider|désolée?|malheureusement|lo siento|lamento|perdón|disculpe|mi dispiace|spiacente|purtroppo|desculpe|sinto muito|infelizmente|het spijt|helaas|przykro|niestety|tyvärr|üzgünüm|maalesef|извините|простите|к сожалению)\b|抱歉|对不起|申し訳|すみません|죄송|عذرا|آسف|للأسف|أعتذر|क्षमा|खेद|माफ|ขออภัย|ขอโทษ",
+    "task": r"\b(?:requests?|questions?|quer(?:y|ies)|answer\w*|assist\w*|help\w*|comply|provide|discuss\w*|respond\w*|repl(?:y|ies)|topics?|comment\w*|label|judge|engage|fulfill?|such (?:material|content|things)|frage|anfrage|antwort\w*|helfen|beantworten|répondre|demande|aider|responder|ayudar\w*|solicitud|pregunta|rispondere|domanda|aiutar\w*|ajudar|pedido|vraag|verzoek|helpen|pomóc|odpowied\w+|pytanie|ответ\w*|вопрос\w*|помочь)\b|回答|问题|请求|帮助|答え|質問|依頼|답변|요청|الإجابة|الرد|المساعدة|उत्तर|मदद|ตอบ|ช่วย|คำขอ",
+    "policy": r"\b(?:polic(?:y|ies)|guidelines?|rules?|allowed?|permit\w*|appropriate|inappropriate|comfortable|at ease|scope|remit|supposed|instructed|prepared|harm\w*|safety|sensitive|richtlinien|regeln|gestatten|erlauben|autoris\w+|autoriz\w+|permitido|permesso|запрещено)\b|允许|規則|अनुमति",
+    "self": r"\b(?:an? ai|ai model|language model|an assistant|chatbot|automated system|ki|sprachmodell|ia|modelo de lenguaje|модел\w+)\b|人工智能|语言模型",
+    "else": r"something else|anything else|another (?:\w+ )?(?:question|topic)|consult|professional|an expert|rephrase|understanding|patience",
+    "you": r"\b(?:you|your|ihnen|sie|vous|usted|le|ти|вам)\b|您",
+}
+_CUES = {k: re.compile(v) for k, v in CUES.items()}
+_SENTENCE = re.compile(r"[.!?。！？।؟\n]+\s*")
 
 
 def language_of(text: str) -> str | None:
     """Language of a text of some length; null if it can't be told."""
-    letters = sum(c.isalpha() for c in text)
+    letters = sum(map(str.isalpha, text))
     if not letters:
         return None
-    for name, pattern in _SCRIPTS.items():
-        if len(pattern.findall(text)) * 5 > letters:
-            return name
-    tokens = [w for w in re.findall(r"[^\W\d_]+", text.lower())]
-    scores = {k: sum(w in small for w in tokens) for k, small in _SMALL.items()}
+    if not text.isascii():
+        for name, pattern in _SCRIPTS.items():
+            if len(pattern.findall(text)) * 5 > letters:
+                return name
+    tokens = re.findall(r"[^\W\d_]+", text.lower())
+    scores = {k: sum(map(small.__contains__, tokens)) for k, small in _SMALL.items()}
     best = max(scores, key=scores.get)
     return best if scores[best] >= 2 and scores[best] * 12 >= len(tokens) else None
 
@@ -131,103 +130,161 @@ def bare(text: str) -> str:
     return "".join(c for c in text if unicodedata.category(c)[0] in "LN").lower()
 
 
+class Prompt:
+    """A prompt with the record in it and the instruction around it; what is needed of them is found once."""
+
+    def __init__(self, text: str, record: str, instruction: str):
+        self.text, self.record, self.instruction = text, record, instruction
+        self._words: tuple[list[str], ...] | None = None
+        self._languages: set[str] | None = None
+
+    def words(self) -> tuple[list[str], ...]:
+        if self._words is None:
+            own = words(self.record)
+            self._words = (own,) if self.record == self.text else (own, words(self.text))
+        return self._words
+
+    def languages(self) -> set[str]:
+        if self._languages is None:
+            self._languages = {x for x in {language_of(t) for t in {self.instruction, self.record}} if x} or {"en"}
+        return self._languages
+
+    def labels(self) -> set[str]:
+        """Labels of a list in the instruction."""
+        return set(_INSTRUCTED.findall(self.instruction)) if self.instruction != self.record and self.instruction.count(",") > 1 else set()
+
+
 class Pair:
     """A prompt with one answer. ``broken`` says that the answer's JSON breaks off."""
 
-    def __init__(self, prompt: str, record: str, instruction: str, answer: str | None, broken: bool = False):
-        self.prompt, self.record, self.instruction, self.answer, self.broken = prompt, record, instruction, (answer or "").strip(), broken
-        self._facts: dict | None = None
-        self._slots: np.ndarray | None = None
-
-    def facts(self) -> dict:
-        """The exact conditions of the defects that have one."""
-        if self._facts is None:
-            a = self.answer
+    __slots__ = ("answer", "broken", "prompt")
+
+    def __init__(self, prompt: Prompt, answer: str | None, broken: bool = False):
+        self.prompt, self.answer, self.broken = prompt, (answer or "").strip(), broken
+
+
+def cover_of(pair: Pair, answer_words: list[str]) -> float:
+    """The larger share of the record or the prompt that the answer repeats in order; 0 where it is surely below a half."""
+    best, there = 0.0, set(answer_words)
+    for part in pair.prompt.words():
+        if 2 * sum(map(there.__contains__, part)) > len(part):
+            best = max(best, in_order_share(part, answer_words))
+    return best
+
+
+class Features:
+    """Facts and features of pairs, given the labels and the usual words of the sample."""
+
+    def __init__(self, labels: frozenset[str], usual: frozenset[str]):
+        self.labels, self.usual = labels, usual
+        self.parts = frozenset(x[:k] for x in labels for k in range(1, len(x))) - labels
+        self._one = lru_cache(1 << 14)(self._one_word)
+
+    def __reduce__(self):
+        return Features, (self.labels, self.usual)
+
+    def _one_word(self, answer: str) -> tuple[bool, ...]:
+        """Of an answer without blanks: empty, label, identifier, part of one of these."""
+        squeezed, low = bare(answer), answer.lower().strip("\"'`“”.")
+        label, identifier = low in self.labels, _IDENTIFIER.fullmatch(answer.strip("\"'`")) is not None
+        part = not label and not identifier and (low in self.parts or _PART_OF_IDENTIFIER.fullmatch(answer) is not None)
+        return not squeezed or squeezed in NULL_WORDS, label, identifier, part and bool(squeezed)
+
+    def facts(self, pair: Pair) -> dict:
+        a = pair.answer
+        one = not re.search(r"\s", a)
+        if one:
+            empty, label, identifier, part = self._one(a)
+            if not (empty or label or identifier) and (own := pair.prompt.labels()):
+                low = a.lower().strip("\"'`“”.")
+                label = low in own
+                part = not label and (part or any(x.startswith(low) for x in own))
+        else:
             squeezed = bare(a)
-            low = a.strip().lower().strip("\"'`“”.")
-            one = not re.search(r"\s", a)
-            empty = not squeezed or squeezed in NULL_WORDS
-            label, identifier = low in LABELS, _IDENTIFIER.fullmatch(a.strip("\"'`")) is not None
-            part = one and not label and not identifier and (any(x.startswith(low) for x in LABELS) or _PART_OF_IDENTIFIER.fullmatch(a) is not None)
+            empty, label, identifier, part = not squeezed or squeezed in NULL_WORDS, False, False, False
+        f = {"empty": empty, "label": label, "identifier": identifier, "part": part, "one": one, "broken": pair.broken, "cover": 0.0, "foreign": False, "unfinished": False, "size": 1, "tongue": None}
+        if not (empty or label or identifier or part):
             answer_words = words(a)
-            long = len(answer_words) >= 4
-            cover = 0.0
-            if long:
-                cover = max(in_order_share(words(self.record), answer_words), in_order_share(words(self.prompt), answer_words) if self.record != self.prompt else 0.0)
-            foreign = False
-            if not label and not identifier and not part and not empty and len(squeezed) >= 6:
-                tongue = language_of(a)
-                if tongue is not None:
-                    allowed = {x for x in (language_of(self.instruction), language_of(self.record)) if x} or {"en"}
-                    foreign = tongue not in allowed and not (tongue in _ASKED and _ASKED[tongue].search(self.prompt))
-            unfinished = not one and not _ENDS_WELL.search(a)
-            self._facts = {
-                "empty": empty, "label": label, "identifier": identifier, "part": part, "long": long, "cover": cover, "foreign": foreign,
-                "unfinished": unfinished, "one": one, "broken": self.broken, "size": len(answer_words),
-            }
-        return self._facts
-
-    def possible(self) -> dict[str, bool]:
-        f = self.facts()
-        copied = f["long"] and f["cover"] >= COPIED_SHARE
-        return {
-            "empty": f["empty"] and not f["broken"],
-            "truncated": (f["part"] or f["unfinished"] or f["broken"]) and not (f["empty"] and not f["broken"]),
-            "refusal": not (f["empty"] or f["label"] or f["identifier"] or f["part"]),
-            "copied": copied,
-            "other_language": f["foreign"],
-        }
-
-    def slots(self) -> np.ndarray:
-        if self._slots is None:
-            self._slots = _slots(self.features())
-        return self._slots
-
-    def features(self) -> list[str]:
-        f, p = self.facts(), self.possible()
-        out = ["bias", f"size={min(int(np.log2(f['size'] + 1)), 7)}", f"cover={min(int(f['cover'] * 10), 10)}"]
-        out += [k for k in ("label", "identifier", "part", "unfinished", "broken", "one", "foreign") if f[k]]
-        out += [f"may {k}" for k in ("empty", "truncated", "copied", "other_language") if p[k]]
-        if p["copied"]:
-            # a copy's words tell nothing
+            f["size"] = len(answer_words)
+            f["cover"] = cover_of(pair, answer_words) if len(answer_words) >= 4 else 0.0
+            f["unfinished"] = not one and not _ENDS_WELL.search(a)
+            if len(bare(a)) >= 6:
+                f["tongue"] = tongue = language_of(a)
+                f["foreign"] = tongue is not None and tongue not in pair.prompt.languages() and not (tongue in _ASKED and _ASKED[tongue].search(pair.prompt.text))
+        return f
+
+    def of(self, pair: Pair, f: dict) -> list[str]:
+        out = ["bias", f"made of {min(int(np.log2(f['size'] + 1)), 7)}", f"cover={min(int(f['cover'] * 10), 10)}"]
+        out += [k for k in ("empty", "label", "identifier", "part", "unfinished", "broken", "one", "foreign") if f[k]]
+        if not (f["empty"] or f["part"] or f["unfinished"] or f["broken"]):
+            out.append("whole")
+        if f["empty"] or f["label"] or f["identifier"] or f["part"] or f["cover"] >= COPIED_SHARE:
+            # the words of a copy tell nothing
             return out
-        lower = self.answer.lower().replace("’", "'")
+        lower = pair.answer.lower().replace("’", "'")
         w = re.findall(r"[^\W\d_\u0900-\u0e7f\u3040-\u9fff]+(?:'[^\W\d_]+)?", lower)
-        out += [f"1{x}" for x in set(w)] + [f"2{x} {y}" for x, y in set(zip(w, w[1:]))] + [f"3{x} {y} {z}" for x, y, z in set(zip(w, w[1:], w[2:]))]
+        content = [x for x in re.findall(r"\b[^\W\d_]{5,}", pair.answer) if not x[:1].isupper()]
+        known = sum(map(self.usual.__contains__, content))
+        usual = f"usual={4 * known // len(content)}" if content else "usual=none"
+        small = 8 * sum(map(_SMALL["en"].__contains__, w)) // max(1, len(w))
+        tongue = "unknown" if f["tongue"] is None else "foreign" if f["foreign"] else "wanted"
+        out += [f"made of {x}" for x in (f"{usual}, english={f['tongue'] == 'en'}", f"tongue={tongue}", f"{tongue}, english={min(small, 3)}", f"{tongue}, {usual}", f"sentences={min(4, len(_SENTENCE.split(lower.strip())))}")]
+        for sentence in _SENTENCE.split(lower):
+            cues = [k for k, pattern in _CUES.items() if pattern.search(sentence)]
+            for n in (1, 2, 3):
+                out += [f"cues={'+'.join(x)}" for x in itertools.combinations(cues, n)]
+            if "first" in cues and ("cannot" in cues or "refuse" in cues):
+                out.append(f"cues=i do not, {usual}")
+        out += [f"3$ {x}" for x in w[-2:] if f["unfinished"]] + [f"1{x}" for x in w] + [f"2{x} {y}" for x, y in zip(w, w[1:])] + [f"3{x} {y} {z}" for x, y, z in zip(w, w[1:], w[2:])]
         # scripts without blanks go by runs of four characters
         for run in re.findall(r"[\u0900-\u0e7f\u3040-\u9fff]{4,}", lower):
-            out += {f"3{run[k : k + 4]}" for k in range(len(run) - 3)}
+            out += [f"3{run[k : k + 4]}" for k in range(len(run) - 3)]
         if w:
             out.append(f"1^ {' '.join(w[:2])}")
         return out
 
+    def slots(self, pair: Pair, f: dict) -> list[int]:
+        return list({_slot(x) for x in self.of(pair, f)})
 
-def _slots(features: list[str]) -> np.ndarray:
-    return np.unique([zlib.crc32(f.encode()) % (DIMENSIONS - PAIR_SLOTS) + PAIR_SLOTS if f[0] in "123" else zlib.crc32(f.encode()) % PAIR_SLOTS for f in features])
+
+@lru_cache(1 << 18)
+def _slot(feature: str) -> int:
+    first, end = (CUE_SLOTS, DIMENSIONS) if feature[0] in "123" else (MAKE_UP_SLOTS, CUE_SLOTS) if feature.startswith("cues=") else (FACT_SLOTS, MAKE_UP_SLOTS) if feature.startswith("made of ") else (0, FACT_SLOTS)
+    return first + zlib.crc32(feature.encode()) % (end - first)
 
 
 class Classifier:
-    def __init__(self, weights: np.ndarray, thresholds: np.ndarray):
-        self.weights, self.thresholds = weights, thresholds
+    """Scores are calibrated log odds less the threshold's: positive means the defect."""
+
+    def __init__(self, features: Features, weights: np.ndarray, slope: np.ndarray, offset: np.ndarray):
+        self.features, self.weights, self.slope, self.offset = features, weights, slope, offset
 
-    def defect(self, pair: Pair, slack: float = 0.0) -> str | None:
-        """The first label, in the order of _ORDER, over its threshold less ``slack`` whose exact condition holds."""
-        scores = self.weights[:, pair.slots()].sum(axis=1) - self.thresholds + slack
-        possible = pair.possible()
-        # a refusal may also be unfinished or in another language
-        return min((k for s, k in zip(scores.tolist(), DEFECTS) if s > 0 and possible[k]), key=_ORDER.get, default=None)
+    def scores(self, slots: list[list[int]]) -> np.ndarray:
+        firsts = np.cumsum([0, *(len(s) for s in slots[:-1])])
+        return np.add.reduceat(self.weights[:, np.concatenate(slots)], firsts, axis=1).T * self.slope + self.offset
 
+    def defects(self, pairs: list[Pair], slack: float = 0.0) -> list[str | None]:
+        """The first label of each pair, in the order of _ORDER, over its threshold less ``slack``; a copy is checked exactly."""
+        if not pairs:
+            return []
+        facts = [self.features.facts(p) for p in pairs]
+        scores = self.scores([self.features.slots(p, f) for p, f in zip(pairs, facts)]) + slack
+        order = [DEFECTS.index(d) for d in _ORDER]
+        return [next((DEFECTS[k] for k in order if row[k] > 0 and (DEFECTS[k] != "copied" or f["cover"] >= COPIED_SHARE)), None) for row, f in zip(scores.tolist(), facts)]
 
-def _fit(slots: list[np.ndarray], y: np.ndarray, rounds: int) -> np.ndarray:
-    """Weights of one logistic model per label, by scaled gradient steps."""
+
+def _fit(slots: list[list[int]], y: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarray:
+    """Weights of one logistic model per label, by scaled gradient steps. ``counts`` masks labels an example says nothing about."""
     rows, columns = np.repeat(np.arange(len(slots)), [len(s) for s in slots]), np.concatenate(slots)
+    firsts = np.cumsum([0, *(len(s) for s in slots[:-1])])
     w = np.zeros((len(DEFECTS), DIMENSIONS))
     for k in range(len(DEFECTS)):
-        rate = np.where(np.arange(DIMENSIONS) < PAIR_SLOTS, 0.3, 0.3 * NGRAM_RATE.get(DEFECTS[k], 0.005))
+        kind = np.searchsorted([FACT_SLOTS, MAKE_UP_SLOTS, CUE_SLOTS], np.arange(DIMENSIONS), "right")
+        rate = 0.3 * np.array([1.0, *RATES.get(DEFECTS[k], (0.02, 0.01, 0.01))])[kind]
         squares = np.full(DIMENSIONS, 1e-10)
-        balance = np.where(y[:, k] > 0, 0.5 / max(1, y[:, k].sum()), 0.5 / max(1, (1 - y[:, k]).sum()))
+        balance = counts[:, k] * np.where(y[:, k] > 0, 0.5 / max(1, y[:, k].sum()), 0.5 / max(1, (1 - y[:, k]).sum()))
         for _ in range(rounds):
-            z = np.bincount(rows, w[k][columns], len(slots))
+            z = np.add.reduceat(w[k][columns], firsts)
             error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[:, k]) * balance
             gradient = np.bincount(columns, error[rows], DIMENSIONS) + 1e-6 * w[k]
             squares += gradient**2
@@ -235,70 +292,130 @@ def _fit(slots: list[np.ndarray], y: np.ndarray, rounds: int) -> np.ndarray:
     return w
 
 
-def _broken_on_purpose(pair: Pair, others: list[str], rng: random.Random) -> list[tuple[Pair, str]]:
-    make = lambda answer, broken=False: Pair(pair.prompt, pair.record, pair.instruction, answer, broken)
-    out = [(make(rng.choice(["", "  ", "\n", "null", "None", "N/A", "nan", "-", "...", "…", "{}", "[]", '""', "​", "n/a"])), "empty")]
-    refusal = rng.choice(_REFUSALS) + rng.choice(_ENDINGS)
-    out.append((make(refusal if rng.random() < 0.8 else refusal.lower()), "refusal"))
-    source = pair.record if rng.random() < 0.7 else pair.prompt
+def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and offset: log odds by Platt's smoothed targets, less those of the threshold of best F1, halfway to the next score."""
+    if not len(z) or y.sum() == 0 or y.sum() == len(y):
+        return 1.0, 0.0 if len(z) and y.sum() else -1e9
+    target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+    centre, scale = z.mean(), z.std() or 1.0
+    u, a, b = (z - centre) / scale, 1.0, 0.0
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(a * u + b, -30, 30)))
+        a -= 0.5 * float(((p - target) * u).mean())
+        b -= 0.5 * float((p - target).mean())
+    slope = max(a, 1e-6) / scale
+    order = np.argsort(-z, kind="stable")
+    f1 = 2 * np.cumsum(y[order]) / (np.arange(1, len(z) + 1) + y.sum())
+    # of equally good thresholds the middle one
+    best = np.flatnonzero(f1 >= f1.max() - 1e-9)
+    s = np.append(z[order], z.min() - 1)
+    cut = (s[best[0]] + s[best[-1] + 1]) / 2
+    return slope, -slope * cut
+
+
+def _broken_on_purpose(pair: Pair, others: list[str], features: Features, rng: random.Random, held_out: bool) -> list[tuple[Pair, str, frozenset[str]]]:
+    """(broken pair, its defect, labels it says nothing about)."""
+    make = lambda answer, broken=False: Pair(pair.prompt, answer, broken)
+    unsure = frozenset(("truncated", "other_language"))
+    out = [(make(rng.choice(["", "  ", "\n", "null", "None", "N/A", "nan", "-", "...", "…", "{}", "[]", '""', "​", "n/a", "NIL", "undefined", "?", "--"])), "empty", frozenset())]
+    out.append((make(phrases.refusal(rng, held_out)), "refusal", unsure))
+    source = pair.prompt.record if rng.random() < 0.7 else pair.prompt.text
     if len(words(source)) >= 8:
         text = source[: int(len(source) * rng.uniform(0.86, 1))] if rng.random() < 0.3 else source
-        out.append((make(rng.choice([str, str.upper, str.lower, lambda t: f"Answer: {t}", lambda t: f"“{t}”", lambda t: "  ".join(t.split())])(text)), "copied"))
-    for answer in (rng.choice(_FOREIGN), *([rng.choice(others)] if others else [])):
+        out.append((make(rng.choice([str, str.upper, str.lower, lambda t: f"Answer: {t}", lambda t: f"“{t}”", lambda t: "  ".join(t.split())])(text)), "copied", frozenset(("truncated", "other_language", "refusal"))))
+    tongue = rng.choice(phrases.LANGUAGES)
+    for answer in (phrases.statement(tongue, rng), *([rng.choice(others)] if others else [])):
         foreign = make(answer)
-        if foreign.facts()["foreign"]:
-            out.append((foreign, "other_language"))
-    a = pair.answer
-    if pair.facts()["label"] or pair.facts()["identifier"]:
+        if answer and not (language_of(answer) or tongue) in pair.prompt.languages() and not any(p.search(pair.prompt.text) for p in _ASKED.values()):
+            out.append((foreign, "other_language", frozenset()))
+    a, f = pair.answer, features.facts(pair)
+    if f["label"] or f["identifier"]:
+        # a part that is a label itself is no defect
         cut = make(a[: rng.randint(1, max(1, len(a) - 1))])
-        if cut.facts()["part"]:
-            out.append((cut, "truncated"))
-        if rng.random() < 0.2:
-            out.append((make(a, True), "truncated"))
+        now = features.facts(cut)
+        if not (now["label"] or now["identifier"]):
+            out.append((cut, "truncated", frozenset()))
+        if rng.random() < 0.3:
+            out.append((make(a[: rng.randint(0, len(a))], True), "truncated", frozenset()))
     elif len(a.split()) > 4:
-        cut = make(a[: rng.randint(len(a) // 3, len(a) - 2)].rstrip() + rng.choice(["", "", ",", ":", " (see", " because", " and the", " **Next st"]))
-        if cut.facts()["unfinished"]:
-            out.append((cut, "truncated"))
+        cut = a[: rng.randint(len(a) // 3, len(a) - 2)].rstrip() + rng.choice(["", "", ",", ":", " (see", " because", " and the", " which", " **"])
+        if not _ENDS_WELL.search(cut):
+            out.append((make(cut, rng.random() < 0.1), "truncated", frozenset()))
     return out
 
 
+def _may_refuse(answer: str) -> bool:
+    """Whether a sentence has cues that refusals have together: no negative to learn from, though it need not be one."""
+    for sentence in _SENTENCE.split(answer.lower().replace("’", "'")):
+        cues = {k for k, pattern in _CUES.items() if pattern.search(sentence)}
+        if {"first", "self"} & cues and {"cannot", "refuse"} & cues or len(cues & {"sorry", "task", "policy", "refuse", "cannot", "self", "else"}) > 1:
+            return True
+    return False
+
+
+def _sample_features(pairs: list[Pair], rng: random.Random) -> Features:
+    """Labels and usual words of the sample: answers of one word seen in several pairs, words of several answers without refusing ones."""
+    ones = Counter(p.answer.lower() for p in pairs if re.fullmatch(r"[a-z]+(?:_[a-z]+)*", p.answer.lower()))
+    frequent = {x for x, n in ones.items() if n >= max(5, len(pairs) // 300)}
+    # a frequent cut is rarer than what it is a part of
+    labels = LABELS | {x for x in frequent - NULL_WORDS if not any(y != x and y.startswith(x) and n >= ones[x] for y, n in ones.items()) and not any(y != x and y.startswith(x) for y in LABELS)}
+    usual: Counter = Counter()
+    for p in pairs:
+        if " " in p.answer and not _may_refuse(p.answer) and language_of(p.answer) == "en":
+            usual.update({x for x in re.findall(r"\b[^\W\d_]{5,}", p.answer) if not x[:1].isupper()})
+    return Features(frozenset(labels), frozenset(x for x, n in usual.items() if n >= 3))
+
+
 def train(pairs: list[Pair], seed: int = 42) -> Classifier:
-    """Clean-looking pairs are negatives and the stuff that broken ones are made of; later rounds leave out what earlier ones suspect."""
+    """Clean-looking pairs and look-alikes are negatives and the stuff that broken ones are made of.
+
+    A fifth of the pairs, with all that is made of them, is kept for calibration. Later rounds leave out pairs that earlier ones suspect.
+    """
     rng = random.Random(seed)
-    hard = ("empty", "truncated", "copied", "other_language")
-    clean = [p for p in pairs if not any(p.possible()[k] for k in hard)]
+    features = _sample_features(pairs, rng)
+    facts = [features.facts(p) for p in pairs]
+    odd = lambda f: f["empty"] or f["part"] or f["unfinished"] or f["broken"] or f["foreign"] or f["cover"] >= COPIED_SHARE
+    clean = [p for p, f in zip(pairs, facts) if not odd(f) and not (" " in p.answer and _may_refuse(p.answer))]
     if not clean:
-        clean = [Pair("Pick one label. Record: the loader copies the key.", "the loader copies the key.", "Pick one label.", a) for a in ("benign", "CVE-2020-12345", "The loader copies the key of the host.")]
-    clean += [Pair(p.prompt, p.record, p.instruction, s + " " + (p.answer if len(p.answer.split()) > 4 else "")) for p in rng.sample(clean, min(len(clean), 60)) for s in _NO_REFUSALS]
+        prompt = Prompt("Pick one label. Record: the loader copies the key.", "the loader copies the key.", "Pick one label.")
+        clean = [Pair(prompt, a) for a in ("benign", "CVE-2020-12345", "The loader moves another token of the host.") for _ in range(20)]
     # answers in other languages than English, to be swapped with others
-    others = [p.answer for p in pairs if p.facts()["long"] and language_of(p.answer) not in (None, "en") and not p.possible()["copied"]]
-    clean = [p for p in clean if not any(p.possible()[k] for k in hard)]
-    made = [x for p in clean for x in _broken_on_purpose(p, others, rng)]
-    rng.shuffle(made)
-    made = made[: 3 * TRAINING_PAIRS]
-    pool = [(p, None) for p in clean]
+    others = [p.answer for p, f in zip(pairs, facts) if f["size"] >= 4 and f["tongue"] not in (None, "en") and f["cover"] < COPIED_SHARE]
+    sets: list[list[tuple[Pair, str | None, frozenset[str]]]] = [[], []]
+    made = Counter()
+    for i, p in enumerate(clean):
+        held = i % 5 == 0
+        own = sets[held]
+        own.append((p, None, frozenset(("corpus",))))
+        made[" " in p.answer] += 1
+        if made[" " in p.answer] > BROKEN_FROM:
+            continue
+        own += _broken_on_purpose(p, others, features, rng, held)
+        if i % 2 == 0:
+            text = phrases.lookalike(rng)
+            own.append((Pair(p.prompt, text if rng.random() < 0.6 or " " not in p.answer else f"{text} {p.answer}"), None, frozenset(("other_language", "truncated"))))
+        if i % 10 == 0:
+            # a language that the prompt asks for
+            tongue = rng.choice(phrases.LANGUAGES)
+            name = LANGUAGE_NAMES[tongue].split("|")[0].capitalize()
+            ask = rng.choice([f"Answer in {name}.", f"Please reply in {name}.", f"The answer must be in {name}.", f"Use {name} for the answer.", f"{name} only, please."])
+            own.append((Pair(Prompt(f"{p.prompt.text} {ask}", p.prompt.record, f"{p.prompt.instruction} {ask}"), phrases.statement(tongue, rng)), None, frozenset(("truncated",))))
+    prepared = [[(f, features.slots(p, f)) for p, f in ((p, features.facts(p)) for p, _, _ in own)] for own in sets]
     model = None
-    for _ in range(3):
-        if model is not None:
-            pool = [(p, None) for p, _ in pool if model.defect(p, SUSPICION) is None]
-        examples = pool + made
-        rng.shuffle(examples)
-        # several labels at once: a refusal in another language is both
-        y = np.array([[float(label is not None and (label == k or (k in hard and p.possible()[k]))) for k in DEFECTS] for p, label in examples])
-        slots = [p.slots() for p, _ in examples]
-        held = np.arange(len(examples)) % 5 == 0
-        w = _fit([s for s, h in zip(slots, held) if not h], y[~held], 60)
-        scores = np.array([w[:, s].sum(axis=1) for s, h in zip(slots, held) if h])
-        # the threshold with the best F1 on the held-out part, halfway to the next score
-        thresholds = np.zeros(len(DEFECTS))
-        for k in range(len(DEFECTS)):
-            order = np.argsort(-scores[:, k])
-            hit = np.cumsum(y[held][order, k])
-            f1 = 2 * hit / (np.arange(1, len(order) + 1) + max(1.0, y[held][:, k].sum()))
-            best = int(np.argmax(f1)) if len(f1) else 0
-            s = scores[order, k]
-            thresholds[k] = (s[best] + (s[best + 1] if best + 1 < len(s) else s[best])) / 2 if len(s) else 0.0
-        model = Classifier(w, thresholds)
+    for _ in range(2):
+        z = []
+        for own, ready in zip(sets, prepared):
+            keep = np.ones(len(own), bool)
+            if model is not None:
+                keep = ~np.array(["corpus" in unsure for _, _, unsure in own]) | (model.scores([s for _, s in ready])[:, DEFECTS.index("refusal")] <= SUSPICION)
+            y = np.array([[float(label == k) for k in DEFECTS] for _, label, _ in own])
+            counts = np.array([[float(k not in unsure or label == k) for k in DEFECTS] for _, label, unsure in own])
+            z.append(([s for (_, s), k in zip(ready, keep) if k], y[keep], counts[keep]))
+        w = _fit(*z[0], 60)
+        slots, y, counts = z[1] if z[1][0] else z[0]
+        plain = Classifier(features, w, np.ones(len(DEFECTS)), np.zeros(len(DEFECTS))).scores(slots)
+        fitted = [_calibrate(plain[counts[:, k] > 0, k], y[counts[:, k] > 0, k]) for k in range(len(DEFECTS))]
+        model = Classifier(features, w, np.array([a for a, _ in fitted]), np.array([b for _, b in fitted]))
     return model
 
 
@@ -311,7 +428,7 @@ def _loads(text):
 
 def benchmark_pair(prompt: str | None, answer: str | None) -> Pair:
     p = prompt or ""
-    return Pair(p, p, p, answer)
+    return Pair(Prompt(p, p, p), answer)
 
 
 def _answers(content: str | None) -> list[tuple[str | None, bool]]:
@@ -355,37 +472,38 @@ def chat_pairs(messages: str | None, target: str | None) -> list[Pair]:
     else:
         reply = next((m.get("content") for m in turns[at + 1 :] if m.get("role") == "assistant"), None) if at is not None else None
         replies = _answers(reply if isinstance(reply, str) or reply is None else json.dumps(reply))
-    return [Pair(prompt, record, instruction, a, broken) for a, broken in [*replies, *_answers(target)]]
-
-
-def _judge(pairs: list[Pair], model: Classifier) -> str | None:
-    found = [d for d in (model.defect(p) for p in pairs) if d]
-    return min(found, key=_ORDER.get) if found else None
+    whole = Prompt(prompt, record, instruction)
+    return [Pair(whole, a, broken) for a, broken in dict.fromkeys([*replies, *_answers(target)])]
 
 
 def defective(benchmark: DataFrame, chats: DataFrame, bound: int = TRAINING_PAIRS) -> DataFrame:
-    """(table_name, row_key, defect) of the defective pairs, one row per key; equal repetitions of a key count once.
+    """(table_name, row_key, defect) of the defective pairs, one row per key: of several the first in the order of _ORDER.
 
-    Null answers and answers of blanks only are empty; a null prompt is an empty one. Rows without a key are left out.
+    Null answers and answers of blanks only are empty; a null prompt is an empty one. Rows without a key are left out. Rows are scored
+    where they are read; only the defective ones are shuffled.
     """
     b = benchmark.select(F.lit("gold_benchmark").alias("table_name"), F.col("record_id").alias("row_key"), F.col("input_text").alias("a"), F.col("expected_output").alias("b"))
     c = chats.select(F.lit("sft_examples").alias("table_name"), F.col("example_id").alias("row_key"), F.col("messages_json").alias("a"), F.col("target_json").alias("b"))
-    rows = b.unionByName(c).where("row_key is not null").distinct()
+    rows = b.unionByName(c).where("row_key is not null")
 
     def read(name: str, x: str | None, y: str | None) -> list[Pair]:
         return [benchmark_pair(x, y)] if name == "gold_benchmark" else chat_pairs(x, y)
 
-    # texts over 100,000 characters are no training examples, which bounds the sample's size too
-    short = rows.where("coalesce(length(a), 0) + coalesce(length(b), 0) < 100000").withColumn("h", F.xxhash64("table_name", "row_key"))
-    sample = short.orderBy("h", "row_key", "a", "b").limit(bound).collect()
+    short = rows.where(F.coalesce(F.length("a"), F.lit(0)) + F.coalesce(F.length("b"), F.lit(0)) < TRAINING_LENGTH).withColumn("h", F.xxhash64("table_name", "row_key"))
+    sample = sorted(set(short.orderBy("h", "row_key", "a", "b").limit(bound).collect()), key=str)
     model = train([p for r in sample for p in read(r.table_name, r.a, r.b)])
     shared = benchmark.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_judge(read(n, x, y), shared.value) for n, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)))]
-            at = pa.array([i for i, d in enumerate(found) if d], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([d for d in found if d], pa.string())], ["table_name", "row_key", "defect"])
-
-    done = rows.mapInArrow(run, "table_name string, row_key string, defect string")
-    return done.groupBy("table_name", "row_key").agg(F.min("defect").alias("defect"))
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
+                read_ = [read(n, x, y) for n, x, y in zip(*(part.column(i).to_pylist() for i in (0, 2, 3)))]
+                sizes = [len(x) for x in read_]
+                found = shared.value.defects([p for x in read_ for p in x])
+                hits = [(i, d) for i, d in zip(np.repeat(np.arange(len(sizes)), sizes).tolist(), found) if d]
+                at = pa.array([i for i, _ in hits], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array([_ORDER.index(d) for _, d in hits], pa.int32())], ["table_name", "row_key", "place"])
+
+    done = rows.mapInArrow(run, "table_name string, row_key string, place int")
+    return done.groupBy("table_name", "row_key").agg(F.get(F.array(*[F.lit(d) for d in _ORDER]), F.min("place")).alias("defect"))

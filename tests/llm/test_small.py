@@ -124,6 +124,41 @@ def test_pairs_on_planted_defects(spark):
     assert [got.get(c) for c in ("c1", "c2", "c3", "c4")] == ["empty", "empty", "truncated", "empty"]
 
 
+@pytest.fixture(scope="module")
+def pair_model():
+    rows = pd.read_parquet(D + "gold_benchmark.parquet", columns=["input_text", "expected_output"])
+    chats = pd.read_parquet(D + "sft_examples.parquet", columns=["messages_json", "target_json"])
+    return pairs.train([pairs.benchmark_pair(a, b) for a, b in rows.itertuples(index=False)] + [p for a, b in chats.itertuples(index=False) for p in pairs.chat_pairs(a, b)])
+
+
+#: Wordings that no template can give.
+UNSEEN = {
+    "refusal": [
+        "That falls outside what I'm prepared to discuss.", "I'd rather not get into that.", "I'm afraid that isn't something I can do.", "This isn't a topic I engage with.", "I have no intention of answering.", "Nope, not answering that.",
+        "Providing an assessment would be against company policy.", "My instructions prevent me from labelling this entry.", "I am restricted from commenting.", "For safety reasons this will remain unanswered.", "Regretfully, assistance is not possible.",
+        "We do not provide such information.", "I'm only able to help with harmless questions.", "I'm programmed not to respond to this.", "Non posso aiutarti con questa richiesta.", "Nie mogę odpowiedzieć na to pytanie.", "Ich bin nicht befugt, darauf zu antworten.",
+        "Je regrette, mais il m'est interdit de répondre.", "No me es posible atender esta petición.", "Мне не разрешено давать такой ответ.", "恕我不能回答。", "لا يمكنني تقديم المساعدة هنا.", "मैं इस अनुरोध को पूरा नहीं कर सकता।", "ไม่สามารถช่วยได้ค่ะ",
+    ],
+    "other_language": [
+        "Lo script di installazione scrive nella cartella temporanea senza verificare la firma.", "Skrypt instalacyjny zapisuje pliki w katalogu tymczasowym bez sprawdzania podpisu.", "설치 프로그램이 서명을 확인하지 않고 임시 폴더에 파일을 쓴다.",
+        "Het installatiescript schrijft bestanden in de tijdelijke map zonder de handtekening te controleren.", "O instalador grava ficheiros na pasta temporária sem verificar a assinatura.", "Το πρόγραμμα γράφει αρχεία σε προσωρινό φάκελο.",
+    ],
+    "truncated": ["The loader copies the cached keys and then", "ai_security_", "CWE-", "T10", "CVE-2021-12", "vulnerable_depend", "Operators should move to the fixed build, because", "malicious_pack"],
+    "empty": ["", " ", "N/A", "none", "—", "[]", "{ }", "...", "NULL", "​"],
+}
+
+
+def test_unseen_wordings(pair_model):
+    prompt = pairs.Prompt(*["The loader of Example 1.2 copies cached keys after login. Operators should move to the fixed build. The beacon drains the queue before the alarm is raised."] * 3)
+    for defect, answers in UNSEEN.items():
+        found = pair_model.defects([pairs.Pair(prompt, a) for a in answers])
+        assert sum(d == defect for d in found) >= 0.9 * len(answers), (defect, list(zip(answers, found)))
+    fine = ["benign", "ai_security_risk", "CVE-2021-12345", "T1059.003", "unknown", "The service is unable to start after the change, so the record describes an outage as well.", "I can see two causes in the record, and both are local.", "The loader copies keys of the host, and nobody is alerted."]
+    assert pair_model.defects([pairs.Pair(prompt, a) for a in fine]) == [None] * len(fine)
+    asked = pairs.Prompt(prompt.text + " Use Italian for the answer.", prompt.record, prompt.instruction)
+    assert pair_model.defects([pairs.Pair(asked, UNSEEN["other_language"][0])]) == [None]
+
+
 def test_pairs_empty_tables(spark):
     a = spark.createDataFrame([], "record_id string, input_text string, expected_output string")
     b = spark.createDataFrame([], "example_id string, messages_json string, target_json string")
@@ -153,6 +188,12 @@ def test_overlap_equals_brute_force(spark):
     own = [(a, side[c], words(d)) for a, _, c, d in rows if a and c and d and words(d)]
     want = {(a, b) for a, s, x in own for b, t, y in own if s == "e" and t == "t" and edits_within(x, y, max(len(x), len(y)) // 8)}
     assert got == want and len(want) > 10
+    counts = {r.record: r.pairs for r in overlap.evaluation_counts(found, members).collect()}
+    assert counts == Counter(a for a, _ in want)
+    listed = overlap.class_members(found, members).collect()
+    assert {r.record for r in listed} == {a for a, *_ in own} and {r.record for r in listed if r.links} == {x for pair in want for x in pair}
+    twice = spark.createDataFrame([("a", "s", "train", "one two three"), ("a", "s", "train", "four five six"), ("b", "s", "test", "four five six")], df.drop("tokens").schema)
+    assert [(r.e_record, r.t_record) for r in overlap.record_pairs(*overlap.overlaps(twice, "record_id", "normalized_text", clean_split("split"), "source_id")).collect()] == [("b", "a")]
     none, rest = overlap.overlaps(df.limit(0), "record_id", "normalized_text", clean_split("split"), "source_id")
     assert overlap.record_pairs(none, rest).count() == 0
 
@@ -179,16 +220,34 @@ def test_sampling(spark):
     )
     people = sampling.population(df, "record_id", {"main_category": "main_category"})
     got = Counter(r.category for r in sampling.sample(people, targets).collect())
-    assert got == {"big one": 50, "SMALL": 3, "rare": 1}
-    assert sampling.sample(people, targets).distinct().count() == 54
+    # rare and gone leave 48 rows to the others, floors come out of the largest category
+    assert got == {"big one": 96, "SMALL": 3, "rare": 1}
+    assert sampling.sample(people, targets).distinct().count() == 100
     report = {r.category: r for r in sampling.report(people, targets).collect()}
     assert {c: (r.available, r.selected, r.capped, r.below_floor) for c, r in report.items()} == {
-        "big one": (800, 50, False, False), "SMALL": (4, 3, False, False), "rare": (1, 1, True, True), "gone": (0, 0, True, False),
+        "big one": (800, 96, False, False), "SMALL": (4, 3, False, False), "rare": (1, 1, True, True), "gone": (0, 0, True, False),
     }
     assert sampling.sample(people, targets, "7").subtract(sampling.sample(people, targets)).count() > 0
     assert sampling.sample(people.limit(0), targets).count() == 0 and sampling.report(people.limit(0), targets).count() == 4
 
 
+def test_sample_sizes_stay():
+    """Random targets: the size is the wanted one wherever the rows allow it, shares and floors hold."""
+    rng = random.Random(66)
+    for _ in range(300):
+        k = rng.randrange(1, 9)
+        have = [rng.choice([0, 1, 3, 40, 500, 2000]) for _ in range(k)]
+        share = [rng.random() for _ in range(k)]
+        rows = pd.DataFrame({"key": [f"k{i}" for i in range(k)], "target_id": range(k), "dimension": "d", "category": "c", "wanted": [100 * x / sum(share) for x in share], "floor_rows": [rng.choice([0, 0, 2, 5]) for _ in range(k)], "available": have})
+        got = sampling._plan_dimension(rows, rng.random())
+        assert (got.final <= got.available).all() and (got.final >= got[["floor_rows", "available"]].min(axis=1)).all()
+        if sum(have) >= 120:
+            assert 99 <= got.final.sum() <= max(101, sum(min(a, b) for a, b in zip(rows.floor_rows, have)))
+        free = got[(got.p < 1) & (got.available > 0)]
+        if got.floor_rows.sum() == 0 and len(free):
+            assert (free.final - free.p * free.available).abs().max() <= 1 and (free.p * free.available >= free.wanted - 1e-6).all()
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 def test_encoding(spark):
     tokenizers = pytest.importorskip("tokenizers")
