@@ -33,9 +33,17 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumnRenamed("contributor", "source_id")
 
 
+def _moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.split_moves(_gold(spark, sf_dir), "record_id", splits.unified_entities(), splits.unified_split(), SHARES)
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = splits.split_conflicts(_gold(spark, sf_dir), "record_id", splits.unified_entities(), splits.unified_split())
-    return found.select("group_kind", "group_key")
+    """Groups some of whose records must move and some not, or from two splits."""
+    return _moves(spark, sf_dir).where("moves > 0 and (moves < records or size(splits) > 1)").select("group_kind", "group_key")
+
+
+def p2_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moves(spark, sf_dir).withColumn("splits", F.array_join("splits", "|"))
 
 
 def p2_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,10 +55,12 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reached shares: one component may hold more records than a split should."""
     done = splits.assign_splits(_gold(spark, sf_dir), "record_id", splits.unified_entities(), SHARES)
     per = done.groupBy("component", "split").agg(F.count("*").alias("n")).groupBy("split").agg(F.sum("n").alias("records"), F.count("*").alias("components"), F.max("n").alias("largest_component"))
-    wanted = F.create_map(*[F.lit(x) for pair in SHARES.items() for x in pair])
-    total = cut_lineage(per)
-    return total.join(F.broadcast(total.agg(F.sum("records").alias("total")))).select(  # one row
-        "split", "records", "components", "largest_component", F.try_element_at(wanted, "split").alias("wanted_share"), F.round(F.col("records") / F.col("total"), 6).alias("reached_share")
+    shares = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(k).alias("split"), F.lit(v).alias("wanted_share")) for k, v in SHARES.items()])).alias("x")).select("x.*")
+    reached = cut_lineage(per)
+    total = reached.agg(F.sum("records").alias("total"))
+    counted = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("records", "components", "largest_component")}
+    return shares.join(reached, "split", "left").withColumns(counted).join(F.broadcast(total)).select(  # one row
+        "split", "records", "components", "largest_component", "wanted_share", F.coalesce(F.round(F.col("records") / F.col("total"), 6), F.lit(0.0)).alias("reached_share")
     )
 
 
@@ -72,10 +82,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs and evaluation records per split and clean source."""
-    found = overlap.record_pairs(*_overlaps(spark, sf_dir)).withColumn("source_id", clean_source("e_extra"))
-    per_record = found.groupBy("e_side", "source_id", "e_record").agg(F.count("*").alias("n"), F.max("coverage").alias("c"))
-    return per_record.groupBy(F.col("e_side").alias("split"), "source_id").agg(F.sum("n").alias("pairs"), F.count("*").alias("records"), F.round(F.avg("c"), 4).alias("mean_coverage"))
+    """Pairs and evaluation records per split and clean source, counted from classes."""
+    per_record = overlap.evaluation_counts(*_overlaps(spark, sf_dir)).withColumn("source_id", clean_source("extra"))
+    return per_record.groupBy(F.col("side").alias("split"), "source_id").agg(F.sum("pairs").alias("pairs"), F.count("*").alias("records"), F.round(F.avg("coverage"), 4).alias("mean_coverage"))
+
+
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its class and the number of near-same classes on the other side."""
+    return overlap.class_members(*_overlaps(spark, sf_dir)).withColumnRenamed("record", "record_id")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +148,9 @@ def p8_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_capped": p1_capped, "p1_report": p1_report,
-    "p2_found": p2_found, "p2_splits": p2_splits, "p2_report": p2_report,
+    "p2_found": p2_found, "p2_moves": p2_moves, "p2_splits": p2_splits, "p2_report": p2_report,
     "p3_found": p3_found, "p3_report": p3_report,
-    "p4_found": p4_found, "p4_report": p4_report,
+    "p4_found": p4_found, "p4_report": p4_report, "p4_classes": p4_classes,
     "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample,
     "p8_ids": p8_ids, "p8_offsets": p8_offsets,
     "p9_found": p9_found, "p9_report": p9_report,
@@ -164,15 +178,31 @@ SQL = {
     "p1_capped": f"WITH {_ONCE} SELECT record_id, source_id, r AS source_rank FROM ranked WHERE source_id IS NULL OR r <= allowed",
     "p1_report": f"""WITH {_ONCE} SELECT source_id, count(*) AS n_records, count(*) FILTER (source_id IS NULL OR r <= allowed) AS n_kept,
       count(*) FILTER (source_id IS NOT NULL AND r > allowed) AS n_dropped, max(CASE WHEN source_id IS NOT NULL THEN allowed END) AS allowed FROM ranked GROUP BY source_id""",
-    "p2_found": f"""WITH r AS (
-        SELECT CASE WHEN lower(trim(split, E' \\t\\n\\r')) = 'validation' THEN 'val' ELSE nullif(lower(trim(split, E' \\t\\n\\r')), '') END AS s, {_SOURCE} AS source_id,
-               regexp_extract_all(cve, '(?i)CVE[^0-9A-Za-z]{{1,3}}\\d{{4}}[^0-9A-Za-z]{{1,3}}\\d{{1,19}}') AS ids FROM gold_unified WHERE record_id IS NOT NULL),
-      g AS (SELECT 'source_id' AS group_kind, source_id AS group_key, s FROM r WHERE source_id IS NOT NULL
-        UNION ALL SELECT 'cve', regexp_replace(id, '(?i)CVE[^0-9]+(\\d{{4}})[^0-9]+(\\d+)', 'CVE-\\1-\\2'), s FROM (SELECT unnest(ids) AS id, s FROM r))
-      SELECT group_kind, group_key FROM g GROUP BY group_kind, group_key HAVING count(DISTINCT s) > 1""",
-    "p6_found": f"""WITH c AS ({' UNION ALL '.join(_counts(n, c, d) for d, n, c in DIMENSIONS)})
-      SELECT t.dimension, t.category FROM sampling_targets t LEFT JOIN c ON c.dimension = t.dimension AND c.k = {_CATEGORY.format('t.category')}
-      WHERE coalesce(c.n, 0) < t.target_share * t.sample_size OR coalesce(c.n, 0) < t.min_rows""",
+}
+
+_SPLIT = "CASE WHEN lower(trim(split, E' \\t\\n\\r')) = 'validation' THEN 'val' ELSE nullif(lower(trim(split, E' \\t\\n\\r')), '') END"
+_HASHED = "CASE WHEN u < 0.8::DOUBLE THEN 'train' WHEN u < (0.8::DOUBLE + 0.1::DOUBLE) THEN 'val' ELSE 'test' END"
+#: Components by label propagation over (entity, first entity of the record).
+_COMPONENTS = f"""WITH RECURSIVE g AS (SELECT DISTINCT record_id, {_SOURCE} AS source_id, cve, {_SPLIT} AS s FROM gold_unified WHERE record_id IS NOT NULL),
+e AS (SELECT record_id, 'source_id:' || source_id AS entity, s FROM g WHERE source_id IS NOT NULL
+  UNION SELECT record_id, 'cve:' || regexp_replace(i, '(?i)CVE[^0-9]+(\\d{{4}})[^0-9]+(\\d+)', 'CVE-\\1-\\2'), s
+  FROM (SELECT record_id, s, unnest(regexp_extract_all(cve, '(?i)CVE[^0-9A-Za-z]{{1,3}}\\d{{4}}[^0-9A-Za-z]{{1,3}}\\d{{1,19}}')) AS i FROM g)),
+f AS (SELECT record_id, min(entity) AS first FROM e GROUP BY 1),
+l AS (SELECT DISTINCT entity AS x, first AS y FROM e JOIN f USING (record_id) UNION SELECT first, entity FROM e JOIN f USING (record_id)),
+cc(x, c) USING KEY (x) AS (SELECT DISTINCT entity, entity FROM e
+  UNION SELECT l.x, min(p.c) FROM cc AS p JOIN l ON l.y = p.x JOIN recurring.cc AS q ON q.x = l.x WHERE p.c < q.c GROUP BY l.x),
+h AS (SELECT x, c, {_HASHED} AS assigned FROM (SELECT x, c, ('0x' || substr(sha256('42:' || c), 1, 8))::BIGINT / 4294967296.0 AS u FROM cc)),
+mv AS (SELECT x, c, assigned, list_sort(list(DISTINCT s)) AS splits, count(*) AS records, count(*) FILTER (s <> assigned) AS moves FROM (SELECT DISTINCT record_id, entity AS x, s FROM e WHERE s IS NOT NULL) JOIN h USING (x) GROUP BY ALL),
+rs AS (SELECT g.record_id, coalesce(cc.c, 'record:' || g.record_id) AS component FROM (SELECT DISTINCT record_id FROM g) g LEFT JOIN f USING (record_id) LEFT JOIN cc ON cc.x = f.first),
+sp AS (SELECT record_id, component, {_HASHED} AS split FROM (SELECT *, ('0x' || substr(sha256('42:' || component), 1, 8))::BIGINT / 4294967296.0 AS u FROM rs))"""
+_KIND, _NAME = "split_part(x, ':', 1)", "substr(x, strpos(x, ':') + 1)"
+SQL |= {
+    "p2_found": f"{_COMPONENTS} SELECT {_KIND} AS group_kind, {_NAME} AS group_key FROM mv WHERE len(splits) > 1",
+    "p2_moves": f"{_COMPONENTS} SELECT {_KIND} AS group_kind, {_NAME} AS group_key, c AS component, assigned, array_to_string(splits, '|') AS splits, records, moves FROM mv",
+    "p2_splits": f"{_COMPONENTS} SELECT * FROM sp",
+    "p2_report": f"""{_COMPONENTS}, n AS (SELECT component, split, count(*) AS n FROM sp GROUP BY ALL), w AS (SELECT * FROM (VALUES ('train', 0.8::DOUBLE), ('val', 0.1::DOUBLE), ('test', 0.1::DOUBLE)) t(split, wanted_share))
+      SELECT w.split, coalesce(sum(n), 0)::BIGINT AS records, count(n) AS components, coalesce(max(n), 0) AS largest_component, any_value(wanted_share) AS wanted_share, round(coalesce(sum(n), 0) / (SELECT count(*) FROM sp), 6)::DOUBLE AS reached_share
+      FROM w LEFT JOIN n USING (split) GROUP BY w.split""",
 }
 
 
@@ -182,11 +212,17 @@ def _draw(dimension: str, name: str, column: str) -> str:
   av AS (SELECT k, count(*) AS n FROM rk GROUP BY k),
   tg AS (SELECT {_CATEGORY.format('category')} AS k, min_by(category, target_id) AS category, min_by(target_share * sample_size, target_id) AS wanted, min_by(coalesce(min_rows, 0), target_id) AS least_rows
     FROM sampling_targets WHERE dimension = '{dimension}' GROUP BY 1),
-  pl AS (SELECT tg.*, coalesce(n, 0) AS n, CASE WHEN coalesce(n, 0) > 0 THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, wanted / n)) ELSE 0 END AS p FROM tg LEFT JOIN av USING (k)),
+  t0 AS (SELECT tg.*, coalesce(n, 0)::DOUBLE AS n FROM tg LEFT JOIN av USING (k)),
+  t1 AS (SELECT *, sum(wanted) OVER () AS size, sum(n) OVER w - n AS used, sum(wanted) OVER () - (sum(wanted) OVER w - wanted) AS rest, row_number() OVER w AS place FROM t0 WINDOW w AS (ORDER BY n / wanted, k ROWS UNBOUNDED PRECEDING)),
+  sc AS (SELECT coalesce(min_by((size - used) / rest, place) FILTER ((size - used) / rest * wanted <= n), 'infinity'::DOUBLE) AS c FROM t1),
+  pl AS (SELECT k, category, wanted, least_rows, n, CASE WHEN n > 0 THEN least(n, c * wanted) / n ELSE 0 END AS p FROM t0, sc),
   bs AS (SELECT *, ('0x' || substr(sha1('42'), 1, 8))::BIGINT / 4294967296.0 + coalesce(sum(p * n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM pl),
-  cr AS (SELECT rk.record_id, rk.k, bs.category, r, base, p, least_rows, floor(round(base + r * p, 9)) > floor(round(base + (r - 1) * p, 9)) AS crossed, floor(round(base + (r - 1) * p, 9)) - floor(round(base, 9)) AS sofar FROM rk JOIN bs USING (k)),
-  dr AS (SELECT *, least_rows - count(*) FILTER (crossed) OVER (PARTITION BY k) AS missing FROM cr)
-  SELECT '{dimension}' AS dimension, record_id, k, category, crossed, NOT crossed AND r - 1 - sofar < missing AS by_floor FROM dr)"""
+  d0 AS (SELECT *, floor(round(base + n * p, 9)) - floor(round(base, 9)) AS drawn, least(least_rows, n) AS lowest FROM bs),
+  d1 AS (SELECT *, sum(greatest(lowest - drawn, 0)) OVER () AS missing, CASE WHEN n > drawn THEN greatest(drawn - lowest, 0) ELSE 0 END AS room FROM d0),
+  d2 AS (SELECT *, greatest(drawn, lowest) - greatest(0, least(room, missing - (sum(room) OVER (ORDER BY room DESC, k ROWS UNBOUNDED PRECEDING) - room))) AS final FROM d1),
+  cr AS (SELECT rk.record_id, rk.k, category, r, drawn, final, floor(round(base + r * p, 9)) - floor(round(base, 9)) AS until, floor(round(base + (r - 1) * p, 9)) - floor(round(base, 9)) AS before FROM rk JOIN d2 USING (k)),
+  fl AS (SELECT *, until <= before AND r - 1 - before < final - drawn AS by_floor FROM cr)
+  SELECT '{dimension}' AS dimension, record_id, k, category, until > before AND until <= final AS crossed, by_floor FROM fl)"""
 
 
 _DRAWN = "dr AS (" + " UNION ALL ".join(f"SELECT * FROM {_draw(d, n, c)}" for d, n, c in DIMENSIONS) + ")"
@@ -194,6 +230,7 @@ SQL |= {
     "p6_sample": f"WITH {_DRAWN} SELECT dimension, record_id, category, by_floor FROM dr WHERE crossed OR by_floor",
     "p6_report": f"""WITH {_DRAWN}, c AS ({' UNION ALL '.join(_counts(n, c, d) for d, n, c in DIMENSIONS)}), s AS (SELECT dimension, k, count(*) FILTER (crossed OR by_floor) AS selected, count(*) FILTER (by_floor) AS from_floor FROM dr GROUP BY ALL)
       SELECT t.dimension, t.category, t.target_share, t.min_rows, t.target_share * t.sample_size AS wanted, coalesce(c.n, 0) AS available, coalesce(s.selected, 0) AS selected, coalesce(s.from_floor, 0) AS from_floor,
-      coalesce(c.n, 0) < t.target_share * t.sample_size AS capped, coalesce(c.n, 0) < t.min_rows AS below_floor
+      coalesce(s.selected, 0) = coalesce(c.n, 0) AND coalesce(s.selected, 0) < t.target_share * t.sample_size AS capped, coalesce(s.selected, 0) < t.min_rows AS below_floor
       FROM sampling_targets t LEFT JOIN c ON c.dimension = t.dimension AND c.k = {_CATEGORY.format('t.category')} LEFT JOIN s ON s.dimension = t.dimension AND s.k = {_CATEGORY.format('t.category')}""",
 }
+SQL["p6_found"] = f"SELECT dimension, category FROM ({SQL['p6_report']}) WHERE capped OR below_floor"

@@ -88,8 +88,10 @@ def test_splits(spark):
         ("r6", "", "", "val"), ("r7", None, None, "validation"), ("r1", "A feed", "cve-2020-0001", "train"), (None, "A feed", None, "val"), ("r8", "d", "CVE:2021-12345x", "val"),
     ]
     df = spark.createDataFrame(rows, "record_id string, source_id string, cve string, split string").withColumn("component", F.lit("clash"))
-    found = {(r.group_kind, r.group_key) for r in splits.split_conflicts(df, "record_id", splits.unified_entities(), splits.unified_split()).collect()}
-    assert found == {("cve", "CVE-2020-0001"), ("cve", "CVE-2021-12345")}
+    moves = splits.split_moves(df, "record_id", splits.unified_entities(), splits.unified_split(), {"train": 1.0}).collect()
+    found = {(r.group_kind, r.group_key): (r.splits, r.records, r.moves) for r in moves if len(r.splits) > 1}
+    assert found == {("cve", "CVE-2020-0001"): (["test", "train"], 2, 1), ("cve", "CVE-2021-12345"): (["test", "val"], 2, 2)}
+    assert len({r.component for r in moves if (r.group_kind, r.group_key) in found}) == 1
     done = {r.record: r for r in splits.assign_splits(df, "record_id", splits.unified_entities(), {"train": 0.5, "val": 0.25, "test": 0.25}).collect()}
     assert len(done) == 8 and len({done[r].component for r in ("r1", "r2", "r3", "r8")}) == 1 and done["r4"].component == done["r5"].component
     assert len({done[r].component for r in ("r1", "r4", "r6", "r7")}) == 4
