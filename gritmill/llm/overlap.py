@@ -28,7 +28,7 @@ PER_CHANGE = 8
 RUN, COUNT_BUCKETS = 4, 1 << 19
 #: Words of a block in which runs are chosen together.
 BLOCK = 448
-#: Bits of the filter over the runs: 8 per run, within these.
+#: Bits of the filter over the runs: 12 per run, within these.
 FILTER_BITS = (1 << 20, 1 << 27)
 TEXTS_AT_ONCE = 1024
 _U = np.uint64
@@ -112,7 +112,7 @@ def _all_runs(h: np.ndarray, sizes: np.ndarray, length: int, most: int | None =
 
 
 def normalise(df: DataFrame, identifier: str, text: str, side: Column, extra: str) -> DataFrame:
-    """(record, side, extra, tokens, n, cid, cid2) of each distinct identifier with a side and at least one word."""
+    """(record, side, extra, tokens, n, cid, cid2) of each row with an identifier, a side and at least one word; no shuffle."""
     narrow = df.select(F.col(identifier).alias("record"), side.alias("side"), F.col(extra).cast("string").alias("extra"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +125,7 @@ def normalise(df: DataFrame, identifier: str, text: str, side: Column, extra: st
 
     kind = dict(narrow.dtypes)["record"]
     done = narrow.where("record is not null and side is not null and text is not null").mapInArrow(run, f"record {kind}, side string, extra string, tokens string, n int, cid long, cid2 long")
-    done = done.where("n > 0")
-    picked = done.groupBy("record").agg(F.min(F.struct("side", "extra", "cid", "cid2", "n", "tokens")).alias("x"))
-    return picked.select("record", "x.side", "x.extra", "x.tokens", "x.n", "x.cid", "x.cid2")
+    return done.where("n > 0")
 
 
 def run_counts(train: DataFrame) -> np.ndarray:
@@ -179,14 +177,18 @@ def evaluation_runs(evaluation: DataFrame, counts: np.ndarray) -> DataFrame:
     return evaluation.select("cid", "tokens").mapInArrow(run, _RUN_SCHEMA)
 
 
+def _places(g: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return g & _U(bits - 1), (g >> _U(32)) & _U(bits - 1)
+
+
 def run_filter(runs: DataFrame) -> np.ndarray:
-    """Bits of a one-hash Bloom filter over the runs, at most 16 MB: an or of words per executor, then of the partial results."""
+    """Bits of a two-hash Bloom filter over the runs, at most 16 MB: an or of words per executor, then of the partial results."""
     bits = FILTER_BITS[0]
-    wanted = 8 * runs.count()
+    wanted = 12 * runs.count()
     while bits < wanted and bits < FILTER_BITS[1]:
         bits *= 2
-    place = F.col("g").bitwiseAND(F.lit(bits - 1))
-    words_ = runs.select(F.shiftright(place, 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(g & 63 as int))").alias("b"))
+    place = F.explode(F.array(F.col("g").bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned("g", 32).bitwiseAND(F.lit(bits - 1)))).alias("p")
+    words_ = runs.select(place).select(F.shiftright("p", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b"))
     rows = words_.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
@@ -199,15 +201,16 @@ def training_runs(train: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, table = WordHashes(), shared.value
-        mask = _U(len(table) * 64 - 1)
+        is_set = lambda at: (table[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1) != 0
         for part, texts in _record_batches(batches):
             h, sizes, firsts = _flat(texts, hashes)
             s1, s2 = _signatures(h, firsts)
             for length in range(1, RUN + 1):
                 # shorter runs belong to evaluation texts of less than eight words, whose partners have at most nine
                 g, text, position = _all_runs(h, sizes, length, None if length == RUN else PER_CHANGE + 1)
-                at = g & mask
-                hit = (table[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1) != 0
+                low, high = _places(g, len(table) * 64)
+                hit = np.flatnonzero(is_set(low))
+                hit = hit[is_set(high[hit])]
                 yield _emit(g[hit], text[hit], position[hit], part, sizes, s1, s2)
 
     return train.select("cid", "tokens").mapInArrow(run, _RUN_SCHEMA)
@@ -283,17 +286,35 @@ def verified(pairs: DataFrame, evaluation: DataFrame, train: DataFrame) -> DataF
 def overlaps(df: DataFrame, identifier: str, text: str, split: Column, extra: str) -> tuple[DataFrame, DataFrame]:
     """Near-same classes across splits, and the members (record, side, extra, cid, cid2).
 
-    ``split`` gives ``train`` or another name for evaluation; null is left out, as are null texts and texts without words. A
-    repeated identifier counts once. Copies of a text are one class each, so their pairs are not compared one by one.
+    ``split`` gives ``train`` or another name for evaluation; null is left out, as are null texts and texts without words. Equal
+    repetitions of a record count once; one that is delivered with several texts is a member of each of their classes. Copies of a
+    text are one class, so their pairs are not compared one by one.
     """
-    records = saved(normalise(df, identifier, text, split, extra))
+    rows = saved(normalise(df, identifier, text, split, extra))
     is_train = F.col("side") == "train"
-    classes = records.groupBy("cid", "cid2").agg(F.min("tokens").alias("tokens"), F.bool_or(is_train).alias("t"), F.bool_or(~is_train).alias("e"))
-    classes = saved(classes)
+    classes = saved(rows.groupBy("cid", "cid2").agg(F.min("tokens").alias("tokens"), F.bool_or(is_train).alias("t"), F.bool_or(~is_train).alias("e")))
     train, evaluation = classes.where("t"), classes.where("e")
     runs = saved(evaluation_runs(evaluation, run_counts(train)))
     pairs = candidates(runs, training_runs(train, run_filter(runs)))
-    return saved(verified(pairs, evaluation, train)), records.drop("tokens", "n")
+    members = rows.groupBy("record", "side", "cid", "cid2").agg(F.min("extra").alias("extra"))
+    return saved(verified(pairs, evaluation, train)), members
+
+
+def evaluation_counts(found: DataFrame, members: DataFrame) -> DataFrame:
+    """(record, side, extra, pairs, coverage) of each evaluation record with a near-same training record, from the classes alone."""
+    copies = members.where("side = 'train'").groupBy(F.col("cid").alias("t_cid"), F.col("cid2").alias("t_cid2")).agg(F.count("*").alias("n"))
+    per_class = found.join(copies, ["t_cid", "t_cid2"]).groupBy(F.col("e_cid").alias("cid"), F.col("e_cid2").alias("cid2")).agg(F.sum("n").alias("pairs"), F.max("coverage").alias("coverage"))
+    own = members.where("side <> 'train'").join(per_class, ["cid", "cid2"])
+    return own.groupBy("record", "side").agg(F.min("extra").alias("extra"), F.sum("pairs").alias("pairs"), F.max("coverage").alias("coverage"))
+
+
+def class_members(found: DataFrame, members: DataFrame) -> DataFrame:
+    """(record, side, class_id, links): every record with the class of its text and the number of near-same classes across splits."""
+    links = found.select(F.explode(F.array(F.struct(F.col("e_cid").alias("cid"), F.col("e_cid2").alias("cid2"), F.lit("e").alias("k")), F.struct(F.col("t_cid").alias("cid"), F.col("t_cid2").alias("cid2"), F.lit("t").alias("k")))).alias("x"))
+    links = links.groupBy("x.cid", "x.cid2", F.when(F.col("x.k") == "t", "train").alias("own")).agg(F.count("*").alias("links"))
+    rows = members.withColumn("own", F.when(F.col("side") == "train", "train")).alias("m")
+    joined = rows.join(links.alias("l"), F.col("m.cid").eqNullSafe(F.col("l.cid")) & (F.col("m.cid2") == F.col("l.cid2")) & F.col("m.own").eqNullSafe(F.col("l.own")), "left")
+    return joined.select("record", "side", F.concat_ws(":", F.hex("m.cid"), F.hex("m.cid2")).alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def record_pairs(found: DataFrame, members: DataFrame) -> DataFrame:
