@@ -85,20 +85,22 @@ def assign_splits(df: DataFrame, identifier: str, entities: Column, shares: dict
     return record_components(records, entity_components(records)).withColumn("split", hash_split(F.col("component"), shares, seed))
 
 
-def split_conflicts(df: DataFrame, identifier: str, entities: Column, split: Column) -> DataFrame:
-    """(group_kind, group_key, splits) of entities whose records lie in two or more values of ``split``.
+def split_moves(df: DataFrame, identifier: str, entities: Column, split: Column, shares: dict[str, float], seed: str = "42") -> DataFrame:
+    """(group_kind, group_key, component, assigned, splits, records, moves) of every entity that has records with a split.
 
-    The components come first: an entity can only be in conflict if its component is, so the entities of the others are left out;
-    then each remaining entity is checked exactly. Records without a split don't count.
+    ``assigned`` is the split of the entity's component, ``moves`` the records that lie elsewhere now: an entity whose records lie in two
+    or more splits has some whatever its component gets. Records without a split don't count, but they connect entities. Repeated rows
+    of a record count once per split. Counts are made per entity and split before they meet the components.
     """
     narrow = df.select(F.col(identifier).alias("record"), entities.alias("entities"), split.alias("split")).where("record is not null and size(entities) > 0")
     rows = cut_lineage(narrow.distinct())
-    parts = cut_lineage(entity_components(rows))
-    by_entity = rows.where("split is not null").select(F.explode("entities").alias("entity"), "split").distinct()
-    spread = by_entity.join(parts, "entity")
-    mixed = spread.groupBy("component").agg(F.min("split").alias("low"), F.max("split").alias("high")).where("low <> high").select("component")
-    found = spread.join(mixed, "component", "left_semi").groupBy("entity").agg(F.array_sort(F.collect_set("split")).alias("splits")).where(F.size("splits") > 1)
-    return found.select(F.expr("substring(entity, 1, instr(entity, ':') - 1)").alias("group_kind"), F.expr("substring(entity, instr(entity, ':') + 1)").alias("group_key"), "splits")
+    parts = entity_components(rows)
+    counts = rows.where("split is not null").select("record", "split", F.explode("entities").alias("entity")).distinct().groupBy("entity", "split").agg(F.count("*").alias("n"))
+    placed = counts.join(parts, "entity").withColumn("assigned", hash_split(F.col("component"), shares, seed))
+    found = placed.groupBy("entity", "component", "assigned").agg(
+        F.array_sort(F.collect_set("split")).alias("splits"), F.sum("n").alias("records"), F.sum(F.when(F.col("split") != F.col("assigned"), F.col("n")).otherwise(0)).alias("moves")
+    )
+    return found.select(F.expr("substring(entity, 1, instr(entity, ':') - 1)").alias("group_kind"), F.expr("substring(entity, instr(entity, ':') + 1)").alias("group_key"), "component", "assigned", "splits", "records", "moves")
 
 
 def unified_split() -> Column:
