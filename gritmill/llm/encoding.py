@@ -1,9 +1,10 @@
 """Encoding of a corpus with a public byte-level BPE vocabulary.
 
-Pre-tokenisation is vectorised over whole batches: code points become classes, and token starts follow from transitions between
-neighbouring classes. A class either resets the scanner's state or (blanks after blanks) leaves it, so composing the transition
-functions is the associative scan "last reset wins", a running maximum. No regular expression is run. The byte slices then go
-through a cache in front of the pair merging; slice offsets can be kept, so that parts of a text can be decoded alone.
+Pre-tokenisation is vectorised over whole batches: code points become classes, and most token starts follow from transitions between
+neighbouring classes. Apostrophe forms need a small automaton: each code point is a function from state to state, and an associative
+scan composes them by doubling; any MEMORY functions in a row are a constant, so the scan ends there. No regular expression is run.
+The byte slices then go through a cache in front of the pair merging; slice offsets can be kept, so that parts of a text can be
+decoded alone.
 """
 
 from __future__ import annotations
@@ -24,6 +25,26 @@ CACHE_ENTRIES, CACHED_BYTES = 1 << 18, 64
 
 OTHER, LETTER, NUMBER, BLANK, END = range(5)
 _APOSTROPHE, _SPACE = 0x27, 0x20
+#: States after a code point: nothing of interest, an apostrophe that starts a token, one with r, v or l after it, a whole form.
+_NONE, _OPEN, _R, _V, _L, _FORM = range(6)
+#: Next state by state, per kind of code point; all others lead to _NONE.
+_STEPS = np.zeros((7, 6), np.uint8)
+_STEPS[1] = _OPEN
+_STEPS[2, _OPEN] = _STEPS[5, _L] = _STEPS[6, _R] = _STEPS[6, _V] = _FORM
+_STEPS[3, _OPEN], _STEPS[4, _OPEN], _STEPS[5, _OPEN] = _R, _V, _L
+_KINDS = {"s": 2, "t": 2, "m": 2, "d": 2, "r": 3, "v": 4, "l": 5, "e": 6}
+#: Code points that a state can depend on.
+MEMORY = 4
+
+
+def scan_states(kinds: np.ndarray) -> np.ndarray:
+    """State after each code point: the composition of all transition functions up to it, from _NONE."""
+    functions, reach = _STEPS[kinds], 1
+    while reach < MEMORY:
+        composed = functions.copy()
+        composed[reach:] = np.take_along_axis(functions[reach:], functions[:-reach], 1)
+        functions, reach = composed, 2 * reach
+    return functions[:, _NONE]
 
 
 @lru_cache(1)
@@ -39,6 +60,14 @@ def class_table() -> np.ndarray:
     return table
 
 
+@lru_cache(1)
+def _letter_kinds() -> np.ndarray:
+    table = np.zeros(0x80, np.uint8)
+    for letter, kind in _KINDS.items():
+        table[ord(letter)] = kind
+    return table
+
+
 def token_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sorted starts of all tokens in ``points``, whose texts are closed by one position each in ``ends`` (positions of their own)."""
     n = len(points)
@@ -57,18 +86,14 @@ def token_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     start |= blank & (before != BLANK)
     start |= blank & (after != BLANK) & (after != END)
     start[ends] = True
-    # apostrophe forms: only where the apostrophe starts a token and is alone in its run
-    at = np.flatnonzero((points == _APOSTROPHE) & (cls == OTHER) & start & (after == LETTER))
-    if len(at):
-        padded = np.concatenate([points, np.zeros(3, points.dtype)])
-        c1, c2 = padded[at + 1], padded[at + 2]
-        one = np.isin(c1, [ord(c) for c in "stmd"])
-        two = ((c1 == ord("r")) & (c2 == ord("e"))) | ((c1 == ord("v")) & (c2 == ord("e"))) | ((c1 == ord("l")) & (c2 == ord("l")))
-        for hit, length in ((one, 2), (~one & two, 3)):
-            where = at[hit]
-            start[where + 1] = False
-            nxt = where + length
-            start[nxt[cls[nxt] == LETTER]] = True
+    kinds = _letter_kinds()[np.minimum(points, 0x7F)]
+    kinds[(points == _APOSTROPHE) & (cls == OTHER) & start & (after == LETTER)] = 1
+    done = np.flatnonzero(scan_states(kinds) == _FORM)
+    if len(done):
+        # the form's letters are no start, what follows is one
+        start[np.where(kinds[done] == 2, done, done - 1)] = False
+        nxt = done + 1
+        start[nxt[cls[nxt] == LETTER]] = True
     return np.flatnonzero(start)
 
 
