@@ -168,6 +168,28 @@ def is_safe(value: Column | str) -> Column:
     return ~unsafe
 
 
+def json_text(value: Column | str) -> Column:
+    """A JSON string of ASCII only, as hashes and stored examples need it; ``null`` for null."""
+    quoted = F.to_json(F.struct(as_col(value).alias("v")))
+    quoted = _inner(quoted)
+    return F.when(as_col(value).isNull(), F.lit("null")).otherwise(F.when(as_col(value).rlike(r"[^\x20-\x7e]"), _ascii(quoted)).otherwise(quoted))
+
+
+def _inner(document: Column) -> Column:
+    """What stands between ``{"v":`` and ``}``."""
+    return document.substr(F.lit(6), F.length(document) - 6)
+
+
+def _ascii(text: Column) -> Column:
+    unit = lambda n: F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(n.cast("long")), 4, "0")))
+
+    def one(c: Column) -> Column:
+        n = F.ascii(c)
+        return F.when(n.between(0x20, 0x7E), c).when(n < 0x10000, unit(n)).otherwise(F.concat(unit(F.floor((n - 0x10000) / 1024) + 0xD800), unit((n - 0x10000) % 1024 + 0xDC00)))
+
+    return F.array_join(F.transform(F.split(text, ""), one), "")
+
+
 def truncate_middle(value: Column | str, most: int, mark: str = "\n...[truncated]...\n") -> Column:
     """Head and tail of a text longer than ``most``, with a mark between; the head gets the smaller half."""
     text = F.coalesce(as_col(value).cast("string"), F.lit(""))

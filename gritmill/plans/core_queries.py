@@ -202,8 +202,12 @@ def sft_flags(spark, sf_dir):
 
 
 def sft_prepared(spark, sf_dir):
-    done = sft.prepared(_judged(spark, sf_dir))
-    return done.select("example_id", "source_record_id", "evaluation_head", "task_type", "split", F.to_json("messages").alias("messages_json"), "target_json", "quality_flags")
+    return sft.prepared(_judged(spark, sf_dir)).drop("messages")
+
+
+def sft_parts(spark, sf_dir):
+    examples = table(spark, sf_dir, "sft_examples").dropDuplicates(["example_id"])
+    return sft.split_train_eval(examples).groupBy("split", "part").agg(F.count("*").alias("n"))
 
 
 def sft_removed(spark, sf_dir):
@@ -256,7 +260,7 @@ QUERIES = {
     for f in (
         unified_gold, gold_counts, gold_stats, text_cleaning, text_safety, text_tokens, identifier_extraction, host_extraction, hash_splits, classification_rules, duplicates_summary,
         duplicate_contents, exact_dedup, benchmark_gold, stratified_rows, balanced_rows, quota_rows, stub_predictions, joined_predictions, classification_report, classification_summary,
-        confusion_matrix, rank_auc, slice_scores, weighted_overall, variant_comparison, resume_pending, parsed_responses, chat_turns, sft_flags, sft_prepared, sft_removed,
+        confusion_matrix, rank_auc, slice_scores, weighted_overall, variant_comparison, resume_pending, parsed_responses, chat_turns, sft_flags, sft_prepared, sft_parts, sft_removed,
         cross_source_overlap, coverage_report, null_counts, stability_stats, json_extract, validation_issues, majority_baseline, top_targets, heading_sections,
     )
 }
