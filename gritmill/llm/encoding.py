@@ -88,8 +88,12 @@ def token_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     start[ends] = True
     kinds = _letter_kinds()[np.minimum(points, 0x7F)]
     kinds[(points == _APOSTROPHE) & (cls == OTHER) & start & (after == LETTER)] = 1
-    done = np.flatnonzero(scan_states(kinds) == _FORM)
-    if len(done):
+    # states only leave _NONE within MEMORY of such an apostrophe, whose function is a constant: the stretches are scanned together
+    opened = np.flatnonzero(kinds == 1)
+    if len(opened):
+        near = (opened[:, None] + np.arange(MEMORY)[None, :]).ravel()
+        near = near[near < n]
+        done = np.unique(near[scan_states(kinds[near]) == _FORM])
         # the form's letters are no start, what follows is one
         start[np.where(kinds[done] == 2, done, done - 1)] = False
         nxt = done + 1
