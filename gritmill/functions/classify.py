@@ -153,6 +153,31 @@ def binary_label(value: Column | str) -> Column:
     return F.when(word.isin(*ATTACK_WORDS), 1).when(word.isin(*HARMLESS_WORDS), 0).cast("byte")
 
 
+def strict_binary_label(value: Column | str) -> Column:
+    """As ``binary_label``, but any other word, or none, ends the job."""
+    found = binary_label(value)
+    return F.when(found.isNotNull(), found).otherwise(F.raise_error(F.concat(F.lit("ambiguous label: "), F.coalesce(as_col(value).cast("string"), F.lit("null")))).cast("byte"))
+
+
+# Label, binary label and family of source labels, and those of all others.
+LABEL_MAP = {
+    "vulnerable": ("vulnerable", 1, "Software Weakness"), "non-vulnerable": ("non-vulnerable", 0, "Benign Code"), "benign": ("benign", 0, "Benign"), "malicious": ("malicious", 1, "Malicious Activity"),
+    "malware": ("malware", 1, "Malware"), "phishing": ("phishing", 1, "Phishing"), "prompt_attack": ("prompt_attack", 1, "AI Security"), "abuse": ("abuse", 1, "Abuse"),
+    "cti_reference": ("cti_reference", None, "Threat Intelligence"), "advisory": ("advisory", None, "Vulnerability Advisory"),
+}
+OTHER_LABEL = ("unknown", None, "Unknown")
+
+
+def mapped_label(value: Column | str, mapping: dict[str, tuple] = LABEL_MAP, default: tuple = OTHER_LABEL) -> Column:
+    """Struct (label, binary_label, attack_family) of a source label, whatever its case and blanks around."""
+    make = lambda x: F.struct(F.lit(x[0]).alias("label"), F.lit(x[1]).cast("int").alias("binary_label"), F.lit(x[2]).alias("attack_family"))
+    return F.coalesce(_lookup_struct({k: make(v) for k, v in mapping.items()}, F.lower(strip(as_col(value)))), make(default))
+
+
+def _lookup_struct(entries: dict[str, Column], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), v)]), key)
+
+
 def license_class(value: Column | str) -> Column:
     text = F.lower(F.coalesce(as_col(value), F.lit("")))
     return (

@@ -168,6 +168,18 @@ def is_safe(value: Column | str) -> Column:
     return ~unsafe
 
 
+def file_name(value: Column | str, default: str = "model") -> Column:
+    """A name for files: runs of other characters than letters, digits, ``._-`` as one ``_``, none of ``._-`` at the ends."""
+    tidy = F.regexp_replace(F.regexp_replace(strip(value), "[^A-Za-z0-9._-]+", "_"), "_+", "_")
+    return F.coalesce(F.nullif(F.regexp_replace(tidy, "^[._-]+|[._-]+$", ""), F.lit("")), F.lit(default))
+
+
+def ensure_safe(value: Column | str) -> Column:
+    """The text, or an error that ends the job if it holds a secret."""
+    text = as_col(value)
+    return F.when(is_safe(text), text).otherwise(F.raise_error(F.lit("unsafe text")).cast("string"))
+
+
 def json_text(value: Column | str) -> Column:
     """A JSON string of ASCII only, as hashes and stored examples need it; ``null`` for null."""
     quoted = F.to_json(F.struct(as_col(value).alias("v")))

@@ -10,6 +10,8 @@ from gritmill.functions.text import filled
 from gritmill.operators.bounded import broadcast_below
 
 INPUT_LENGTH = 4000
+# Fixed value: what each benchmark row says on its safe use.
+SAFETY = "Benchmark input is derived from local normalized silver rows; do not execute code, visit URLs, or run samples."
 MAX_BROADCAST_STRATA = 100_000
 
 
@@ -38,7 +40,7 @@ def build(silver: DataFrame, seed: int = 42) -> DataFrame:
         label.alias("label"), "binary_label", filled("mitre_tactic").alias("mitre_tactic"), filled("mitre_technique_id").alias("mitre_technique_id"), F.col("__gm_head.head").alias("benchmark_domain"),
         task.alias("task_type"), F.col("__gm_head.head").alias("evaluation_head"), task.alias("metric_group"), input_text().alias("input_text"), expected_output(task).alias("expected_output"),
         label.alias("gold_label"), classify.difficulty("mitre_technique_id", "cve_id", "cwe_id", "features_json").alias("difficulty"), hashing.benchmark_split("__gm_id", seed).alias("split"),
-        (task == "classification").alias("requires_probability"), F.concat(F.lit("Use "), task, F.lit(" metrics for "), task, F.lit(".")).alias("scoring_notes"),
+        (task == "classification").alias("requires_probability"), F.concat(F.lit("Use "), task, F.lit(" metrics for "), task, F.lit(".")).alias("scoring_notes"), F.lit(SAFETY).alias("safety_notes"), F.current_timestamp().alias("created_at"),
     )
     return with_label_sets(gold, "evaluation_head", "task_type")
 

@@ -9,6 +9,7 @@ from gritmill.functions import classify, hashing
 from gritmill.functions.text import clean_text, identifiers, known, slug
 from gritmill.operators.dedup import first_wins
 
+# Columns that are kept as metadata.
 METADATA = (
     "source_dataset", "source_type", "main_category", "attack_name", "attack_family", "binary_label", "severity_score", "platform",
     "language", "protocol", "ecosystem", "package_name", "source_file", "schema_version", "ingested_at",
@@ -50,7 +51,9 @@ def unify(silver: DataFrame, seed: int = 42) -> DataFrame:
         F.nullif(identifiers(text, "url", F.col("url")), F.array().cast("array<string>")).alias("urls"),
         *[known(c).alias(c) for c in ("domain", "ip", "package_name", "ecosystem")],
     )
-    metadata = F.map_filter(F.create_map(*[x for c in METADATA for x in (F.lit(c), known(c))]), lambda _, v: v.isNotNull())
+    features = F.when(~known("features_json").isin("{}", "[]"), F.trim("features_json"))
+    # features are JSON text among strings, as they are if they don't parse
+    metadata = F.map_filter(F.create_map(*[x for c in METADATA for x in (F.lit(c), known(c))], F.lit("features"), features), lambda _, v: v.isNotNull())
     return rows.select(
         record_id.alias("record_id"), F.col("__gm_silver").alias("silver_id"), F.col("__gm_source").alias("source_id"), F.coalesce(known("source_dataset"), F.col("__gm_source")).alias("source_name"),
         classify.source_url("__gm_source", "source_dataset").alias("source_url"), F.coalesce(known("license"), F.lit("unknown")).alias("source_license"),
@@ -58,7 +61,7 @@ def unify(silver: DataFrame, seed: int = 42) -> DataFrame:
         F.coalesce(known("attack_family"), known("attack_name"), category).alias("subcategory"), classify.task_type("source_type", F.col("__gm_domain")).alias("task_type"),
         F.col("__gm_raw").alias("raw_text"), text.alias("normalized_text"), label.alias("label"), severity.alias("severity"), known("cwe_id").alias("cwe"), known("cve_id").alias("cve"),
         F.col("__gm_techniques").alias("mitre_attack_ids"), F.lit("en").alias("language"), entities.alias("entities"), metadata.alias("metadata"),
-        quality_score(text, label, has_identifier, severity).alias("quality_score"), hashing.content_key(text).alias("dedup_hash"), hashing.unified_split(record_id, seed).alias("split"),
+        F.current_timestamp().alias("processed_at"), quality_score(text, label, has_identifier, severity).alias("quality_score"), hashing.content_key(text).alias("dedup_hash"), hashing.unified_split(record_id, seed).alias("split"),
     )
 
 

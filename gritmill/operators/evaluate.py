@@ -19,6 +19,31 @@ def join_predictions(gold: DataFrame, predictions: DataFrame) -> DataFrame:
     return gold.join(renamed, "record_id", "inner")
 
 
+def coverage(gold: DataFrame, predictions: DataFrame) -> DataFrame:
+    """One row: gold rows, matched rows and their share (0 without gold rows)."""
+    joined = gold.join(predictions.select("record_id", F.lit(1).alias("__gm_hit")), "record_id", "left")
+    counts = joined.agg(F.count("*").alias("gold_rows"), F.count("__gm_hit").alias("matched_rows"))
+    return counts.withColumn("coverage", F.round(F.col("matched_rows") / F.greatest("gold_rows", F.lit(1)), 6))
+
+
+def prior_rows(targets: DataFrame, prior: DataFrame, gold: DataFrame, attributes: list[str]) -> DataFrame:
+    """Targets with an earlier prediction, and attributes of their gold rows where these are there."""
+    return targets.join(prior.withColumnsRenamed({"prediction": "prior_prediction"}), "record_id").join(gold.select("record_id", *attributes), "record_id", "left")
+
+
+def group_accuracy(rows: DataFrame, by: tuple[str, ...], true: str = "gold_label", predicted: str = "prediction") -> DataFrame:
+    """(dimension, value, rows, accuracy) over several dimensions, from counts of their combinations; null values count as ``None``."""
+    counts = rows.groupBy(*[F.coalesce(F.col(c), F.lit("None")).alias(c) for c in by]).agg(F.count("*").alias("n"), F.count_if(F.col(true) == F.col(predicted)).alias("hits"))
+    places = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value")) for c in by])
+    spread = counts.select(F.explode(places).alias("x"), "n", "hits").groupBy("x.dimension", "x.value").agg(F.sum("n").alias("rows"), F.sum("hits").alias("hits"))
+    return spread.select("dimension", "value", "rows", F.round(F.col("hits") / F.col("rows"), 6).alias("accuracy"))
+
+
+def leaderboard(scores: DataFrame, slices: tuple[str, ...] = ("overall", "evaluation_head", "task_type")) -> DataFrame:
+    """The slices of a leaderboard, by slice and value."""
+    return scores.where(F.col("slice").isin(*slices)).select("slice", "value", "rows", "metric_group", F.round("primary_score", 4).alias("primary_score")).orderBy("slice", "value")
+
+
 def per_label(rows: DataFrame, true: str, predicted: str, by: list[str]) -> DataFrame:
     """(by, label, tp, fp, fn, support, precision, recall, f1) over the labels that occur on either side; 0 for 0/0.
 
@@ -42,7 +67,7 @@ def per_label(rows: DataFrame, true: str, predicted: str, by: list[str]) -> Data
 def classification_summary(labels: DataFrame, by: list[str]) -> DataFrame:
     weighted = F.sum(F.col("f1") * F.col("support")) / F.greatest(F.sum("support"), F.lit(1))
     return labels.groupBy(*by).agg(
-        F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1_macro"), weighted.alias("f1_weighted"), F.sum("support").alias("rows")
+        (F.sum("tp") / F.greatest(F.sum("support"), F.lit(1))).alias("accuracy"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1_macro"), weighted.alias("f1_weighted"), F.sum("support").alias("rows")
     )
 
 

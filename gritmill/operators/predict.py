@@ -11,8 +11,10 @@ from gritmill.functions.text import as_col, filled, squeeze, truncate_middle
 def parse_labels(value: Column | str) -> Column:
     """Labels of a JSON list, else of a text split at commas, semicolons, bars and line ends; empty for null."""
     text = filled(value)
-    listed = F.from_json(text, "array<string>")
-    parts = F.when(text.startswith("["), listed).otherwise(F.split(text, r"[,\n|;]+"))
+    whole = F.try_parse_json(text)
+    listed = F.when(text.startswith("["), F.try_variant_get(whole, "$", "array<string>"))
+    # JSON that is no list is one label; what is no JSON is split, whatever it starts with
+    parts = F.coalesce(listed, F.when(whole.isNotNull() & ~F.is_variant_null(whole), F.array(text)), F.split(text, r"[,\n|;]+"))
     return F.coalesce(F.filter(F.transform(parts, squeeze), lambda x: x != ""), F.array().cast("array<string>"))
 
 
@@ -75,6 +77,27 @@ def stub_predictions(gold: DataFrame, model: str = "stub", seed: int = 42) -> Da
     return gold.where("record_id is not null").select("record_id", prediction.alias("prediction"), confidence.alias("confidence"))
 
 
+PREDICTION_COLUMNS = ("record_id", "prediction")
+
+
+def missing_columns(predictions: DataFrame) -> list[str]:
+    """Columns that predictions must have and these lack."""
+    return [c for c in PREDICTION_COLUMNS if c not in predictions.columns]
+
+
+def output_rows(gold: DataFrame, results: DataFrame, model: str) -> DataFrame:
+    """One row per prediction with the record's context: what an appended file holds."""
+    context = [c for c in ("record_id", "evaluation_head", "task_type", "metric_group", "gold_label") if c in gold.columns]
+    fields = [F.col(c) if c in results.columns else F.lit(None).cast("string").alias(c) for c in ("prediction", "score", "probability", "confidence", "explanation", "raw_response")]
+    return gold.select(*context).join(results.select("record_id", *fields), "record_id").withColumns({"model": F.lit(model), "created_at": F.current_timestamp()})
+
+
+def generate(gold: DataFrame, done: DataFrame | None, answer, most: int | None = None, order: str = "record_id") -> DataFrame:
+    """Answers (``answer`` takes rows and gives predictions) of the first ``most`` rows by ``order`` that have none yet."""
+    rows = pending(gold, done) if done is not None else gold
+    return answer(rows if most is None else rows.orderBy(order).limit(most))
+
+
 def pending(gold: DataFrame, done: DataFrame) -> DataFrame:
     """Rows without a prediction yet."""
     return gold.join(done.select("record_id").distinct(), "record_id", "left_anti")

@@ -82,6 +82,36 @@ def manifest(df: DataFrame, columns: dict[str, str], seed: int) -> dict:
     return {"total_records": sum(first.values()), "seed": seed, **{k: dict(sorted(v.items())) for k, v in counts.items()}}
 
 
+def markdown_table(rows: list[dict], columns: list[str]) -> str:
+    """Rows as a Markdown table; bars are escaped, line ends become blanks."""
+    cell = lambda x: "" if x is None else str(x).replace("|", "\\|").replace("\n", " ")
+    lines = [f"| {' | '.join(columns)} |", f"| {' | '.join('---' for _ in columns)} |"]
+    return "\n".join(lines + [f"| {' | '.join(cell(r.get(c)) for c in columns)} |" for r in rows])
+
+
+def silver_report(manifest_rows: list[dict], overlaps: int = 0) -> str:
+    """Markdown report of module rows (see inventory.module_manifest): status, rows by category, licences, overlaps."""
+    by_category: dict = {}
+    for r in manifest_rows:
+        by_category[r["main_category"]] = by_category.get(r["main_category"], 0) + r["row_count"]
+    section = lambda title, rows, columns: f"## {title}\n\n{markdown_table(rows, columns) if rows else 'None'}\n"
+    parts = [
+        "# Silver Layer Report\n",
+        section("Module Status", manifest_rows, ["silver_module", "status", "row_count", "license", "license_compatibility"]),
+        section("Skipped or Blocked Modules", [r for r in manifest_rows if r["status"] in ("skipped", "blocked")], ["silver_module", "status"]),
+        section("Rows by Category", [{"main_category": k, "row_count": n} for k, n in sorted(by_category.items(), key=str)], ["main_category", "row_count"]),
+        section("Labels", manifest_rows, ["silver_module", "label_distribution"]),
+        section("Excluded from Public Release", [r for r in manifest_rows if str(r["license_compatibility"]).startswith("restricted")], ["source_dataset", "license"]),
+        f"## Cross-Source Overlap\n\n- identifiers named by several sources: {overlaps}\n",
+    ]
+    return "\n".join(parts)
+
+
+def sft_report(counts: dict[str, list[dict]]) -> str:
+    """Markdown report of prepared examples from collected counts: name of the table to its rows."""
+    return "# Chat Examples\n\n" + "\n".join(f"## {name}\n\n{markdown_table(rows, list(rows[0]) if rows else ['none'])}\n" for name, rows in counts.items())
+
+
 def card(manifest_: dict, title: str) -> str:
     """Markdown summary of a manifest."""
     lines = [f"# {title}", "", f"- records: {manifest_['total_records']}", f"- seed: {manifest_['seed']}"]

@@ -102,11 +102,15 @@ def _value(df: DataFrame, name: str) -> Column:
     return json_text(F.col(name).cast("string")) if name in df.columns else F.lit("null")
 
 
+NEEDED = ("record_id", "source_dataset", "source_type", "main_category", "evaluation_head", "task_type", "input_text", "expected_output", "gold_label", "label_set")
+
+
 def flagged(gold: DataFrame, seed: int = 42, max_input: int = MAX_INPUT, min_prompt: int = MIN_PROMPT, min_target: int = MIN_TARGET) -> DataFrame:
     """Gold rows with templates, instruction, context, answer, rationale, hashes, split and the array ``flags`` in the order of the checks.
 
-    Leakage is looked for in the context that is emitted.
+    Leakage is looked for in the context that is emitted. Columns that the table lacks are null.
     """
+    gold = gold.withColumns({c: F.lit(None).cast("string") for c in NEEDED if c not in gold.columns})
     rows = gold.withColumns({"prompt_template_id": template(), "response_template_id": response_template(), "answer": target_text(), "__gm_input": sanitised_input("input_text", max_input)})
     rows = rows.withColumns({"instruction": instruction(F.col("prompt_template_id")), "context": json_object({"benchmark_input": json_text("__gm_input"), "metadata": json_object({"difficulty": _value(gold, "difficulty"), "task_type": _value(gold, "task_type")})})})
     rows = rows.withColumns({"__gm_prompt": F.concat("instruction", F.lit("\n"), "context"), "rationale": rationale(F.col("response_template_id"), F.col("answer"))})

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gritmill.functions import classify, hashing, text
-from gritmill.operators import benchmark, curate, dedup, evaluate, predict, reports, sft, validate
+from gritmill.operators import benchmark, curate, dedup, evaluate, inventory, predict, reports, sft, training, validate
+from gritmill.operators.nested import parse_document
 from gritmill.plans import sql
 from gritmill.session import table
+from gritmill.sources import parsers
 from gritmill.streaming import events
 
 SEED = 42
@@ -95,7 +97,7 @@ def exact_dedup(spark, sf_dir):
 
 
 def benchmark_gold(spark, sf_dir):
-    return benchmark.build(_silver(spark, sf_dir)).withColumn("binary_label", F.col("binary_label").cast("int"))
+    return benchmark.build(_silver(spark, sf_dir)).withColumn("binary_label", F.col("binary_label").cast("int")).drop("created_at")
 
 
 STRATA = ["evaluation_head", "task_type", "main_category", "gold_label"]
@@ -144,7 +146,7 @@ def classification_report(spark, sf_dir):
 def classification_summary(spark, sf_dir):
     rows = _scored(spark, sf_dir).where("metric_group = 'classification'")
     done = evaluate.classification_summary(evaluate.per_label(rows, "gold_label", "prediction", ["evaluation_head"]), ["evaluation_head"])
-    return done.select("evaluation_head", "rows", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_macro", "f1_weighted")])
+    return done.select("evaluation_head", "rows", F.round("accuracy", 6).alias("accuracy"), *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_macro", "f1_weighted")])
 
 
 def confusion_matrix(spark, sf_dir):
@@ -255,13 +257,92 @@ def heading_sections(spark, sf_dir):
     return reports.sections(_documents(spark, sf_dir), "doc_id", "text")
 
 
+def label_mapping(spark, sf_dir):
+    rows = _silver(spark, sf_dir).select("record_id", classify.mapped_label("label").alias("m"))
+    return rows.select("record_id", "m.label", "m.binary_label", "m.attack_family")
+
+
+def coverage(spark, sf_dir):
+    gold = _clean_gold(spark, sf_dir)
+    return evaluate.coverage(gold, predict.stub_predictions(gold.where("split = 'train'")))
+
+
+def group_accuracy(spark, sf_dir):
+    return evaluate.group_accuracy(_scored(spark, sf_dir), ("evaluation_head", "task_type", "main_category", "difficulty"))
+
+
+def prior_predictions(spark, sf_dir):
+    gold = _clean_gold(spark, sf_dir)
+    targets = gold.where("split <> 'train'").select("record_id", "expected_output")
+    prior = predict.stub_predictions(gold, "other").select("record_id", "prediction")
+    return evaluate.prior_rows(targets, prior, gold, ["evaluation_head", "difficulty"])
+
+
+def leaderboard(spark, sf_dir):
+    return evaluate.leaderboard(evaluate.slice_scores(_scored(spark, sf_dir)))
+
+
+def learning_rates(spark, sf_dir):
+    parts = [training.schedule(spark, 2e-4, 500, 0.06, kind).withColumn("kind", F.lit(kind)) for kind in ("cosine", "linear", "constant")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("rate", F.round(F.col("rate") * 1e6, 6))
+
+
+def output_bounds(spark, sf_dir):
+    return _clean_gold(spark, sf_dir).groupBy("task_type").agg(F.max(training.output_tokens("task_type")).alias("bound"), F.max(training.output_tokens("task_type", 64)).alias("asked"))
+
+
+def repeated_rows(spark, sf_dir):
+    return validate.repeated_rows(table(spark, sf_dir, "gold_unified"), "record_id", "processed_at")
+
+
+def module_manifest(spark, sf_dir):
+    return inventory.module_manifest(_silver(spark, sf_dir))
+
+
+def category_rows(spark, sf_dir):
+    return inventory.rows_by_category(inventory.by_status(inventory.module_manifest(_silver(spark, sf_dir)), "ok"))
+
+
+def folder_plan(spark, sf_dir):
+    """Categories and modules guessed for the names of sources as if they were folders."""
+    names = table(spark, sf_dir, "source_feeds").select(F.col("source_id").alias("dataset_folder")).unionByName(spark.createDataFrame([(k,) for k in sorted(inventory.PLAN)], "dataset_folder string"))
+    guessed = names.withColumn("g", inventory.guess_category(F.col("dataset_folder"))).select("dataset_folder", "g.source_type", "g.main_category")
+    return inventory.module_plan(guessed).join(inventory.category_index(guessed), "dataset_folder")
+
+
+def gold_subset(spark, sf_dir):
+    return training.subset(_clean_gold(spark, sf_dir), 150).select("record_id", "evaluation_head", "task_type", "main_category", "gold_label", "expected_output")
+
+
+def named_sample(spark, sf_dir):
+    """The named sample of 10,000 rows: the whole table where it is smaller."""
+    return benchmark.balanced_sample(_silver(spark, sf_dir).select("record_id", "label"), "label", "record_id", training.SAMPLES["10k"])
+
+
+def evaluation_pool(spark, sf_dir):
+    examples = table(spark, sf_dir, "sft_examples").select("example_id", "split", "task_type").distinct()
+    return training.without_training(examples, examples.where("split = 'train'")).groupBy("split", "task_type").agg(F.count("*").alias("n"))
+
+
+def file_names(spark, sf_dir):
+    return _silver(spark, sf_dir).select("source_dataset").distinct().select("source_dataset", text.file_name("source_dataset").alias("file_name"))
+
+
+def nvd_silver(spark, sf_dir):
+    """Items of nvd_items through the parser of that feed."""
+    rows = table(spark, sf_dir, "nvd_items").select(F.col("source_file").alias("file"), parse_document(F.col("raw")).alias("v")).where("v is not null")
+    done = parsers.to_silver(rows, parsers.MODULES["advisory_nvd_cve"])
+    return done.select("record_id", "label", "cve_id", "cwe_id", "severity", F.round("severity_score", 2).alias("severity_score"), "url", "raw_text", "main_category", "license", "source_file").distinct()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         unified_gold, gold_counts, gold_stats, text_cleaning, text_safety, text_tokens, identifier_extraction, host_extraction, hash_splits, classification_rules, duplicates_summary,
         duplicate_contents, exact_dedup, benchmark_gold, stratified_rows, balanced_rows, quota_rows, stub_predictions, joined_predictions, classification_report, classification_summary,
         confusion_matrix, rank_auc, slice_scores, weighted_overall, variant_comparison, resume_pending, parsed_responses, chat_turns, sft_flags, sft_prepared, sft_parts, sft_removed,
-        cross_source_overlap, coverage_report, null_counts, stability_stats, json_extract, validation_issues, majority_baseline, top_targets, heading_sections,
+        label_mapping, coverage, group_accuracy, prior_predictions, leaderboard, learning_rates, output_bounds, repeated_rows, module_manifest, category_rows, folder_plan, gold_subset, named_sample,
+        evaluation_pool, file_names, nvd_silver, cross_source_overlap, coverage_report, null_counts, stability_stats, json_extract, validation_issues, majority_baseline, top_targets, heading_sections,
     )
 }
 SQL = sql.SQL

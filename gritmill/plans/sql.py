@@ -134,7 +134,8 @@ b2 AS (SELECT rid AS record_id, coalesce({filled('source_dataset')}, 'unknown')
     'Family: ' || coalesce({filled('attack_family')}, 'unknown'), 'Features: ' || coalesce({filled('features_json')}, 'unavailable'))) AS input_text,
   CASE tk WHEN 'classification' THEN coalesce({filled('label')}, CAST(binary_label AS VARCHAR), 'unknown') WHEN 'knowledge' THEN coalesce({filled('mitre_technique_id')}, {filled('cve_id')}, {filled('cwe_id')}, {filled('attack_name')}, {filled('label')}, 'unknown') END AS expected_output,
   coalesce({filled('label')}, 'unknown') AS gold_label, {DIFFICULTY} AS difficulty, {ladder(bucket("sha1('42:' || rid)"), ('train', 'validation', 'test'), '0.7', '0.85')} AS split,
-  tk = 'classification' AS requires_probability, 'Use ' || tk || ' metrics for ' || tk || '.' AS scoring_notes FROM b1 WHERE rid IS NOT NULL),
+  tk = 'classification' AS requires_probability, 'Use ' || tk || ' metrics for ' || tk || '.' AS scoring_notes,
+  'Benchmark input is derived from local normalized silver rows; do not execute code, visit URLs, or run samples.' AS safety_notes FROM b1 WHERE rid IS NOT NULL),
 ls AS (SELECT evaluation_head, task_type, '[' || string_agg('"' || gold_label || '"', ', ' ORDER BY gold_label) || ']' AS label_set FROM (SELECT DISTINCT evaluation_head, task_type, gold_label FROM b2) GROUP BY ALL),
 b AS (SELECT b2.*, ls.label_set FROM b2 LEFT JOIN ls USING (evaluation_head, task_type))"""
 
@@ -238,7 +239,7 @@ SQL = {
     "stub_predictions": f"WITH {GOLD}, {stub()} SELECT record_id, prediction, confidence FROM p",
     "joined_predictions": f"WITH {SCORED} SELECT record_id, evaluation_head, task_type, gold_label, prediction, confidence, round({JACCARD}, 6) AS overlap, CAST({normalised('gold_label')} = {normalised('prediction')} AS DOUBLE) AS exact FROM j",
     "classification_report": f"WITH {SCORED}, {per_label('evaluation_head')} SELECT evaluation_head, label, tp, fp, fn, support, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM f",
-    "classification_summary": f"""WITH {SCORED}, {per_label('evaluation_head')} SELECT evaluation_head, CAST(sum(support) AS BIGINT) AS rows, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1_macro,
+    "classification_summary": f"""WITH {SCORED}, {per_label('evaluation_head')} SELECT evaluation_head, CAST(sum(support) AS BIGINT) AS rows, round(sum(tp)::DOUBLE / sum(support), 6) AS accuracy, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1_macro,
       round(sum(f1 * support) / sum(support), 6) AS f1_weighted FROM f GROUP BY 1""",
     "confusion_matrix": f"""WITH {SCORED}, c AS (SELECT * FROM j WHERE metric_group = 'classification'), l AS (SELECT gold_label AS x FROM c UNION SELECT prediction FROM c)
       SELECT a.x AS true_label, b.x AS predicted_label, (SELECT count(*) FROM c WHERE c.gold_label = a.x AND c.prediction = b.x) AS n FROM l a, l b""",
@@ -274,18 +275,26 @@ _SILVER_COLUMNS = (
 
 def _issues(table: str, name: str, checks: dict[str, str], repeated: tuple[str, ...]) -> str:
     parts = [f"SELECT '{name}' AS table_name, {quoted(i)} AS issue FROM {table} WHERE {c}" for i, c in checks.items()]
-    parts += [f"SELECT '{name}', 'repeated {c}' FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1" for c in repeated]
+    parts += [f"SELECT '{name}', 'repeated {c}' FROM {table} WHERE {filled(c) if c == 'dedup_hash' else c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1" for c in repeated]
     return " UNION ALL ".join(parts)
 
 
-_UNIFIED_CHECKS = {f"missing {c}": f"{filled(c)} IS NULL" for c in ("record_id", "source_id", "domain", "normalized_text", "label", "dedup_hash", "split")} | {
-    "unknown domain": f"{filled('domain')} IS NOT NULL AND domain NOT IN ({', '.join(quoted(d) for d in (*DOMAIN_KEYWORDS, 'miscellaneous'))})",
-    "unknown split": f"{filled('split')} IS NOT NULL AND split NOT IN ('train', 'val', 'test')",
+_DOMAINS = "'prompt_injection_jailbreak', 'phishing_social', 'blockchain_web3', 'malware_code', 'network_intrusion', 'cloud_infrastructure', 'threat_intelligence', 'vulnerabilities_exposures', 'web_app_security', 'miscellaneous'"
+_UNIFIED_CHECKS = {f"missing {c}": f"{filled(c)} IS NULL" for c in ("record_id", "source_id", "domain", "category", "task_type", "split", "dedup_hash")} | {
+    "no text": f"{filled('raw_text')} IS NULL AND {filled('normalized_text')} IS NULL",
+    "unknown domain": f"NOT coalesce(domain IN ({_DOMAINS}), false)",
+    "unknown split": "NOT coalesce(split IN ('train', 'val', 'test'), false)",
     "quality outside 0..1": "quality_score IS NULL OR isnan(quality_score) OR NOT quality_score BETWEEN 0 AND 1",
 }
+_KNOWN_LABELS = (
+    "'benign', 'malicious', 'phishing', 'benign_url', 'vulnerable_dependency', 'vulnerable_code', 'non_vulnerable_code', 'malicious_package', 'attack_technique', 'attack_pattern', "
+    "'vulnerability_advisory', 'malicious_prompt', 'benign_prompt', 'jailbreak_prompt', 'ai_security_risk', 'exploit_incident', 'intrusion', 'anomaly', 'unknown'"
+)
 _SILVER_CHECKS = {f"missing {c}": f"{filled(f'CAST({c} AS VARCHAR)')} IS NULL" for c in ("record_id", "source_dataset", "source_type", "main_category", "label", "binary_label", "source_file", "license", "schema_version", "ingested_at")} | {
     "schema version": "schema_version <> '1.0.0'",
     "binary label": "binary_label NOT IN (0, 1)",
+    "unknown label": f"{filled('label')} IS NOT NULL AND label NOT IN ({_KNOWN_LABELS})",
+    "timestamp without UTC": f"{filled('timestamp')} IS NOT NULL AND NOT regexp_matches({filled('timestamp')}, '(Z|[+-]00:?00| UTC)$')",
     "severity": f"{filled('severity')} IS NOT NULL AND lower(severity) NOT IN ('info', 'low', 'medium', 'high', 'critical', 'unknown')",
     "score outside 0..10": "NOT isnan(severity_score) AND NOT severity_score BETWEEN 0 AND 10",
     "unsafe text": "NOT (" + " AND ".join(f"NOT regexp_matches(coalesce(raw_text, ''), {quoted(p)})" for p in SECRETS) + ")",
@@ -373,3 +382,66 @@ SQL |= {
       u AS (SELECT split, ('0x' || substr(sha1('42:' || example_id), 1, 8))::BIGINT / 4294967295.0 AS u FROM e)
       SELECT split, CASE WHEN own THEN CASE WHEN split = 'train' THEN 'train' WHEN split IN ('eval', 'validation', 'val') THEN 'eval' END WHEN u < 0.1::DOUBLE OR u = (SELECT min(u) FROM u) THEN 'eval' ELSE 'train' END AS part, count(*) AS n FROM u, h GROUP BY ALL""",
 }
+
+_MODULE = """md AS (SELECT split_part(record_id, '::', 1) AS silver_module, * FROM s0),
+mp AS (SELECT silver_module, label, count(*) AS n FROM md GROUP BY ALL),
+mm AS (SELECT silver_module, count(*) AS row_count, min(source_dataset) AS source_dataset, min(source_type) AS source_type, min(main_category) AS main_category, min(license) AS license, min(schema_version) AS schema_version,
+  count(*) FILTER (binary_label = 1) AS attacks, count(*) FILTER (binary_label = 0) AS harmless FROM md GROUP BY 1),
+mf AS (SELECT mm.*, '{' || (SELECT string_agg('"' || coalesce(label, 'null') || '":' || n, ',' ORDER BY coalesce(label, 'null')) FROM mp WHERE mp.silver_module = mm.silver_module) || '}' AS label_distribution,
+  CASE WHEN regexp_matches(lower(coalesce(license, '')), 'academic|unsw|cic') THEN 'restricted_academic' WHEN regexp_matches(lower(coalesce(license, '')), '^restricted:|tos|gpl') THEN 'restricted_other' WHEN lower(coalesce(license, '')) IN ('', 'unknown') THEN 'unknown' ELSE 'permissive' END AS license_compatibility,
+  'ok' AS status FROM mm)"""
+_FOLDERS = """f0 AS (SELECT source_id AS dataset_folder FROM source_feeds UNION ALL SELECT unnest(['mitre_attack_stix', 'github_advisory_database', 'osv', 'nvd_cve', 'phishtank', 'phishing_balanced_urls', 'owasp_genai_top10', 'giskard_prompt_injections', 'huggingface_ai_security',
+  'huggingface', 'ai_security_prompt_injection', 'smartbugs_curated', 'defihacklabs_incident_explorer', 'otrf_security_datasets', 'owasp_api_security', 'owasp_benchmark', '2017-10-01-juliet-test-suite-for-c-cplusplus-v1-3.zip'])),
+pl AS (SELECT * FROM (VALUES ('mitre_attack_stix', 'cti_mitre_attack_stix', 1), ('github_advisory_database', 'supply_chain_github_advisory', 1), ('osv', 'supply_chain_osv', 1), ('nvd_cve', 'advisory_nvd_cve', 1), ('phishtank', 'phishing_phishtank', 1),
+  ('phishing_balanced_urls', 'phishing_balanced_urls', 1), ('owasp_genai_top10', 'ai_security_owasp_genai_top10', 1), ('giskard_prompt_injections', 'ai_security_giskard_prompt_injections', 1), ('huggingface_ai_security', 'ai_security_lakera_gandalf', 1),
+  ('huggingface', 'ai_security_huggingface_prompt_injection', 1), ('ai_security_prompt_injection', 'ai_security_hackaprompt', 1), ('smartbugs_curated', 'blockchain_smartbugs_curated', 2), ('defihacklabs_incident_explorer', 'blockchain_defihacklabs_incidents', 2),
+  ('otrf_security_datasets', 'host_otrf_security_datasets', 3), ('owasp_api_security', 'api_owasp_crapi', 3), ('owasp_benchmark', 'web_owasp_benchmark', 3), ('2017-10-01-juliet-test-suite-for-c-cplusplus-v1-3.zip', 'vulnerable_code_sard_juliet', 3)) t(dataset_folder, m, p)),
+f1 AS (SELECT dataset_folder, lower(dataset_folder) AS l FROM f0),
+f2 AS (SELECT dataset_folder, CASE WHEN contains(l, 'nvd') THEN 'vulnerability_advisory' WHEN contains(l, 'mitre') OR contains(l, 'capec') THEN 'cti_taxonomy' WHEN contains(l, 'github_advisory') OR contains(l, 'osv') THEN 'package_metadata' WHEN contains(l, 'phish') THEN 'phishing_url'
+    WHEN contains(l, 'huggingface_ai_security') OR l = 'huggingface' OR regexp_matches(l, 'prompt|gandalf|giskard|genai') THEN 'prompt_text' WHEN regexp_matches(l, 'smartbugs|defi') THEN 'smart_contract_code' ELSE 'other' END AS source_type FROM f1)"""
+_CATEGORY_OF = "CASE source_type WHEN 'vulnerability_advisory' THEN 'Threat Intelligence, CVE, Advisory & Taxonomy' WHEN 'cti_taxonomy' THEN 'Threat Intelligence, CVE, Advisory & Taxonomy' WHEN 'package_metadata' THEN 'Supply Chain & Open Source Package Security' WHEN 'phishing_url' THEN 'Phishing, Social Engineering & Fraud' WHEN 'prompt_text' THEN 'AI, LLM & ML Security' WHEN 'smart_contract_code' THEN 'Cryptocurrency & Blockchain Attacks' ELSE 'Miscellaneous / Needs Review' END"
+_WARM = "least(1.0::DOUBLE, greatest(0.0::DOUBLE, (step - 30) / 470.0::DOUBLE))"
+_SUBSET = f"{GOLD}, sb AS (SELECT * REPLACE (coalesce({filled('expected_output')}, {filled('gold_label')}, 'unknown') AS expected_output) FROM gb WHERE record_id IS NOT NULL AND input_text IS NOT NULL)"
+_V = "CASE WHEN json_valid(raw) THEN CASE WHEN json_type(raw) = 'VARCHAR' THEN CASE WHEN json_valid(json_extract_string(raw, '$')) THEN json_extract_string(raw, '$')::JSON END ELSE raw::JSON END END"
+
+
+def _first_of(path: str) -> str:
+    """The first element of a list, or a single object."""
+    return f"CASE WHEN json_type(c, '{path}') = 'ARRAY' THEN json_extract(c, '{path}[0]') ELSE json_extract(c, '{path}') END"
+
+
+def _listed(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL OR json_type({x}) = 'NULL' THEN []::JSON[] WHEN json_type({x}) = 'ARRAY' THEN CAST({x} AS JSON[]) ELSE [{x}] END"
+
+
+_DIMENSIONS = " UNION ALL ".join(f"SELECT '{c}' AS dimension, coalesce({c}, 'None') AS value, gold_label = prediction AS hit FROM j" for c in ("evaluation_head", "task_type", "main_category", "difficulty"))
+_SCORES = ", ".join(f"nullif(TRY_CAST(json_extract_string({_first_of(f'$.metrics.cvssMetricV{v}')}, '$.cvssData.baseScore') AS DOUBLE), 0)" for v in ("40", "31", "30", "2"))
+SQL |= {
+    "label_mapping": f"""WITH {SILVER}, m AS (SELECT * FROM (VALUES ('vulnerable', 1, 'Software Weakness'), ('non-vulnerable', 0, 'Benign Code'), ('benign', 0, 'Benign'), ('malicious', 1, 'Malicious Activity'), ('malware', 1, 'Malware'), ('phishing', 1, 'Phishing'),
+      ('prompt_attack', 1, 'AI Security'), ('abuse', 1, 'Abuse'), ('cti_reference', NULL, 'Threat Intelligence'), ('advisory', NULL, 'Vulnerability Advisory')) t(k, b, f))
+      SELECT record_id, coalesce(k, 'unknown') AS label, b AS binary_label, coalesce(f, 'Unknown') AS attack_family FROM s0 LEFT JOIN m ON k = lower({strip('label')})""",
+    "coverage": f"WITH {GOLD} SELECT count(*) AS gold_rows, count(*) FILTER (split = 'train' AND record_id IS NOT NULL) AS matched_rows, round(count(*) FILTER (split = 'train' AND record_id IS NOT NULL)::DOUBLE / greatest(count(*), 1), 6) AS coverage FROM gb",
+    "group_accuracy": f"WITH {SCORED}, g AS ({_DIMENSIONS}) SELECT dimension, value, count(*) AS rows, round(count(*) FILTER (hit)::DOUBLE / count(*), 6) AS accuracy FROM g GROUP BY ALL",
+    "prior_predictions": f"WITH {GOLD}, {stub('other', 'p')} SELECT record_id, gb.expected_output, p.prediction AS prior_prediction, gb.evaluation_head, gb.difficulty FROM gb JOIN p USING (record_id) WHERE split <> 'train'",
+    "leaderboard": f"WITH {SCORED}, {slices(SLICES)} SELECT slice, value, rows, metric_group, round(primary_score, 4) AS primary_score FROM sc WHERE slice IN ('overall', 'evaluation_head', 'task_type')",
+    "learning_rates": f"""WITH s AS (SELECT range AS step FROM range(1, 501)), k AS (SELECT unnest(['cosine', 'linear', 'constant']) AS kind)
+      SELECT step, kind, round(1e6 * CASE WHEN step <= 30 THEN 0.0002::DOUBLE * step / 30 WHEN kind = 'cosine' THEN 0.0001::DOUBLE * (1 + cos(pi() * {_WARM})) WHEN kind = 'linear' THEN 0.0002::DOUBLE * (1 - {_WARM}) ELSE 0.0002::DOUBLE END, 6) AS rate FROM s, k""",
+    "output_bounds": f"WITH {GOLD} SELECT task_type, CASE task_type WHEN 'classification' THEN 128 ELSE 256 END AS bound, 64 AS asked FROM gb GROUP BY task_type",
+    "repeated_rows": "SELECT record_id AS row_key, n AS position FROM (SELECT record_id, row_number() OVER (PARTITION BY record_id ORDER BY processed_at NULLS FIRST)::INTEGER AS n FROM gold_unified WHERE record_id IS NOT NULL) WHERE n > 1",
+    "module_manifest": f"WITH {SILVER}, {_MODULE} SELECT * FROM mf",
+    "category_rows": f"WITH {SILVER}, {_MODULE} SELECT main_category, CAST(sum(row_count) AS BIGINT) AS row_count, count(*) AS modules FROM mf GROUP BY 1",
+    "folder_plan": f"""WITH {_FOLDERS} SELECT f2.dataset_folder, coalesce(m, 'needs_review_' || f2.dataset_folder) AS planned_silver_module, {_CATEGORY_OF} AS planned_category, CASE WHEN m IS NULL THEN 'not_started' ELSE 'implemented' END AS normalizer_status, coalesce(p, 3) AS priority,
+      CASE WHEN m IS NULL THEN 'deferred_priority' ELSE '' END AS blocker_reason, coalesce(m = 'supply_chain_osv', false) AS requires_extraction, source_type, {_CATEGORY_OF} AS main_category FROM f2 LEFT JOIN pl USING (dataset_folder)""",
+    "gold_subset": f"WITH {_SUBSET}, {capped('sb', ['evaluation_head', 'task_type', 'main_category', 'gold_label'], 'record_id', 150)} SELECT record_id, evaluation_head, task_type, main_category, gold_label, expected_output FROM kept",
+    "named_sample": f"WITH {SILVER}, {capped('s0', ['label'], 'record_id', 10000)} SELECT record_id, label FROM kept",
+    "evaluation_pool": "WITH e AS (SELECT DISTINCT example_id, split, task_type FROM sft_examples) SELECT split, task_type, count(*) AS n FROM e WHERE example_id NOT IN (SELECT example_id FROM e WHERE split = 'train' AND example_id IS NOT NULL) GROUP BY ALL",
+    "file_names": f"WITH {SILVER} SELECT DISTINCT source_dataset, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace({strip('source_dataset')}, '[^A-Za-z0-9._-]+', '_', 'g'), '_+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), ''), 'model') AS file_name FROM s0",
+    "nvd_silver": f"""WITH v AS (SELECT source_file, {_V} AS d FROM nvd_items), w AS (SELECT source_file, CASE WHEN json_type(d, '$.cve') IS NOT NULL THEN json_extract(d, '$.cve') ELSE d END AS c FROM v WHERE d IS NOT NULL),
+      x AS (SELECT *, coalesce(json_extract_string(c, '$.id'), json_extract_string(c, '$.CVE_data_meta.ID')) AS cve_id, list_concat({_listed("json_extract(c, '$.descriptions')")}, {_listed("json_extract(c, '$.description.description_data')")}) AS ds,
+        coalesce({_SCORES}) AS score, list_filter(flatten(list_transform({_listed("json_extract(c, '$.weaknesses')")}, lambda k: list_transform({_listed("json_extract(k, '$.description')")}, lambda q: json_extract_string(q, '$.value')))), lambda q: starts_with(q, 'CWE-')) AS ws,
+        list_concat({_listed("json_extract(c, '$.references')")}, {_listed("json_extract(c, '$.references.referenceData')")}) AS rf FROM w)
+      SELECT DISTINCT 'advisory_nvd_cve::' || substr(sha1(coalesce(cve_id, substr(c::VARCHAR, 1, 200))), 1, 16) AS record_id, 'vulnerability_advisory' AS label, cve_id, ws[1] AS cwe_id,
+      CASE WHEN score IS NULL THEN 'unknown' WHEN score >= 9 THEN 'critical' WHEN score >= 7 THEN 'high' WHEN score >= 4 THEN 'medium' WHEN score > 0 THEN 'low' ELSE 'info' END AS severity, round(score, 2) AS severity_score,
+      list_filter(list_transform(rf, lambda r: json_extract_string(r, '$.url')), lambda u: u IS NOT NULL)[1] AS url, json_extract_string(list_filter(ds, lambda q: json_extract_string(q, '$.lang') = 'en')[1], '$.value') AS raw_text,
+      'Threat Intelligence, CVE, Advisory & Taxonomy' AS main_category, 'NVD-Public-Domain' AS license, source_file FROM x""",
+}

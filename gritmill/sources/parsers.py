@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gritmill.functions import classify
 from gritmill.functions.hashing import module_record_id
 from gritmill.functions.text import filled, host
+from gritmill.operators.dedup import first_wins
 from gritmill.operators.nested import as_list, member, text_of
 from gritmill.sources import readers
 from gritmill.sources.readers import scalar
@@ -140,7 +141,8 @@ def owasp_llm(d: DataFrame) -> dict[str, Column]:
 def llm_risks(pages: DataFrame) -> DataFrame:
     """The first place of each LLMnn in each file, with 200 characters before it and 1,800 after."""
     codes = pages.select("file", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\bLLM(?:0[1-9]|10)\b"), F.lit(0)))).alias("code"))
-    at = F.instr("text", F.col("code"))
+    # the place of the whole word, not of a longer one that begins with it
+    at = F.regexp_instr("text", F.concat(F.lit(r"\b"), F.col("code"), F.lit(r"\b")))
     start = F.greatest(F.lit(1), at - 200)
     return codes.select("file", "code", F.col("text").substr(start, at - start + 1800).alias("context"))
 
@@ -290,9 +292,17 @@ class Module:
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
-    """Rows of files with their number in the file."""
-    rows = rows.withColumn("file", F.col("_metadata.file_path")).withColumn("__gm_at", F.monotonically_increasing_id())
-    return rows.withColumn("row", F.row_number().over(Window.partitionBy("file").orderBy("__gm_at")) - 1).drop("__gm_at")
+    """Rows of files with their number in the file, however the files were split.
+
+    Blocks of a file are ordered by their first byte, rows within a block keep theirs; a block's rows are numbered by themselves and get
+    the counts of the blocks before, so no task holds a whole file.
+    """
+    own = rows.columns
+    block = rows.withColumns({"file": F.col("_metadata.file_path"), "__gm_block": F.col("_metadata.file_block_start"), "__gm_at": F.monotonically_increasing_id()})
+    counts = block.groupBy("file", "__gm_block").agg(F.count("*").alias("__gm_n"))
+    before = counts.withColumn("__gm_before", F.coalesce(F.sum("__gm_n").over(Window.partitionBy("file").orderBy("__gm_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = block.withColumn("__gm_in", F.row_number().over(Window.partitionBy("file", "__gm_block").orderBy("__gm_at")) - 1).join(before, ["file", "__gm_block"])
+    return placed.withColumn("row", F.col("__gm_before") + F.col("__gm_in")).select(*[f"`{c}`" for c in own], "file", "row")
 
 
 def _csvs(spark: SparkSession, path: str) -> DataFrame:
@@ -302,11 +312,16 @@ def _csvs(spark: SparkSession, path: str) -> DataFrame:
 
 def _zip_csv(spark: SparkSession, path: str) -> DataFrame:
     members = readers.zip_members(spark, path, r"UNSW_NB15.*\.csv$")
-    lines = members.select("name", F.posexplode(F.split("text", r"\r?\n")).alias("row", "line")).where("trim(line) <> ''")
-    head = members.select(F.split(F.regexp_extract("text", r"^([^\r\n]*)", 1), ",").alias("h")).first()
-    names = [c.strip().strip('"') for c in (head.h if head else ["id"])]
-    parsed = F.from_csv(F.col("line"), F.lit(", ".join(f"`{c}` string" for c in names)))
-    return lines.where("row > 0").select(F.col("name").alias("file"), "row", parsed.alias("x")).select("file", "row", "x.*")
+    header = F.regexp_extract("text", r"^([^\r\n]*)", 1)
+    lines = members.select("name", header.alias("header"), F.posexplode(F.split("text", r"\r?\n")).alias("row", "line")).where("trim(line) <> '' and row > 0")
+    # members may have different columns: each distinct header is a short list of names
+    out = None
+    for head in sorted(r.h for r in members.select(header.alias("h")).distinct().collect()):
+        names = [c.strip().strip('"') for c in head.split(",")]
+        parsed = F.from_csv(F.col("line"), F.lit(", ".join(f"`{c}` string" for c in names)))
+        part = lines.where(F.col("header") == head).select(F.col("name").alias("file"), "row", parsed.alias("x")).select("file", "row", "x.*")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], "file string, row int, id string")
 
 
 def _juliet(spark: SparkSession, path: str) -> DataFrame:
@@ -384,10 +399,15 @@ def to_silver(rows: DataFrame, module: Module) -> DataFrame:
     return rows.where(F.coalesce(keep, F.lit(False))).select(*columns)
 
 
-def run_module(spark: SparkSession, name: str, path: str, most: int | None = 50_000) -> DataFrame:
-    """Silver rows of one source folder: at most ``most`` parsed rows, the first of each record_id, sorted by it."""
+def run_module(spark: SparkSession, name: str, path: str, most: int | None = None) -> DataFrame:
+    """Silver rows of one source folder, one per record_id, sorted by it.
+
+    Of several rows the first counts by file and content. With ``most``, as many rows as that are taken in the same order before
+    duplicates go; by default all are.
+    """
     module = MODULES[name]
     rows = to_silver(module.read(spark, path), module)
+    order = ["source_file", "record_id", *[c for c in SILVER if c not in ("source_file", "record_id", "ingested_at")]]
     if most is not None:
-        rows = rows.limit(most)
-    return rows.dropDuplicates(["record_id"]).orderBy("record_id")
+        rows = rows.orderBy(*order).limit(most)
+    return first_wins(rows, "record_id", order).orderBy("record_id")

@@ -52,6 +52,57 @@ def discover(root: str | Path, all_formats: bool = False) -> list[SilverFile]:
     return out + [SilverFile(str(p), _slug(p.name.split(".")[0]), p.name.split(".")[0]) for p in top]
 
 
+def table_files(root: str | Path, patterns: tuple[str, ...] = ("*", "*/*"), manifest: str = "silver_manifest.csv") -> list[str]:
+    """Tables below a folder: those that its manifest lists and that exist, else all files of known formats by patterns, sorted.
+
+    Manifests, metadata and what lies in ``_dedup`` are no tables. A table in several formats is there once, in the preferred one.
+    """
+    root = Path(root)
+    listed = root / manifest
+    if listed.exists():
+        names = pd.read_csv(listed).get("output_path_parquet", pd.Series(dtype=str)).dropna()
+        # paths are relative to the manifest's folder or as they stand
+        found = sorted({str(p) for n in names if n for p in (root / str(n), Path(str(n))) if p.exists()})
+        if found:
+            return found
+    files = {p for pattern in patterns for p in root.glob(pattern) if (p.is_file() or p.name.endswith(".parquet")) and p.name.endswith(FORMATS) and "metadata" not in p.name and p.name != manifest and "_dedup" not in p.parts}
+    best: dict[str, Path] = {}
+    for p in sorted(files, key=lambda p: (next(i for i, f in enumerate(FORMATS) if p.name.endswith(f)), str(p))):
+        stem = next(p.name.removesuffix(f) for f in FORMATS if p.name.endswith(f))
+        best.setdefault(str(p.parent / stem), p)
+    return sorted(str(p) for p in best.values())
+
+
+def sidecar(folder: str | Path) -> dict:
+    """The first metadata file of a folder that can be read as JSON; empty if there is none."""
+    import json
+
+    for path in sorted(Path(folder).glob("*metadata.json")):
+        try:
+            return json.loads(path.read_text(encoding="utf-8"))
+        except (ValueError, OSError):
+            continue
+    return {}
+
+
+def cheap_count(path: str) -> int | None:
+    """Rows of a local file without parsing it: lines (less the header of CSV), or Parquet's own number; null for others."""
+    import pyarrow.parquet as pq
+
+    try:
+        if path.endswith(".parquet"):
+            return pq.read_metadata(path).num_rows
+        if path.endswith((".csv", ".jsonl")):
+            with open(path, "rb") as file:
+                lines, last = 0, b"\n"
+                while block := file.read(1 << 20):
+                    lines, last = lines + block.count(b"\n"), block[-1:]
+            return max(0, lines + (last != b"\n") - path.endswith(".csv"))
+    except (OSError, ValueError):
+        pass
+    return None
+
+
 def _slug(name: str) -> str:
     return "_".join("".join(c if c.isascii() and c.isalnum() else " " for c in name.lower()).split()) or "unknown_source"
 
@@ -70,8 +121,15 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     raise ValueError(f"no reader for {path}")
 
 
+def broken_rows(spark: SparkSession, path: str, columns: list[str]) -> int:
+    """Rows of a CSV that the reader drops since they don't fit its columns."""
+    schema = ", ".join(f"`{c}` string" for c in (*columns, "_corrupt"))
+    rows = spark.read.options(header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", encoding=encoding_of(path)).schema(schema).csv(path)
+    return rows.agg(F.count_if(F.col("_corrupt").isNotNull()).alias("n"), F.count(f"`{columns[0]}`")).first().n
+
+
 def csv(spark: SparkSession, path: str, schema=None, names: list[str] | None = None, comment: str | None = None) -> DataFrame:
-    """CSV as strings unless a schema is given; rows that don't fit are dropped. ``names`` are those of a file without header."""
+    """CSV as strings unless a schema is given; rows that don't fit are dropped, and counted by ``broken_rows``. ``names`` are those of a file without header."""
     options = {"header": names is None, "multiLine": True, "escape": '"', "mode": "DROPMALFORMED", "encoding": encoding_of(path)}
     if comment:
         options["comment"] = comment
@@ -169,20 +227,32 @@ def xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame:
 
 
 def with_sources(files_: DataFrame, rows: DataFrame, key: str, kept: bool = True) -> DataFrame:
-    """Rows with the text of the file whose path ends in ``key``; left join, or inner if rows without a file are not ``kept``."""
-    name = F.regexp_extract(files_["file"], r"([^/]+)$", 1)
-    return rows.join(files_.select(name.alias("__gm_name"), F.col("text").alias("source_text")), F.regexp_extract(rows[key], r"([^/]+)$", 1) == F.col("__gm_name"), "left" if kept else "inner").drop("__gm_name")
+    """Rows with the text of the file whose path ends in ``key``; of several the one with the shortest path, then the first.
+
+    Left join, or inner if rows without a file are not ``kept``; rows are never repeated. The base name is the join's key, whole path
+    ends decide.
+    """
+    base = lambda path: F.regexp_extract(path, r"([^/]+)$", 1)
+    wanted = rows.select(F.col(key).alias("__gm_key")).where("__gm_key is not null").distinct()
+    found = wanted.withColumn("__gm_name", base(F.col("__gm_key"))).join(files_.select(base(files_["file"]).alias("__gm_name"), F.col("file").alias("__gm_file"), F.col("text").alias("__gm_text")), "__gm_name")
+    found = found.where(F.concat(F.lit("/"), "__gm_file").endswith(F.concat(F.lit("/"), F.ltrim("__gm_key", F.lit("/")))))
+    best = found.groupBy("__gm_key").agg(F.min_by("__gm_text", F.struct(F.length("__gm_file"), "__gm_file")).alias("source_text"))
+    return rows.join(best, F.col(key) == F.col("__gm_key"), "left" if kept else "inner").drop("__gm_key")
 
 
 def load_tables(spark: SparkSession, paths: list[str], most: int | None = None) -> DataFrame:
-    """Union by name of several tables with the file in ``__source_file``; ``most`` rows in all if given."""
+    """Union by name of several tables with the file in ``__source_file``; if given, the first ``most`` rows in all, in the order of the files and by content."""
     out = None
     for path in paths:
         rows = read_table(spark, path).withColumn("__source_file", F.lit(os.path.basename(path)))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     if out is None:
         return spark.createDataFrame([], "__source_file string")
-    return out if most is None else out.limit(most)
+    if most is None:
+        return out
+    places = F.create_map(*[F.lit(x) for i, p in reversed(list(enumerate(paths))) for x in (os.path.basename(p), i)]) if len({os.path.basename(p) for p in paths}) == len(paths) else None
+    first = [places[F.col("__source_file")]] if places is not None else ["__source_file"]
+    return out.orderBy(*first, *[F.col(f"`{c}`") for c, kind in out.dtypes if not kind.startswith(("map", "variant"))]).limit(most)
 
 
 def kind_of(columns: list[str]) -> str:

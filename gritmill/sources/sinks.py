@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gritmill.operators import validate
+
 
 class RowCapExceeded(ValueError):
     pass
@@ -23,17 +25,35 @@ def write_table(df: DataFrame, path: str, kind: str, mode: str = "overwrite") ->
         raise ValueError(f"no sink for {kind}")
 
 
+def write_benchmark(df: DataFrame, path: str, manifest: dict, kinds: tuple[str, ...] = ("csv", "parquet")) -> None:
+    """A benchmark table as CSV and/or Parquet with its manifest beside."""
+    for kind in kinds:
+        write_table(df if kind == "parquet" else columnar(df), f"{path}/{kind}", kind)
+    log_event(df.sparkSession, f"{path}/manifest", manifest, "overwrite")
+
+
+def log_event(spark, path: str, event: dict, mode: str = "append") -> None:
+    """One JSON line more in a log of events, errors or runs; keys are sorted."""
+    import json
+
+    spark.createDataFrame([(json.dumps(event, sort_keys=True, default=str),)], "value string").coalesce(1).write.mode(mode).text(path)
+
+
 def columnar(df: DataFrame) -> DataFrame:
-    """Nested columns as JSON text, for sinks without them."""
+    """Nested columns as JSON text, for sinks without them; keys of maps are sorted."""
+    ordered = {c: F.map_from_entries(F.array_sort(F.map_entries(c))) for c, kind in df.dtypes if kind.startswith("map")}
+    df = df.withColumns(ordered) if ordered else df
     nested = [c for c, kind in df.dtypes if kind.startswith(("array", "struct", "map"))]
     return df.withColumns({c: F.to_json(c, {"ignoreNullFields": "true"}) for c in nested})
 
 
-def write_silver(df: DataFrame, path: str, most: int = 50_000) -> int:
-    """Parquet and gzipped CSV of a silver table of at most ``most`` rows; nothing is written beyond that."""
+def write_silver(df: DataFrame, path: str, most: int = 50_000, checked: bool = False) -> int:
+    """Parquet and gzipped CSV of a silver table of at most ``most`` rows and, with ``checked``, without issues; nothing is written else."""
     n = df.limit(most + 1).count()
     if n > most:
         raise RowCapExceeded(f"more than {most} rows")
+    if checked:
+        validate.assert_valid(validate.silver_issues(df))
     write_table(df, f"{path}/parquet", "parquet")
     write_table(columnar(df), f"{path}/csv", "csv.gz")
     return n

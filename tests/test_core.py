@@ -1,12 +1,15 @@
 import gzip
 import json
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from gritmill import __main__ as cli
+from gritmill import runner
 from gritmill.functions import classify, hashing, text
-from gritmill.operators import benchmark, curate, dedup, evaluate, predict, reports, sft, validate
+from gritmill.operators import benchmark, curate, dedup, evaluate, inventory, predict, reports, sft, training, validate
 from gritmill.sources import http, legacy, parsers, readers, sinks
 from gritmill.sources.parsers import SILVER
 from gritmill.streaming import events
@@ -109,7 +112,7 @@ def test_sft(spark):
     example = sft.prepared(sft.judged(gold, ["record_id"], "exclude_all")).first()
     assert [m.role for m in example.messages] == ["system", "user", "assistant"] and json.loads(example.target_json)["label"] == "phishing"
     parts = sft.prepared(sft.judged(gold, ["record_id"], "exclude_all")).select(sft.split_last_answer(F.col("messages")).alias("p")).first().p
-    assert len(parts.context) == 2 and parts.answer == example.target_json
+    assert len(parts.context) == 2 and json.loads(parts.answer) == json.loads(example.target_json)
 
 
 def test_validation(spark):
@@ -247,3 +250,123 @@ def test_sections_and_majority(spark):
     assert [(r.section, r.title) for r in reports.sections(df, "doc_id", "text").orderBy("section").collect()] == [(0, None), (1, "A"), (2, "B")]
     votes = spark.createDataFrame([("g", "b", 1), ("g", "a", 2), ("g", "a", 3), ("g", "b", 4), ("h", None, 5)], "g string, l string, i int")
     assert [(r.g, r.label, r.share) for r in reports.majority(votes, "g", "l", "i").collect()] == [("g", "b", 0.5)]
+
+
+def test_contracts(spark):
+    gold = spark.createDataFrame([("a", "s", "nowhere", "c", "t", None, "h", None, None, 2.0), ("a", "s", "network_intrusion", " ", "t", "train", "h", "x", None, 0.5)], "record_id string, source_id string, domain string, category string, task_type string, split string, dedup_hash string, raw_text string, normalized_text string, quality_score double")
+    issues = Counter(r.issue for r in validate.unified_issues(gold).collect())
+    assert issues == {"missing split": 1, "missing category": 1, "no text": 1, "unknown domain": 1, "unknown split": 1, "quality outside 0..1": 1, "repeated record_id": 1, "repeated dedup_hash": 1}
+    assert [r.issue for r in validate.unified_issues(gold.limit(0)).collect()] == ["no records"]
+    assert [r.issue for r in validate.unified_issues(gold.drop("domain")).collect()] == ["missing column domain"]
+    assert validate.manifest_problems({"total_records": 2}, 3) and validate.order_problems(["b", "a"], ["a", "b"]) == ["columns in another order"]
+    rules = {"record_id": {"nullable": False, "unique": True}, "label": {"values": ["benign"]}, "binary_label": {"values": [0, 1]}}
+    old = spark.createDataFrame([("a", "benign", 1, True), ("a", "odd", 2, False), (None, None, None, True)], "record_id string, label string, binary_label int, is_safe_representation boolean")
+    assert Counter(r.issue for r in validate.table_issues(old, rules).collect()) == {"repeated record_id": 1, "invalid label": 1, "invalid binary_label": 1, "unsafe row": 1, "missing record_id": 1}
+    assert validate.aligned(old, {"label": "string", "more": "int"}).columns == ["label", "more"]
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 1), (None, 1)], "k string, i int")
+    assert sorted((r.row_key, r.position) for r in validate.repeated_rows(rows, "k", "i").collect()) == [("a", 2), ("a", 3)]
+    assert predict.missing_columns(old) == ["prediction"]
+
+
+def test_labels(spark):
+    mapped = lambda x: tuple(one(spark, classify.mapped_label, x))
+    assert mapped(" Malware ") == ("malware", 1, "Malware") and mapped("advisory") == ("advisory", None, "Vulnerability Advisory") and mapped(None) == mapped("odd") == ("unknown", None, "Unknown")
+    assert one(spark, classify.strict_binary_label, "Phishing") == 1
+    for bad in ("perhaps", None):
+        with pytest.raises(Exception, match="ambiguous label"):
+            one(spark, classify.strict_binary_label, bad)
+    assert one(spark, predict.parse_labels, "[a, b") == ["[a", "b"] and one(spark, predict.parse_labels, "5") == ["5"] and one(spark, predict.parse_labels, '["x ", ""]') == ["x"]
+    assert one(spark, text.file_name, " a/b c.d-- ") == "a_b_c.d" and one(spark, text.file_name, "//") == "model"
+    with pytest.raises(Exception, match="unsafe text"):
+        one(spark, text.ensure_safe, "password: abcdefghij")
+    assert json.loads(one(spark, text.json_text, 'é"\\\n😀')) == 'é"\\\n😀'
+
+
+def test_training(spark, tmp_path):
+    rates = [r.rate for r in training.schedule(spark, 1.0, 100, 0.1).collect()]
+    assert rates[4] == 0.5 and rates[9] == 1.0 and rates[54] == pytest.approx(0.5) and rates[99] == pytest.approx(0)
+    assert [r.rate for r in training.schedule(spark, 2.0, 4, 0.0, "linear").collect()] == [1.5, 1.0, 0.5, 0.0] and training.schedule(spark, 2.0, 3, 0.0, "constant").first().rate == 2.0
+    for n in (2, 10, 9):
+        (tmp_path / f"checkpoint-{n}").mkdir()
+    (tmp_path / "checkpoint-x").mkdir()
+    assert [p.name for p in training.checkpoints(tmp_path)] == ["checkpoint-2", "checkpoint-9", "checkpoint-10"]
+    assert len(training.prune_checkpoints(tmp_path, 0)) == 0 and len(training.prune_checkpoints(tmp_path, 1)) == 2 and (tmp_path / "checkpoint-10").exists()
+    gold = benchmark.build(silver_rows(spark))
+    assert training.subset(gold, 3).count() == 3
+    examples = spark.createDataFrame([(f"e{i}", s) for i, s in enumerate(["train", "eval", "test", "train"])], "example_id string, split string")
+    assert Counter(r.part for r in sft.split_train_eval(examples).collect()) == {"train": 2, "eval": 1, None: 1}
+    alone = sft.split_train_eval(examples.withColumn("split", F.lit("train")))
+    assert Counter(r.part for r in alone.collect())["eval"] >= 1
+    assert training.without_training(examples, examples.where("split = 'train'")).count() == 2
+    order = [r.example_id for r in sft.shuffled(examples).collect()]
+    assert sorted(order) == ["e0", "e1", "e2", "e3"] and order == [r.example_id for r in sft.shuffled(examples.repartition(3)).collect()]
+
+
+def test_inventory(spark, tmp_path):
+    for name, content in {"nvd_cve/a.json": "x", "nvd_cve/b.JSON": "x", "nvd_cve/LICENSE": "l", "osv/run.sh": "y", "osv/part.crdownload": "z", "broken_set/q.csv": "q", "loose.csv": "x", "odd name/v.txt": "v"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(content)
+    files = inventory.listing(spark, str(tmp_path))
+    assert {r.path for r in files.collect()} == {"nvd_cve/a.json", "nvd_cve/b.JSON", "nvd_cve/LICENSE", "osv/run.sh", "osv/part.crdownload", "broken_set/q.csv", "loose.csv", "odd name/v.txt"}
+    prints = inventory.with_fingerprints(files, str(tmp_path)).cache()
+    tables = {k: df.collect() for k, df in inventory.health_tables(prints).items()}
+    assert sorted((r.path, r.group_id) for r in tables["duplicate_candidates"]) == [("loose.csv", 1), ("nvd_cve/a.json", 1), ("nvd_cve/b.JSON", 1)]
+    assert [[r.path for r in tables[k]] for k in ("incomplete_downloads", "non_dataset_items", "loose_files_needing_review", "suspicious_binaries")] == [["osv/part.crdownload"], ["broken_set/q.csv"], ["loose.csv"], ["osv/run.sh"]]
+    folders = {r.dataset_folder: r for r in inventory.folder_inventory(files).collect()}
+    assert folders["nvd_cve"].source_type == "vulnerability_advisory" and folders["nvd_cve"].license_known and folders["nvd_cve"].primary_file_types == ".json|<none>" and folders["osv"].has_suspicious_binaries
+    plan = {r.dataset_folder: r for r in inventory.module_plan(inventory.folder_inventory(files)).collect()}
+    assert plan["osv"].requires_extraction and plan["odd name"].planned_silver_module == "needs_review_odd name"
+    one_hash = inventory.input_hash(prints)
+    assert one_hash == inventory.input_hash(prints.repartition(3)) and one_hash != inventory.input_hash(prints.where("path <> 'loose.csv'"))
+
+
+def test_runner(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    (raw / "phishing_balanced_urls").mkdir(parents=True)
+    (raw / "phishing_balanced_urls/a.json").write_text(json.dumps([{"text": "http://A.test/x", "label": 1}, {"text": "b.test", "label": 0}, {"text": "b.test", "label": 0}]))
+    (raw / "network_unsw_nb15").mkdir()
+    (raw / "network_unsw_nb15/bad.zip").write_text("no archive")
+    names = ["phishing_balanced_urls", "network_unsw_nb15", "cti_mitre_attack_stix"]
+    first = {e["module"]: e["status"] for e in runner.run_modules(spark, str(raw), str(out), names)}
+    assert first == {"phishing_balanced_urls": "ok", "network_unsw_nb15": "failed", "cti_mitre_attack_stix": "blocked"}
+    again = runner.run_modules(spark, str(raw), str(out), names[:1])
+    assert again[0]["status"] == "unchanged" and runner.run_modules(spark, str(raw), str(out), names[:1], dry=True)[0]["status"] == "planned"
+    assert spark.read.text(str(out / "_events")).count() == 4 and spark.read.text(str(out / "_errors")).count() == 1
+    assert runner.silver_tables(spark, str(out)).count() == 2 and readers.sidecar(out / "phishing_balanced_urls")["row_count"] == 2
+    (tmp_path / "silver").mkdir()
+    spark.read.parquet("/root/testdata/sf0.001/silver_records.parquet").dropDuplicates(["record_id"]).write.parquet(str(tmp_path / "silver/all.parquet"))
+    command = lambda *a: cli.main([str(x) for x in a], spark)
+    manifest = command("unified", tmp_path / "silver", tmp_path / "unified")
+    assert manifest["total_records"] == spark.read.json(str(tmp_path / "unified/jsonl")).count() > 0 and "# Unified gold" in (tmp_path / "unified/card.md").read_text()
+    assert command("benchmark", tmp_path / "silver", tmp_path / "bench", "--most", 50)["total_records"] == 50
+    gold = tmp_path / "bench/parquet"
+    gold = gold.rename(tmp_path / "bench.parquet")
+    assert command("predict", gold, tmp_path / "answers.jsonl", "--most", 20) == 20 and command("predict", gold, tmp_path / "answers.jsonl") == 50
+    assert command("evaluate", gold, tmp_path / "answers.jsonl", tmp_path / "scores")["coverage"] == 1.0
+    assert command("sft", gold, tmp_path / "sft")["splits"] and (tmp_path / "sft/report.md").exists()
+    assert command("manifest", tmp_path / "silver", tmp_path / "unified") and command("preflight", raw, tmp_path / "check")["bronze_inventory"] == 2
+
+
+def test_reading(spark, tmp_path):
+    for folder in ("x", "y/x"):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / "a.sol").write_text(f"in {folder}")
+    rows = spark.createDataFrame([("x/a.sol",), ("y/x/a.sol",), ("z/a.sol",), (None,)], "path string")
+    got = {r.path: r.source_text for r in readers.with_sources(readers.texts(spark, str(tmp_path), "*.sol"), rows, "path").collect()}
+    assert got == {"x/a.sol": "in x", "y/x/a.sol": "in y/x", "z/a.sol": None, None: None}
+    (tmp_path / "zip").mkdir()
+    with zipfile.ZipFile(tmp_path / "zip/a.zip", "w") as z:
+        z.writestr("UNSW_NB15_1.csv", "id,proto,attack_cat,label\n1,tcp,Normal,0\n")
+        z.writestr("UNSW_NB15_2.csv", "label,id,extra,attack_cat\n1,9,e,Worms\n")
+    rows = parsers.run_module(spark, "network_unsw_nb15", str(tmp_path / "zip")).collect()
+    assert {(r.raw_text.split(":")[-1], r.label, r.attack_name, r.protocol) for r in rows} == {("1", "benign", None, "tcp"), ("9", "intrusion", "Worms", None)}
+    (tmp_path / "lakera").mkdir()
+    spark.createDataFrame([(f"t{i}",) for i in range(60)], "text string").coalesce(1).write.parquet(str(tmp_path / "lakera/p"))
+    numbered = parsers._numbered(spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "lakera"))).collect()
+    assert sorted((r["row"], r.text) for r in numbered) == [(i, f"t{i}") for i in range(60)]
+    (tmp_path / "c.csv").write_text("a,b\n1,2\n1,2,3\n")
+    (tmp_path / "c.jsonl").write_text("{}\n{}")
+    assert readers.broken_rows(spark, str(tmp_path / "c.csv"), ["a", "b"]) == 1 and readers.csv(spark, str(tmp_path / "c.csv")).count() == 1
+    assert readers.cheap_count(str(tmp_path / "c.csv")) == 2 and readers.cheap_count(str(tmp_path / "c.jsonl")) == 2 and readers.cheap_count("/none.csv") is None
+    page = spark.createDataFrame([("f", "LLM010 " + "x" * 300 + " LLM01 here")], "file string, text string")
+    assert parsers.llm_risks(page).first().context.endswith("LLM01 here") and not parsers.llm_risks(page).first().context.startswith("LLM010")
