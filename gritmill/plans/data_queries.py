@@ -55,4 +55,49 @@ def p7_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_variants": p5_variants, "p5_shapes": p5_shapes, "p5_subtypes": p5_subtypes, "p7_found": p7_found, "p7_status": p7_status}
-SQL: dict[str, str] = {}
+
+
+def _decoded(x: str) -> str:
+    """JSON of a text, of the text that it encodes, or null."""
+    inner = f"json_extract_string({x}, '$')"
+    return f"(CASE WHEN json_valid({x}) THEN CASE WHEN json_type({x}) = 'VARCHAR' THEN CASE WHEN json_valid({inner}) THEN {inner}::JSON END ELSE {x}::JSON END END)"
+
+
+def _list(x: str) -> str:
+    return f"(CASE WHEN {x} IS NULL OR json_type({x}) = 'NULL' THEN []::JSON[] WHEN json_type({x}) = 'ARRAY' THEN CAST({x} AS JSON[]) ELSE [{x}] END)"
+
+
+def _spread(name: str, source: str, value: str) -> str:
+    """A table of elements with their path, from the element or document ``x`` of ``source``."""
+    place = "(generate_subscripts(l, 1) - 1)::VARCHAR"
+    return f"{name} AS (SELECT k, v, r, CASE WHEN p = '' THEN {place} ELSE p || '.' || {place} END AS p, unnest(l) AS x FROM (SELECT k, v, r, p, {_list(value)} AS l FROM {source}))"
+
+
+_AT = "json_extract(x, '$.{}')".format
+_CHILDREN = f"""n0 AS (SELECT item_id, {_decoded('cve')} AS own, {_decoded('raw')} AS r FROM nvd_items),
+n1 AS (SELECT item_id::VARCHAR AS k, r, CASE WHEN json_type(own) = 'OBJECT' AND len(json_keys(own)) > 0 THEN own WHEN json_type(r, '$.cve') = 'VARCHAR' THEN {_decoded("json_extract_string(r, '$.cve')")} ELSE json_extract(r, '$.cve') END AS v FROM n0),
+n AS (SELECT k, v, r, '' AS p, v AS x FROM n1 WHERE json_type(v) = 'OBJECT'),
+{_spread('ds', 'n', f"coalesce({_AT('descriptions')}, {_AT('description.description_data')})")},
+{_spread('we', 'n', f"coalesce({_AT('weaknesses')}, {_AT('problemtype.problemtype_data')})")}, {_spread('wd', 'we', _AT('description'))},
+{_spread('rf', 'n', f"CASE WHEN json_type(v, '$.CVE_data_meta') IS NULL THEN {_AT('references')} ELSE {_AT('references.reference_data')} END")}, {_spread('tg', 'rf', _AT('tags'))},
+{_spread('cf', 'n', _AT('configurations'))}, {_spread('cn', 'cf', _AT('nodes'))}, {_spread('cm', 'cn', _AT('cpeMatch'))},
+o AS (SELECT k, v, r, p, r AS x FROM n WHERE json_type(v, '$.CVE_data_meta') IS NOT NULL),
+{_spread('nd', 'o', _AT('configurations.nodes'))}, {_spread('om', 'nd', _AT('cpe_match'))}, {_spread('oc', 'nd', _AT('children'))}, {_spread('cc', 'oc', _AT('cpe_match'))},
+f0 AS (SELECT DISTINCT record_id AS k, {_decoded('features_json')} AS v FROM silver_records WHERE length(trim(features_json)) > 2),
+f AS (SELECT k, v, NULL::JSON AS r, '' AS p, v AS x FROM f0 WHERE json_type(v) = 'OBJECT'),
+{_spread('cw', 'f', _AT('cwe_ids'))}, {_spread('af', 'f', _AT('affected'))}, {_spread('rg', 'af', _AT('ranges'))}, {_spread('ev', 'rg', _AT('events'))},
+ek AS (SELECT k, p, x, unnest(json_keys(x)) AS key FROM ev WHERE json_type(x) = 'OBJECT'),
+ch AS (SELECT 'nvd_items' AS parent_table, k AS parent_key, 'description' AS child, p AS child_path, json_extract_string(x, '$.lang') AS child_value FROM ds
+  UNION ALL SELECT 'nvd_items', k, 'weakness', p, json_extract_string(x, '$.value') FROM wd UNION ALL SELECT 'nvd_items', k, 'reference', p, json_extract_string(x, '$.url') FROM rf
+  UNION ALL SELECT 'nvd_items', k, 'reference_tag', p, json_extract_string(x, '$') FROM tg UNION ALL SELECT 'nvd_items', k, 'cpe', p, json_extract_string(x, '$.criteria') FROM cm
+  UNION ALL SELECT 'nvd_items', k, 'cpe', p, json_extract_string(x, '$.cpe23Uri') FROM om UNION ALL SELECT 'nvd_items', k, 'cpe', p, json_extract_string(x, '$.cpe23Uri') FROM cc
+  UNION ALL SELECT 'silver_records', k, 'cwe', p, json_extract_string(x, '$') FROM cw UNION ALL SELECT 'silver_records', k, 'affected', p, json_extract_string(x, '$.package.name') FROM af
+  UNION ALL SELECT 'silver_records', k, 'range_event', p, key || '=' || json_extract_string(x, '$."' || key || '"') FROM ek)"""
+_ANY = lambda keys: "(" + " OR ".join(f"json_type(v, '$.{k}') IS NOT NULL" for k in keys) + ")"
+SQL: dict[str, str] = {
+    "p5_found": f"WITH {_CHILDREN} SELECT * FROM ch WHERE child_value IS NOT NULL",
+    "p5_variants": f"""WITH {_CHILDREN}, t AS (SELECT 'nvd_items' AS parent_table, CASE WHEN v IS NULL THEN 'broken' WHEN json_type(v, '$.id') IS NOT NULL THEN 'item_2' WHEN json_type(v, '$.CVE_data_meta') IS NOT NULL THEN 'item_1' ELSE 'other' END AS variant FROM n1
+      UNION ALL SELECT 'silver_records', CASE WHEN v IS NULL THEN 'broken' WHEN {_ANY(('cwe_ids', 'affected'))} THEN 'advisory' WHEN {_ANY(('sections', 'imports', 'packer', 'sha1', 'entropy'))} THEN 'executable'
+        WHEN {_ANY(('src', 'dst', 'sport', 'dport', 'proto', 'sbytes', 'dbytes'))} THEN 'flow' WHEN json_type(v) = 'ARRAY' THEN 'list' ELSE 'other' END FROM f0)
+      SELECT parent_table, variant, count(*) AS records FROM t GROUP BY ALL""",
+}
