@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gritmill.functions import classify
 from gritmill.functions.hashing import module_record_id
-from gritmill.functions.text import filled, host
+from gritmill.functions.text import filled, host, strip
 from gritmill.operators.dedup import first_wins
 from gritmill.operators.nested import as_list, member, text_of
 from gritmill.sources import readers
@@ -247,7 +247,7 @@ def challenges(pages: DataFrame, endpoints: int = 0) -> DataFrame:
     """Sections under headings ``### Challenge n - title``."""
     marked = F.split(F.regexp_replace("text", r"(?m)^(###\s+Challenge\s+\d+\s*-)", "\x01$1"), "\x01")
     parts = pages.select("file", F.explode(marked).alias("body")).where(F.col("body").rlike(r"^###\s+Challenge\s+\d+"))
-    return parts.select("file", F.trim(F.regexp_extract("body", r"^###\s+(Challenge\s+\d+\s*-[^\n]*)", 1)).alias("title"), F.trim("body").alias("body"), F.lit(endpoints).alias("endpoints"))
+    return parts.select("file", strip(F.regexp_extract("body", r"^###\s+(Challenge\s+\d+\s*-[^\n]*)", 1)).alias("title"), strip("body").alias("body"), F.lit(endpoints).alias("endpoints"))
 
 
 def endpoint_count(spec: Column) -> Column:
