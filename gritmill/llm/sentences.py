@@ -1,9 +1,10 @@
 """Sentence boundaries across languages and scripts.
 
 Blank lines, list entries and headings cut a text into blocks. Within a block every stop mark with the closing marks after it is a
-candidate, and a maximum-entropy model decides each from the tokens around it, their case, length, digits and script, the mark, and
-whether a quotation or bracket is open. It is trained on reliable candidates: stops that a block's end or a double blank confirms,
-and dots that a small letter, a comma, a known abbreviation or an initial refutes.
+candidate (in Thai, every run of blanks), and a maximum-entropy model decides each from the tokens around it, their case, length,
+digits and script, the mark, and whether a quotation or bracket is open. It is trained on reliable candidates: stops that a block's
+end or a double blank confirms, and dots that a small letter, a comma, an abbreviation or an initial refutes. Abbreviations beyond
+those that every text may use are learned from counts over the whole corpus.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Documents of the training sample at most, taken by the hash of their id: the bound of the only sampled step.
 TRAINING_DOCUMENTS, TRAINING_LENGTH = 4_000, 20_000
 HASH_BITS = 10
+#: What makes a word with a dot an abbreviation: how often, and which share of its dots that end no block, something goes on after it;
+#: and the share of block ends, in so many uses at least, below which it never ends a sentence. Words that qualify are kept, the most frequent of them at most.
+LEAST_SEEN, GOES_ON, AT_END, SURE, MOST_LEARNED = 5, 0.4, 0.02, 50, 20_000
 
 #: Abbreviations that stand before what they belong to, so that their dot never ends a sentence.
 LEADING = frozenset(
@@ -129,86 +133,145 @@ def _case(c: str) -> str:
     return {"Lu": "upper", "Lt": "upper", "Ll": "lower", "Nd": "digit", "Lo": "uncased", "Lm": "uncased", "Pd": "dash"}.get(kind, "punct" if kind[0] == "P" else "sign")
 
 
+_MARKS_BEFORE = "'’‘-–—*_`>#"
+_RUN, _QUOTED = re.compile(r"\s+"), re.compile(r"[^\S\r\n]*>+")
 _PREVIOUS = re.compile(r"[^\s“”„«»「」『』（）()\[\]\"]+$")
 _NEXT = re.compile(r"[^\s.,;:!?。，！？“”„«»「」()（）\"]{1,24}")
 
 
+class Abbreviations:
+    """Kind of each learned abbreviation, in lower case: ``leading`` ones never end a sentence, ``trailing`` ones may."""
+
+    def __init__(self, kinds: dict[str, str] | None = None):
+        self.kinds = kinds or {}
+
+    def shape(self, bare: str) -> str | None:
+        return "trailing" if bare in TRAILING else "leading" if bare in LEADING else self.kinds.get(bare)
+
+
+NO_MORE = Abbreviations()
+
+
+def _shape(p: str, nxt: str, known: Abbreviations) -> str:
+    """What stands before a dot."""
+    bare = p.lower().lstrip("'’‘-–—*_`>#").rstrip(".")
+    if (kind := known.shape(bare)) is not None:
+        return kind
+    if len(p) == 1 and p.isalpha():
+        return "initial" if p.isupper() else "letter"
+    if p[-1:].isdigit():
+        return "ordinal" if nxt.lower() in MONTHS and p.isdigit() and len(p) <= 2 else "number"
+    if "." in bare and len(bare) <= 6:
+        return "dotted"
+    return "word" if any(c.isalnum() for c in p) else "none"
+
+
 class Candidate:
     """A stop with its closing marks: ``end`` is after them; the text after it may go on at once or after blanks."""
 
     __slots__ = ("after", "closers", "end", "inside", "marks", "next", "previous", "span_open", "start", "wide_gap")
 
-    def features(self) -> list[str]:
-        p, marks = self.previous, self.marks
-        low = p.lower().lstrip("'’‘-–—*_`>#")
-        nxt = self.next
+    def key(self, known: Abbreviations = NO_MORE) -> tuple:
+        """All that the model knows but the words: (kind, shape, case, gap, inside, closed, attributed, place in a token, length)."""
+        p, marks, nxt = self.previous, self.marks, self.next
         case = _case(self.after[:1])
         # a word like xyzOS opens a sentence in spite of its small letter
         if case == "lower" and nxt[:1].islower() and any(c.isupper() for c in nxt[1:]):
             case = "camel"
         gap = "gap" if self.wide_gap else "tight"
         dot = marks == "."
-        wide = any(c in _WIDE for c in marks)
-        kind = "dot" if dot else "wide" if wide else "ellipsis" if marks.startswith("..") or "…" in marks else "mark"
-        shape = "word"
-        if dot:
-            bare = low.rstrip(".")
-            if bare in TRAILING:
-                shape = "trailing"
-            elif bare in LEADING:
-                shape = "leading"
-            elif len(p) == 1 and p.isalpha():
-                shape = "initial" if p.isupper() else "letter"
-            elif p[-1:].isdigit():
-                shape = "number"
-                if nxt.lower() in MONTHS and p.isdigit() and len(p) <= 2:
-                    shape = "ordinal"
-            elif "." in bare and len(bare) <= 6:
-                shape = "dotted"
-            elif not any(c.isalnum() for c in p):
-                shape = "none"
-        out = ["bias", f"k={kind}", f"kc={kind},{case},{gap}", f"s={shape}", f"sc={shape},{case},{gap}"]
-        if self.inside:
-            out.append("inside")
-        if self.closers:
-            out += ["closed", f"closed={case}"]
-            if self.span_open and case in ("uncased", "upper") and not dot:
-                glued = not self.wide_gap
-                if _PARTICLE.match(self.after) or (glued and kind == "wide" and marks[-1] not in "。" and _SPEECH.match(self.after)):
-                    out.append("attributed")
+        kind = "dot" if dot else "wide" if not _WIDE.isdisjoint(marks) else "ellipsis" if marks.startswith("..") or "…" in marks else "mark"
+        shape = _shape(p, nxt, known) if dot else "word"
+        attributed = False
+        if self.closers and self.span_open and case in ("uncased", "upper") and not dot:
+            attributed = bool(_PARTICLE.match(self.after) or (not self.wide_gap and kind == "wide" and marks[-1] not in "。" and _SPEECH.match(self.after)))
+        place = None
         if dot and gap == "tight" and case not in ("none", "uncased", "open"):
             # within an address, a name or a number?
             token = re.match(r"\S*", self.after).group()
             plain = len(p) > 1 and p[-1].islower() and p.isalpha() and case == "upper" and re.fullmatch(r"[^\W\d_]+['’]?[^\W\d_]*[,;:]?", token.split(".")[0] or "x") is not None
             closed = bool(self.closers) and case == "upper"
             number = shape == "number" and case == "upper" and re.match(r"[^\W\d_][a-zà-ÿа-я]", self.after) is not None and re.match(r"\d+(?:\.\d+)*$", p) is not None
-            out.append("joined" if plain or closed or number else "address")
-        out.append(f"len={min(len(p), 6)}")
-        out += [f"#{zlib.crc32(f'p{low[-12:]}'.encode()) % (1 << HASH_BITS)}", f"#{zlib.crc32(f'n{nxt[:12].lower()}'.encode()) % (1 << HASH_BITS)}"]
-        return out
+            place = "joined" if plain or closed or number else "address"
+        return kind, shape, case, gap, self.inside, bool(self.closers), attributed, place, min(len(p), 6)
+
+    def words(self) -> tuple[str, str]:
+        return f"p{self.previous.lower().lstrip(_MARKS_BEFORE)[-12:]}", f"n{self.next[:12].lower()}"
 
-    def reliable(self, block_ends: bool) -> int | None:
+    def features(self, known: Abbreviations = NO_MORE) -> list[str]:
+        return [*key_features(self.key(known)), *(word_feature(w) for w in self.words())]
+
+    def reliable(self, block_ends: bool, known: Abbreviations = NO_MORE) -> int | None:
         """1 for a boundary, 0 for none, null if nothing tells."""
-        shape = next(f for f in self.features() if f.startswith("s=") and not f.startswith("sc="))[2:]
-        case = _case(self.after[:1])
-        attributes = self.features()
-        if self.inside or "attributed" in attributes or "address" in attributes:
+        kind, shape, case, _, inside, _, attributed, place, _ = self.key(known)
+        if kind == "blank":
+            return 1 if case in ("thai", "letter") else 0
+        if inside or attributed or place == "address":
             return 0
         if block_ends:
             return 0 if shape in ("initial", "leading") else 1
         if shape in ("leading", "initial", "ordinal"):
             return 0
-        if self.wide_gap and case == "lower" and not any(c.isupper() for c in self.next[1:]):
+        if self.wide_gap and case == "lower":
             return 0
         if self.after[:1] in (",", ";", ":", "،", "，", "、"):
             return 0
-        if "joined" in attributes:
+        if place == "joined":
             return 1
         if self.marks[-1] in _WIDE and case in ("uncased", "upper", "digit", "open"):
             return 1
         return None
 
 
+class Blank(Candidate):
+    """A run of blanks in Thai: the sentence before it ends at ``start``, the next one begins at ``end``."""
+
+    __slots__ = ()
+
+    def key(self, known: Abbreviations = NO_MORE) -> tuple:
+        c, p = self.after[:1], self.previous[-1:]
+        case = "thai" if _THAI.match(c) else "letter" if c.isalpha() else "digit" if c.isdigit() else "other"
+        shape = "after thai" if _THAI.match(p) else "after letter" if p.isalpha() else "after digit" if p.isdigit() else "after other"
+        return "blank", shape, case, "gap", False, False, False, None, min(len(self.previous), 6)
+
+
+def key_features(key: tuple) -> list[str]:
+    kind, shape, case, gap, inside, closed, attributed, place, length = key
+    out = ["bias", f"k={kind}", f"kc={kind},{case},{gap}", f"s={shape}", f"sc={shape},{case},{gap}", f"len={length}"]
+    if inside:
+        out.append("inside")
+    if closed:
+        out += ["closed", f"closed={case}"]
+    if attributed:
+        out.append("attributed")
+    if place:
+        out.append(place)
+    return out
+
+
+def word_feature(word: str) -> str:
+    return f"#{zlib.crc32(word.encode()) % (1 << HASH_BITS)}"
+
+
+def is_thai(block: str) -> bool:
+    """Whether most letters of a block are Thai."""
+    letters = len(_THAI.findall(block))
+    return letters > 0 and 2 * letters > sum(c.isalpha() or unicodedata.category(c)[0] == "M" for c in block)
+
+
+def blanks(text: str, first: int, last: int) -> list[Candidate]:
+    """Candidates of a Thai block: runs of blanks after its list mark, heading mark or quotation mark."""
+    marker = _LIST.match(text, first, last) or _HEADING.match(text, first, last) or _QUOTED.match(text, first, last)
+    out = []
+    for m in _RUN.finditer(text, marker.end() + 1 if marker else first, last):
+        c = Blank()
+        c.start, c.end, c.marks, c.closers, c.inside, c.span_open, c.wide_gap = m.start(), m.end(), " ", "", False, False, True
+        c.previous, c.after = text[max(first, m.start() - 8) : m.start()], text[m.end() : m.end() + 8]
+        c.next = c.after
+        out.append(c)
+    return out
+
+
 def candidates(text: str, first: int, last: int) -> list[Candidate]:
     body_end = first + len(text[first:last].rstrip())
     spans = open_spans(text, first, body_end)
@@ -252,22 +315,42 @@ def candidates(text: str, first: int, last: int) -> list[Candidate]:
 
 
 class Model:
-    """Weights of binary features; a boundary where their sum is positive."""
+    """Weights of binary features; a boundary where their sum is positive. Sums per key and weights per word are kept, up to a bound."""
 
-    def __init__(self, weights: dict[str, float]):
-        self.weights = weights
+    KEPT = 1 << 17
 
-    def is_boundary(self, c: Candidate) -> bool:
-        return sum(self.weights.get(f, 0.0) for f in c.features()) > 0
+    def __init__(self, weights: dict[str, float], known: Abbreviations = NO_MORE):
+        self.weights, self.known = weights, known
+        self._keys: dict[tuple, float] = {}
+        self._words: dict[str, float] = {}
 
+    def __reduce__(self):
+        return Model, (self.weights, self.known)
 
-def _examples(text: str) -> list[tuple[list[str], int]]:
+    def is_boundary(self, c: Candidate) -> bool:
+        key = c.key(self.known)
+        score = self._keys.get(key)
+        if score is None:
+            score = self._keys[key] = sum(self.weights.get(f, 0.0) for f in key_features(key))
+        for word in c.words():
+            own = self._words.get(word)
+            if own is None:
+                if len(self._words) > self.KEPT:
+                    self._words.clear()
+                own = self._words[word] = self.weights.get(word_feature(word), 0.0)
+            score += own
+        return score > 0
+
+
+def _examples(text: str, known: Abbreviations) -> list[tuple[list[str], int]]:
     out = []
     spans = blocks(text)
     for n, (a, b) in enumerate(spans):
+        if is_thai(text[a:b]):
+            out += [(c.features(), c.reliable(False)) for c in blanks(text, a, b)]
+            continue
         body_end = a + len(text[a:b].rstrip())
-        found = candidates(text, a, b)
-        for c in found:
+        for c in candidates(text, a, b):
             ends = c.end >= body_end
             if ends and not c.inside:
                 # what follows a block's end stands in for the next sentence
@@ -275,17 +358,17 @@ def _examples(text: str) -> list[tuple[list[str], int]]:
                 if _LIST.match(follow) or follow[:1] in "#>":
                     follow = ""
                 c.after, c.wide_gap, c.next = follow, True, (_NEXT.match(follow) or [""])[0]
-            label = c.reliable(ends)
+            label = c.reliable(ends, known)
             if label is not None:
-                if label and c.after and _case(c.after[:1]) == "lower" and not any(x.isupper() for x in c.next[1:]):
+                if label and c.after and c.key(known)[2] == "lower":
                     continue
-                out.append((c.features(), label))
+                out.append((c.features(known), label))
     return out
 
 
-def train(texts: list[str], rounds: int = 300) -> Model:
+def train(texts: list[str], rounds: int = 300, known: Abbreviations = NO_MORE) -> Model:
     """Maximum-entropy fit by scaled gradient steps. Without examples, every stop before a blank is a boundary."""
-    examples = [e for t in texts for e in _examples(t)]
+    examples = [e for t in texts for e in _examples(t, known)]
     # every shape is known from these, whatever the sample holds; they also pin the cases that no block's end shows
     for case in ("upper", "open", "camel", "digit", "uncased", "none", "sign"):
         for kind, shape in (("dot", "word"), ("dot", "trailing"), ("dot", "number"), ("mark", "word"), ("wide", "word")):
@@ -298,6 +381,8 @@ def train(texts: list[str], rounds: int = 300) -> Model:
         for shape in ("word", "trailing", "number"):
             examples += [(["bias", f"k={kind}", f"kc={kind},lower,gap", f"s={shape}", f"sc={shape},lower,gap"], 0)] * 20
     examples += [(["bias", "k=dot", "kc=dot,upper,tight", "s=word", "sc=word,upper,tight", "joined"], 1)] * 20
+    for case, label in (("thai", 1), ("letter", 1), ("digit", 0), ("other", 0)):
+        examples += [(["bias", "k=blank", f"kc=blank,{case},gap", f"s=after {x}", f"sc=after {x},{case},gap"], label) for x in ("thai", "letter", "digit", "other")] * 20
     names = {f: i for i, f in enumerate(dict.fromkeys(f for e, _ in examples for f in e))}
     rows = np.repeat(np.arange(len(examples)), [len(e) for e, _ in examples])
     columns = np.array([names[f] for e, _ in examples for f in e])
@@ -311,7 +396,7 @@ def train(texts: list[str], rounds: int = 300) -> Model:
         gradient = np.bincount(columns, error[rows], len(names)) + 1e-6 * w
         squares += gradient**2
         w -= 0.5 * scale * gradient / np.sqrt(squares)
-    return Model({f: float(w[i]) for f, i in names.items()})
+    return Model({f: float(w[i]) for f, i in names.items()}, known)
 
 
 def sentence_spans(text: str | None, model: Model) -> list[tuple[int, int]]:
@@ -327,16 +412,12 @@ def sentence_spans(text: str | None, model: Model) -> list[tuple[int, int]]:
             out.append((a + left, a + len(piece.rstrip())))
 
     for first, last in blocks(text):
-        block = text[first:last]
-        letters = len(_THAI.findall(block))
         at = first
-        if letters and 2 * letters > sum(c.isalpha() or unicodedata.category(c)[0] == "M" for c in block):
-            marker = _LIST.match(text, first, last) or _HEADING.match(text, first, last) or re.compile(r"[^\S\r\n]*>+").match(text, first, last)
-            begin = marker.end() + 1 if marker else first
-            for m in re.compile(r"\s+").finditer(text, begin, last):
-                if m.end() < last and _THAI.match(text, m.end()) or text[m.end() : m.end() + 1].isalpha():
-                    add(at, m.start())
-                    at = m.end()
+        if is_thai(text[first:last]):
+            for c in blanks(text, first, last):
+                if model.is_boundary(c):
+                    add(at, c.start)
+                    at = c.end
         else:
             for c in candidates(text, first, last):
                 if model.is_boundary(c):
@@ -351,12 +432,30 @@ def _empty_model() -> Model:
     return train([], 200)
 
 
+def learn_abbreviations(documents: DataFrame, text: str) -> Abbreviations:
+    """Abbreviations by how words with a dot go on, counted over all documents; at most MOST_LEARNED, the most frequent ones.
+
+    Texts are split at dots, so only the few characters around each dot meet a regular expression. Counts are combined before the
+    shuffle; the thresholds leave few words of a corpus. Words with dots within them need no learning.
+    """
+    pieces = F.split(text, r"\.")
+    around = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(pieces) - 1).alias("before"), F.slice(pieces, F.lit(2), F.size(pieces) - 1).alias("after"))
+    dots = documents.where(F.col(text).contains(".")).select(F.explode(around).alias("x")).select(F.right("x.before", F.lit(10)).alias("before"), F.substring("x.after", 1, 6).alias("after"))
+    word = F.lower(F.regexp_extract("before", r"[^\p{L}\p{N}.@/_-](\p{L}{1,8})$", 1))
+    after = F.col("after")
+    use = F.when(after.rlike(r"^[ \t\r]*(?:\n[ \t\r]*\n|$)"), "end").when(after.rlike(r"^(?:[ \t]+[\p{Ll}\p{Nd}]|[,;:)])"), "on").when(after.rlike(r"^\s+[\p{Lu}\p{Lt}]"), "new")
+    counts = dots.select(word.alias("word"), use.alias("use")).where("word <> '' and use is not null").groupBy("word").agg(*[F.count_if(F.col("use") == u).alias(u) for u in ("on", "new", "end")])
+    kept = counts.where((F.col("on") >= LEAST_SEEN) & (F.col("on") >= GOES_ON * (F.col("on") + F.col("new"))))
+    rows = kept.orderBy(F.col("on").desc(), "word").limit(MOST_LEARNED).collect()
+    return Abbreviations({r.word: "leading" if r.on + r.new + r.end >= SURE and r.end < AT_END * (r.on + r.new + r.end) else "trailing" for r in rows})
+
+
 def fit(documents: DataFrame, identifier: str, text: str, bound: int = TRAINING_DOCUMENTS) -> Model:
     """A model from at most ``bound`` documents, chosen by the hash of their id; from the fixed examples alone if there are none."""
     # texts longer than TRAINING_LENGTH are no training examples, which bounds the sample's size too
     rows = documents.where(F.length(text) <= TRAINING_LENGTH).select(F.xxhash64(F.col(identifier).cast("string")).alias("h"), F.col(text).alias("t"))
     sample = [r.t for r in rows.orderBy("h", "t").limit(bound).collect()]
-    return train(sample) if sample else _empty_model()
+    return train(sample, known=learn_abbreviations(documents, text)) if sample else _empty_model()
 
 
 def split_sentences(documents: DataFrame, identifier: str, text: str, model: Model) -> DataFrame:

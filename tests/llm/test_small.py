@@ -196,6 +196,13 @@ def test_overlap_equals_brute_force(spark):
     assert {r.record for r in listed} == {a for a, *_ in own} and {r.record for r in listed if r.links} == {x for pair in want for x in pair}
     twice = spark.createDataFrame([("a", "s", "train", "one two three"), ("a", "s", "train", "four five six"), ("b", "s", "test", "four five six")], df.drop("tokens").schema)
     assert [(r.e_record, r.t_record) for r in overlap.record_pairs(*overlap.overlaps(twice, "record_id", "normalized_text", clean_split("split"), "source_id")).collect()] == [("b", "a")]
+    # the automata alone, over all texts and without any routing, find the same; so do several shards and salts
+    rows_ = overlap.normalise(df, "record_id", "normalized_text", clean_split("split"), "source_id").cache()
+    classes = lambda side: rows_.where(F.col("side") == "train" if side else F.col("side") != "train").groupBy("cid", "cid2").agg(F.min("tokens").alias("tokens"))
+    keys = lambda d: {(r.e_cid, r.t_cid) for r in d.collect()}
+    for shards, salts in ((1, 1), (3, 2)):
+        everywhere = classes(True).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.col("cid").alias("t_cid"))
+        assert keys(overlap.scanned(everywhere, classes(False), classes(True), shards, salts)) == keys(found)
     none, rest = overlap.overlaps(df.limit(0), "record_id", "normalized_text", clean_split("split"), "source_id")
     assert overlap.record_pairs(none, rest).count() == 0
 
@@ -420,3 +427,22 @@ def test_sentences_of_tables(spark):
     rows = sentences.split_sentences(df, "doc_id", "text", sentences.fit(df, "doc_id", "text")).collect()
     assert sorted((r.doc_id or 0, r.start_at, r.end_at) for r in rows) == [(0, 0, 1), (1, 0, 4), (1, 0, 4), (1, 5, 9), (1, 5, 9), (4, 0, 99999)]
     assert sentences.split_sentences(df.limit(0), "doc_id", "text", sentences.fit(df.limit(0), "doc_id", "text")).count() == 0
+
+
+def test_learned_abbreviations(spark):
+    """A word that no list has, from how it is used over all documents; brute force counts the same."""
+    texts = [f"The unit xq. {n} runs with grmb. parts of Grmb. Nothing else.\n\nIt ends." for n in range(60)] + [None, "", "One grmb. more."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("word", F.lit("clash"))
+    known = sentences.learn_abbreviations(df, "text")
+    assert known.kinds == {"xq": "leading", "grmb": "leading"}
+    text = "It is in xq. Berlin now. Next."
+    plain, taught = sentences.train([]), sentences.train([], known=known)
+    assert len(sentences.sentence_spans(text, plain)) == 3 and [text[a:b] for a, b in sentences.sentence_spans(text, taught)] == ["It is in xq. Berlin now.", "Next."]
+    assert sentences.learn_abbreviations(df.limit(0), "text").kinds == {}
+
+
+def test_thai_through_the_model(model):
+    text = "โหนดภายในลบบันทึก 25 รายการ เกตเวย์ยอมรับโทเคน"
+    assert [text[a:b] for a, b in sentences.sentence_spans(text, model)] == ["โหนดภายในลบบันทึก 25", "รายการ", "เกตเวย์ยอมรับโทเคน"]
+    never = sentences.Model({"bias": -5.0})
+    assert len(sentences.sentence_spans(text, never)) == 1
