@@ -1,11 +1,14 @@
 """Same or near-same records across splits.
 
-Texts that are equal as word sequences form one class. Near-same means at most one word in eight changed. If a text of n words has at
-most k changes, one of any k + 1 disjoint runs of its words is intact, so every evaluation class gets k + 1 disjoint runs, chosen
-where the training words are rarest. Every position of every training text is probed against them; a hit must lie within k words of
-its place, the lengths within k, and the word signatures within 2k bits, all of which follow from k changes, so no pair is lost.
-Training texts then reach the shards of evaluation passages they hit, where an Aho-Corasick automaton over the passages' runs scans
-them and the matched intervals are merged into coverage; an exact word edit distance decides.
+Texts that are equal as word sequences form one class. Near-same means at most one word in eight changed. The evaluation passages are
+sharded by hash; an Aho-Corasick automaton over the runs of a shard's passages scans training texts, and the matched intervals are
+merged into coverage per passage. A passage of n words is cut into n // 7 + 1 runs and k changes break at most k of them, so a near-same
+text keeps the others: that many intact runs, the lengths and an exact word edit distance decide.
+
+Scanning every training text with every shard would cost shards times corpus. So texts are routed: of k + 1 disjoint runs of a passage
+(four words, chosen where the training words are rarest) one is intact, every position of every training text is probed against them,
+and a hit must lie within k words of its place, the lengths within k, and the word signatures within 2k bits. All of it follows from k
+changes, so routing loses no pair; the automaton of a shard then sees the texts that some passage of the shard may match.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ BLOCK = 448
 #: Bits of the filter over the runs: 12 per run, within these.
 FILTER_BITS = (1 << 20, 1 << 27)
 TEXTS_AT_ONCE = 1024
+#: Passages of a shard, so that its automaton has a bounded size, and training texts of one salt of it.
+SHARD_PASSAGES, SALT_TEXTS = 4096, 100_000
 _U = np.uint64
 
 
@@ -235,52 +240,77 @@ def merge(intervals: list[tuple[int, int]]) -> int:
     return total
 
 
-def scan_shard(evaluation: dict[int, list[str]], training: dict[int, list[str]], pairs: list[tuple[int, int]]) -> list[float]:
-    """Share of each pair's evaluation words that the automaton over the shard's runs finds in the training text."""
-    automaton, runs = ahocorasick.Automaton(), {}
-    for e, tokens in evaluation.items():
-        n = len(tokens)
-        count = n // (PER_CHANGE - 1) + 1
-        for j in range(count):
-            a, b = j * n // count, (j + 1) * n // count
-            if a < b:
-                runs.setdefault(f" {' '.join(tokens[a:b])} ", []).append((e, a, b))
-    for key, places in runs.items():
-        automaton.add_word(key, places)
-    automaton.make_automaton()
-    wanted: dict[int, dict[int, list[tuple[int, int]]]] = {}
-    for e, t in pairs:
-        wanted.setdefault(t, {})[e] = []
-    for t, own in wanted.items():
-        for _, places in automaton.iter(f" {' '.join(training[t])} "):
-            for e, a, b in places:
-                if e in own:
-                    own[e].append((a, b))
-    return [merge(wanted[t][e]) / len(evaluation[e]) for e, t in pairs]
-
-
-def verified(pairs: DataFrame, evaluation: DataFrame, train: DataFrame) -> DataFrame:
-    """(e_cid, e_cid2, t_cid, t_cid2, coverage) of near-same classes."""
-    e = evaluation.select(F.col("cid").alias("e_cid"), F.col("cid2").alias("e_cid2"), F.col("tokens").alias("e_tokens"))
-    t = train.select(F.col("cid").alias("t_cid"), F.col("cid2").alias("t_cid2"), F.col("tokens").alias("t_tokens"))
-    rows = pairs.join(e, "e_cid").join(t, "t_cid").select("e_cid", "e_cid2", "t_cid", "t_cid2", "e_tokens", "t_tokens")
+class Shard:
+    """The automaton over the runs of evaluation passages; finds the passages that a training text is near to."""
+
+    def __init__(self) -> None:
+        self.passages: list[tuple[tuple[int, int], list[str], list[int]]] = []
+        self._automaton: ahocorasick.Automaton | None = None
+
+    def add(self, key: tuple[int, int], text: str) -> None:
+        tokens = text.split(" ")
+        count = len(tokens) // (PER_CHANGE - 1) + 1
+        self.passages.append((key, tokens, [j * len(tokens) // count for j in range(count + 1)]))
+        self._automaton = None
+
+    def _build(self) -> ahocorasick.Automaton:
+        runs: dict[str, list[tuple[int, int]]] = {}
+        for e, (_, tokens, cuts) in enumerate(self.passages):
+            for j, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a < b:
+                    runs.setdefault(f" {' '.join(tokens[a:b])} ", []).append((e, j))
+        automaton = ahocorasick.Automaton()
+        for run, places in runs.items():
+            automaton.add_word(run, places)
+        automaton.make_automaton()
+        self._automaton = automaton
+        return automaton
+
+    def find(self, text: str) -> list[tuple[tuple[int, int], float]]:
+        """(key, covered share) of each near-same passage."""
+        if not self.passages:
+            return []
+        intact: dict[int, int] = {}
+        for _, places in (self._automaton or self._build()).iter(f" {text} "):
+            for e, j in places:
+                intact[e] = intact.get(e, 0) | (1 << j)
+        out, tokens, m = [], None, text.count(" ") + 1
+        for e, runs in intact.items():
+            key, passage, cuts = self.passages[e]
+            n, k = len(passage), most_changes(len(passage), m)
+            if abs(n - m) <= k and runs.bit_count() >= len(cuts) - 1 - k:
+                tokens = text.split(" ") if tokens is None else tokens
+                if edits_within(passage, tokens, k):
+                    out.append((key, merge([(a, b) for j, (a, b) in enumerate(zip(cuts, cuts[1:])) if runs >> j & 1]) / n))
+        return out
+
+
+def scanned(routes: DataFrame, evaluation: DataFrame, train: DataFrame, shards: int, salts: int = 1) -> DataFrame:
+    """(e_cid, e_cid2, t_cid, t_cid2, coverage) of near-same classes: the automata of all shards over the texts routed to them.
+
+    ``routes`` has (shard, t_cid). Training texts of a shard are spread over ``salts`` tasks, each with an automaton of its own, and
+    stream through it; passages come first in their task.
+    """
+    columns = ["shard", "salt", "side", "cid", "cid2", "tokens"]
+    passages = evaluation.select(F.pmod("cid", F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("side"), "cid", "cid2", "tokens")
+    texts = routes.join(train.select(F.col("cid").alias("t_cid"), "cid", "cid2", "tokens"), "t_cid").select("shard", F.pmod(F.xxhash64("cid", "cid2"), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("side"), "cid", "cid2", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, own = None, Shard()
         for batch in batches:
-            for first in range(0, batch.num_rows, 2 * TEXTS_AT_ONCE):
-                part = batch.slice(first, 2 * TEXTS_AT_ONCE)
-                # within a shard, texts go by their number; equal strings get the same
-                number: dict[str, int] = {}
-                sides = [[number.setdefault(s, len(number)) for s in part.column(c).to_pylist()] for c in ("e_tokens", "t_tokens")]
-                texts = {i: s.split(" ") for s, i in number.items()}
-                pairs_ = list(zip(*sides))
-                coverage = np.array(scan_shard({e: texts[e] for e in sides[0]}, {t: texts[t] for t in sides[1]}, pairs_))
-                near = [c > 0 and edits_within(texts[e], texts[t], most_changes(len(texts[e]), len(texts[t]))) for c, (e, t) in zip(coverage.tolist(), pairs_)]
-                at = np.flatnonzero(near)
-                columns = [part.column(i).take(pa.array(at)) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(coverage[at], pa.float64())], ["e_cid", "e_cid2", "t_cid", "t_cid2", "coverage"])
-
-    return rows.mapInArrow(run, "e_cid long, e_cid2 long, t_cid long, t_cid2 long, coverage double")
+            found: list[tuple[int, int, int, int, float]] = []
+            for shard, salt, side, cid, cid2, tokens in zip(*(batch.column(c).to_pylist() for c in columns)):
+                if (shard, salt) != place:
+                    place, own = (shard, salt), Shard()
+                if side == 0:
+                    own.add((cid, cid2), tokens)
+                else:
+                    found += [(*key, cid, cid2, share) for key, share in own.find(tokens)]
+            kinds = [pa.int64()] * 4 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)], ["e_cid", "e_cid2", "t_cid", "t_cid2", "coverage"])
+
+    rows = passages.unionByName(texts).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "side")
+    return rows.select(*columns).mapInArrow(run, "e_cid long, e_cid2 long, t_cid long, t_cid2 long, coverage double")
 
 
 def overlaps(df: DataFrame, identifier: str, text: str, split: Column, extra: str) -> tuple[DataFrame, DataFrame]:
@@ -296,8 +326,11 @@ def overlaps(df: DataFrame, identifier: str, text: str, split: Column, extra: st
     train, evaluation = classes.where("t"), classes.where("e")
     runs = saved(evaluation_runs(evaluation, run_counts(train)))
     pairs = candidates(runs, training_runs(train, run_filter(runs)))
+    shards = max(1, -(-evaluation.count() // SHARD_PASSAGES))
+    routes = saved(pairs.select(F.pmod("e_cid", F.lit(shards)).cast("int").alias("shard"), "t_cid").distinct())
+    salts = max(1, -(-routes.count() // (shards * SALT_TEXTS)))
     members = rows.groupBy("record", "side", "cid", "cid2").agg(F.min("extra").alias("extra"))
-    return saved(verified(pairs, evaluation, train)), members
+    return saved(scanned(routes, evaluation, train, shards, salts)), members
 
 
 def evaluation_counts(found: DataFrame, members: DataFrame) -> DataFrame:
