@@ -93,8 +93,8 @@ def open_spans(text: str, first: int, last: int) -> list[tuple[int, int]]:
     stack: list[tuple[int, str]] = []
     out: list[tuple[int, int]] = []
     straight = -1
-    for m in re.finditer("[“”„«»「」『』（）()\\[\\]【】《》\"]", text[first:last]):
-        c, i = m.group(), first + m.start()
+    for m in _OPENERS.finditer(text, first, last):
+        c, i = m.group(), m.start()
         if c == '"':
             if straight >= 0:
                 out.append((straight, i + 1))
@@ -135,6 +135,9 @@ def _case(c: str) -> str:
 
 _MARKS_BEFORE = "'’‘-–—*_`>#"
 _RUN, _QUOTED = re.compile(r"\s+"), re.compile(r"[^\S\r\n]*>+")
+_MARKS = re.compile(r"[.!?。！？．।॥؟۔‼⁇⁈⁉…]+")
+_TOKEN, _WORD_ON, _CAPITAL, _FIGURES = re.compile(r"\S*"), re.compile(r"[^\W\d_]+['’]?[^\W\d_]*[,;:]?"), re.compile(r"[^\W\d_][a-zà-ÿа-я]"), re.compile(r"\d+(?:\.\d+)*$")
+_OPENERS = re.compile("[“”„«»「」『』（）()\\[\\]【】《》\"]")
 _PREVIOUS = re.compile(r"[^\s“”„«»「」『』（）()\[\]\"]+$")
 _NEXT = re.compile(r"[^\s.,;:!?。，！？“”„«»「」()（）\"]{1,24}")
 
@@ -188,10 +191,10 @@ class Candidate:
         place = None
         if dot and gap == "tight" and case not in ("none", "uncased", "open"):
             # within an address, a name or a number?
-            token = re.match(r"\S*", self.after).group()
-            plain = len(p) > 1 and p[-1].islower() and p.isalpha() and case == "upper" and re.fullmatch(r"[^\W\d_]+['’]?[^\W\d_]*[,;:]?", token.split(".")[0] or "x") is not None
+            token = _TOKEN.match(self.after).group()
+            plain = len(p) > 1 and p[-1].islower() and p.isalpha() and case == "upper" and _WORD_ON.fullmatch(token.split(".")[0] or "x") is not None
             closed = bool(self.closers) and case == "upper"
-            number = shape == "number" and case == "upper" and re.match(r"[^\W\d_][a-zà-ÿа-я]", self.after) is not None and re.match(r"\d+(?:\.\d+)*$", p) is not None
+            number = shape == "number" and case == "upper" and _CAPITAL.match(self.after) is not None and _FIGURES.match(p) is not None
             place = "joined" if plain or closed or number else "address"
         return kind, shape, case, gap, self.inside, bool(self.closers), attributed, place, min(len(p), 6)
 
@@ -272,6 +275,14 @@ def blanks(text: str, first: int, last: int) -> list[Candidate]:
     return out
 
 
+def _last_word(piece: str) -> str:
+    """What stands before a mark, back to a blank, a quotation mark or a bracket."""
+    if not piece or piece[-1].isspace():
+        return ""
+    word = piece.split()[-1]
+    return word if word.isalnum() else (_PREVIOUS.search(word) or [""])[0]
+
+
 def candidates(text: str, first: int, last: int) -> list[Candidate]:
     body_end = first + len(text[first:last].rstrip())
     spans = open_spans(text, first, body_end)
@@ -282,7 +293,7 @@ def candidates(text: str, first: int, last: int) -> list[Candidate]:
     for m in _STOPS.finditer(text, begin, body_end):
         c = Candidate()
         raw = m.group()
-        marks = re.match(r"[.!?。！？．।॥؟۔‼⁇⁈⁉…]+", raw).group()
+        marks = raw if len(raw) == 1 else _MARKS.match(raw).group()
         end = m.end()
         # opening marks look like closing ones in some languages: “ opens unless a span closes there
         inside, span_open = False, False
@@ -304,7 +315,7 @@ def candidates(text: str, first: int, last: int) -> list[Candidate]:
             while closes < end and text[closes] in "”»’'」』）)]】》":
                 closes += 1
         c.start, c.end, c.marks, c.closers, c.inside, c.span_open = m.start(), closes, marks, text[end_marks:closes].strip(), inside, span_open
-        c.previous = (_PREVIOUS.search(text, max(first, m.start() - 40), m.start()) or [""])[0]
+        c.previous = _last_word(text[max(first, m.start() - 40) : m.start()])
         rest = text[closes : min(closes + 80, body_end)]
         stripped = rest.lstrip()
         c.wide_gap = len(stripped) < len(rest) or not rest
@@ -331,6 +342,8 @@ class Model:
         key = c.key(self.known)
         score = self._keys.get(key)
         if score is None:
+            if len(self._keys) > self.KEPT:
+                self._keys.clear()
             score = self._keys[key] = sum(self.weights.get(f, 0.0) for f in key_features(key))
         for word in c.words():
             own = self._words.get(word)
