@@ -51,7 +51,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table and time_status, over all values."""
     done = timestamps.normalise_timestamps(_times(spark, sf_dir), "value", "source", table(spark, sf_dir, "source_feeds"))
-    return done.groupBy("table_name", "time_status").agg(F.count("*").alias("n"), F.min("utc_micros").alias("first_micros"), F.max("utc_micros").alias("last_micros"))
+    return done.groupBy("table_name", "time_status").agg(F.count("*").alias("n"), F.min("utc_micros").cast("string").alias("first_micros"), F.max("utc_micros").cast("string").alias("last_micros"))
 
 
 QUERIES = {"p5_found": p5_found, "p5_variants": p5_variants, "p5_shapes": p5_shapes, "p5_subtypes": p5_subtypes, "p7_found": p7_found, "p7_status": p7_status}
@@ -101,3 +101,32 @@ SQL: dict[str, str] = {
         WHEN {_ANY(('src', 'dst', 'sport', 'dport', 'proto', 'sbytes', 'dbytes'))} THEN 'flow' WHEN json_type(v) = 'ARRAY' THEN 'list' ELSE 'other' END FROM f0)
       SELECT parent_table, variant, count(*) AS records FROM t GROUP BY ALL""",
 }
+
+_ZONES = {"UTC": 0, "GMT": 0, "UT": 0, "CET": 1, "CEST": 2, "EET": 2, "EEST": 3, "BST": 1, "IST": 5.5, "JST": 9, "KST": 9, "SGT": 8, "AEST": 10, "AEDT": 11, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
+_HOURS = "CASE upper(ab) " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _ZONES.items()) + " END"
+_CLEAN = "nullif(trim(regexp_replace(lower({}), '[^a-z0-9]+', '_', 'g'), '_'), '')"
+_PLAIN = "['%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%Y/%m/%d %H:%M', '%Y.%m.%d %H:%M', '%Y%m%dT%H%M%S', '%a, %d %b %Y %H:%M:%S', '%d %b %Y %H:%M:%S', '%d %b %Y %H:%M', '%b %d, %Y %I:%M %p']"
+_DMY, _MDY = "['%d/%m/%Y %H:%M', '%d.%m.%Y %H:%M', '%d/%m/%Y %I:%M %p']", "['%m/%d/%Y %H:%M', '%m.%d.%Y %H:%M', '%m/%d/%Y %I:%M %p']"
+_TIMES = f"""f AS (SELECT {_CLEAN.format('source_id')} AS src, min(zone) AS zone, min(date_order) AS date_order FROM source_feeds GROUP BY 1),
+a AS (SELECT 'silver_records' AS table_name, record_id, {_CLEAN.format('source_dataset')} AS src, "timestamp" AS value FROM silver_records
+  UNION ALL SELECT 'gold_unified', record_id, {_CLEAN.format('source_id')}, collected_at FROM gold_unified),
+b AS (SELECT a.*, regexp_replace(value, '^\\s+|\\s+$', '', 'g') AS v, coalesce(f.zone, 'UTC') AS feed_zone, coalesce(f.date_order, 'YMD') AS o FROM a LEFT JOIN f USING (src)),
+c AS (SELECT *, regexp_matches(v, '^-?\\d{{1,19}}(\\.\\d+)?$') AND NOT regexp_matches(v, '^(19|20)\\d{{6}}$') AS is_number, regexp_replace(v, '\\[[^\\]]*\\]$', '') AS s1, regexp_extract(v, '\\[([A-Za-z_]+/[A-Za-z_/]+)\\]$', 1) AS z1 FROM b),
+d AS (SELECT *, coalesce(nullif(regexp_extract(s1, '\\s([A-Za-z_]+/[A-Za-z_/]+)$', 1), ''), nullif(z1, ''), feed_zone) AS zone, regexp_replace(s1, '\\s[A-Za-z_]+/[A-Za-z_/]+$', '') AS s2 FROM c),
+e AS (SELECT *, CASE WHEN regexp_matches(s2, ':\\d\\d|[Tt]\\d{{6}}') THEN regexp_extract(s2, '\\d\\s*([Zz]|[+-]\\d{{2}}:?\\d{{2}})$', 1) ELSE '' END AS off, regexp_extract(s2, '\\d\\s+([A-Za-z]{{2,5}})$', 1) AS ab0 FROM d),
+g AS (SELECT *, CASE WHEN upper(ab0) IN ('AM', 'PM') THEN '' ELSE ab0 END AS ab FROM e),
+h AS (SELECT *, trim(left(s2, length(s2) - length(off) - length(ab))) AS s3 FROM g),
+i AS (SELECT *, regexp_extract(s3, ':\\d\\d[.,](\\d+)$', 1) AS frac, regexp_replace(regexp_replace(s3, '(:\\d\\d)[.,]\\d+$', '\\1'), '(\\d)t(\\d)', '\\1T\\2') AS s4 FROM h),
+j AS (SELECT *, coalesce(try_strptime(s4, {_PLAIN}), CASE WHEN o = 'MDY' THEN try_strptime(s4, {_MDY}) ELSE try_strptime(s4, {_DMY}) END) AS ts FROM i WHERE NOT is_number OR v IS NULL),
+k AS (SELECT *, CASE WHEN frac = '' THEN 0 ELSE rpad(left(frac, 6), 6, '0')::BIGINT END AS us,
+  CASE WHEN upper(off) = 'Z' THEN 0 WHEN off <> '' THEN CASE left(off, 1) WHEN '-' THEN -1 ELSE 1 END * (substr(off, 2, 2)::BIGINT * 60 + right(off, 2)::BIGINT) * 60000000 WHEN ab <> '' THEN ({_HOURS} * 3600000000)::BIGINT END AS shift FROM j),
+l AS (SELECT *, CASE WHEN shift IS NULL AND ab = '' THEN epoch_us(timezone(zone, ts)) END AS later FROM k),
+m AS (SELECT *, timezone(zone, make_timestamptz(later - 3600000000)) = ts AS twice, timezone(zone, make_timestamptz(later)) <> ts AS never FROM l),
+n AS (SELECT table_name, record_id, value, src, CASE WHEN ts IS NULL THEN NULL WHEN shift IS NOT NULL THEN epoch_us(ts) - shift + us WHEN twice THEN later - 3600000000 + us ELSE later + us END AS utc_micros, coalesce(twice, false) AS twice, coalesce(never, false) AS never FROM m
+  UNION ALL SELECT table_name, record_id, value, src, CASE WHEN abs(w) < 100000000000 THEN w * 1000000 + rpad(left(fr, 6), 6, '0')::BIGINT WHEN abs(w) < 100000000000000 THEN w * 1000 + rpad(left(fr, 3), 3, '0')::BIGINT ELSE w END, false, false
+  FROM (SELECT *, split_part(v, '.', 1)::BIGINT AS w, coalesce(split_part(v, '.', 2), '') AS fr FROM c WHERE is_number)),
+t AS (SELECT *, CASE WHEN utc_micros IS NULL THEN 'none' WHEN twice THEN 'ambiguous' WHEN never THEN 'nonexistent' ELSE 'exact' END AS time_status FROM n)"""
+SQL |= {
+    "p7_found": f"WITH {_TIMES} SELECT DISTINCT table_name, record_id, utc_micros FROM t WHERE utc_micros IS NOT NULL AND NOT regexp_matches(value, '^\\d{{4}}-\\d{{2}}-\\d{{2}}T\\d{{2}}:\\d{{2}}:\\d{{2}}\\+00:00$')",
+    "p7_status": f"WITH {_TIMES} SELECT table_name, time_status, count(*) AS n, CAST(min(utc_micros) AS VARCHAR) AS first_micros, CAST(max(utc_micros) AS VARCHAR) AS last_micros FROM t GROUP BY ALL",
+}
