@@ -79,6 +79,14 @@ LANGUAGE_NAMES = {
 _ASK = r"(?:answer|repl(?:y|ies)|respon[ds]\w*|write|written|use|using|translate\w*|return|output|state|explain|language|please|must be|should be|antwort\w*|schreib\w*|répon\w+|rédige\w*|écri\w+|respond\w*|contest\w+|escrib\w+|ответ\w*|напиш\w*|用|以|请|回答|答え|書)"
 _ASKED = {k: re.compile(rf"{_ASK}[^.!?\n]{{0,60}}?(?:{v})|(?:\b(?:in|into|auf|en|au|to|на)\s+(?:\w+\s+){{0,2}}(?:{v}))|(?:{v})(?:で|[^.!?\n]{{0,20}}\b(?:please|only|answer|reply|response))", re.IGNORECASE) for k, v in LANGUAGE_NAMES.items()}
 
+_NAMED = re.compile("|".join(LANGUAGE_NAMES.values()), re.IGNORECASE)
+
+
+def asks_for(prompt: str, language: str | None = None) -> bool:
+    """Whether a prompt asks for a language, or for any."""
+    return _NAMED.search(prompt) is not None and any(p.search(prompt) for k, p in _ASKED.items() if language is None or k == language)
+
+
 #: Words that refusals are made of, by kind and in many languages; features of the classifier, alone and with each other within a sentence.
 CUES = {
     "first": r"\b(?:i|i'm|i'd|i've|i'll|me|my|we|our|us|ich|mir|mich|meine?[rnms]?|je|j'|moi|nous|yo|mis?|puedo|debo|tengo|lamento|siento|estoy|posso|sono|devo|eu|estou|recuso|ik|mij|jag|mogę|muszę|mi|я|мне|мной|мои|мой|нам|yanıtlayamam|olamam)\b|我|私|저|죄송|أستطيع|يمكنني|لي |أنا|علي|मैं|मुझे|ฉัน|ผม|申し訳|お答え",
@@ -125,8 +133,14 @@ def in_order_share(part: list[str], whole: list[str]) -> float:
     return (len(part) - v.bit_count()) / len(part)
 
 
+_BLANK = re.compile(r"\s")
+_NO_WORD = re.compile("[^a-z0-9]+")
+
+
 def bare(text: str) -> str:
     """Without blanks, marks, symbols and invisible characters; lower case."""
+    if text.isascii():
+        return _NO_WORD.sub("", text.lower())
     return "".join(c for c in text if unicodedata.category(c)[0] in "LN").lower()
 
 
@@ -192,7 +206,7 @@ class Features:
 
     def facts(self, pair: Pair) -> dict:
         a = pair.answer
-        one = not re.search(r"\s", a)
+        one, squeezed = _BLANK.search(a) is None, ""
         if one:
             empty, label, identifier, part = self._one(a)
             if not (empty or label or identifier) and (own := pair.prompt.labels()):
@@ -208,9 +222,9 @@ class Features:
             f["size"] = len(answer_words)
             f["cover"] = cover_of(pair, answer_words) if len(answer_words) >= 4 else 0.0
             f["unfinished"] = not one and not _ENDS_WELL.search(a)
-            if len(bare(a)) >= 6:
+            if len(squeezed or bare(a)) >= 6:
                 f["tongue"] = tongue = language_of(a)
-                f["foreign"] = tongue is not None and tongue not in pair.prompt.languages() and not (tongue in _ASKED and _ASKED[tongue].search(pair.prompt.text))
+                f["foreign"] = tongue is not None and tongue not in pair.prompt.languages() and not asks_for(pair.prompt.text, tongue)
         return f
 
     def of(self, pair: Pair, f: dict) -> list[str]:
@@ -323,11 +337,10 @@ def _broken_on_purpose(pair: Pair, others: list[str], features: Features, rng: r
     if len(words(source)) >= 8:
         text = source[: int(len(source) * rng.uniform(0.86, 1))] if rng.random() < 0.3 else source
         out.append((make(rng.choice([str, str.upper, str.lower, lambda t: f"Answer: {t}", lambda t: f"“{t}”", lambda t: "  ".join(t.split())])(text)), "copied", frozenset(("truncated", "other_language", "refusal"))))
-    tongue = rng.choice(phrases.LANGUAGES)
+    tongue, asked = rng.choice(phrases.LANGUAGES), asks_for(pair.prompt.text)
     for answer in (phrases.statement(tongue, rng), *([rng.choice(others)] if others else [])):
-        foreign = make(answer)
-        if answer and not (language_of(answer) or tongue) in pair.prompt.languages() and not any(p.search(pair.prompt.text) for p in _ASKED.values()):
-            out.append((foreign, "other_language", frozenset()))
+        if answer and not asked and (language_of(answer) or tongue) not in pair.prompt.languages():
+            out.append((make(answer), "other_language", frozenset()))
     a, f = pair.answer, features.facts(pair)
     if f["label"] or f["identifier"]:
         # a part that is a label itself is no defect
