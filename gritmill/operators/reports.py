@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gritmill.functions.text import strip
+
 
 def grouped_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(dimension, value, n) of each column; nulls are a value of their own. One pre-aggregation serves all columns."""
@@ -68,7 +70,7 @@ def sections(df: DataFrame, identifier: str, text: str, heading: str = r"(?m)^#{
     # a mark no text holds stands before each heading, so one split gives all sections
     marked = F.split(F.regexp_replace(clean, f"({heading})", "\x01$1"), "\x01")
     rows = df.where(F.col(text).isNotNull()).select(F.col(identifier), F.posexplode(marked).alias("section", "body")).where("trim(body) <> ''")
-    title = F.when(F.col("body").startswith("#"), F.trim(F.regexp_extract("body", r"^#{1,6}([^\n]*)", 1)))
+    title = F.when(F.col("body").startswith("#"), strip(F.regexp_extract("body", r"^#{1,6}([^\n]*)", 1)))
     return rows.select(identifier, "section", title.alias("title"), F.length("body").alias("length"))
 
 

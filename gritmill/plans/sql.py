@@ -445,3 +445,27 @@ SQL |= {
       list_filter(list_transform(rf, lambda r: json_extract_string(r, '$.url')), lambda u: u IS NOT NULL)[1] AS url, json_extract_string(list_filter(ds, lambda q: json_extract_string(q, '$.lang') = 'en')[1], '$.value') AS raw_text,
       'Threat Intelligence, CVE, Advisory & Taxonomy' AS main_category, 'NVD-Public-Domain' AS license, source_file FROM x""",
 }
+
+_OBJECT = "CASE WHEN json_valid({0}) THEN json_type({0}) = 'OBJECT' ELSE false END"
+_GREEDY = "regexp_extract(t, '(?s)(\\{.*\\})', 1)"
+_VALUE = "json_extract_string(obj, '$.{}')".format
+_WORDS = "regexp_extract_all(lower(cleaned), '[a-z0-9_.:-]+')"
+_CHOICES = ("benign", "malicious", "phishing", "unknown")
+_MATCHED = (
+    "coalesce("
+    + ", ".join(
+        "CASE " + " ".join(f"WHEN {test.format(x)} THEN '{x}'" for x in _CHOICES) + " END"
+        for test in ("lower(cleaned) = '{}'", "contains(lower(cleaned), '{}')", f"list_contains({_WORDS}, '{{}}')")
+    )
+    + ", cleaned)"
+)
+SQL |= {
+    "parsed_responses": f"""WITH r AS (SELECT DISTINCT example_id, task_type, target_json FROM sft_examples), a AS (SELECT *, coalesce(trim(target_json), '') AS t, coalesce(task_type, 'classification') = 'classification' AS k FROM r),
+      b AS (SELECT *, CASE WHEN {_OBJECT.format('t')} THEN t WHEN {_OBJECT.format(_GREEDY)} THEN {_GREEDY} END AS obj FROM a),
+      c AS (SELECT *, {squeeze(f"coalesce({_VALUE('prediction')}, {_VALUE('label')}, {_VALUE('answer')}, {_VALUE('classification')}, t)")} AS cleaned,
+        trim(coalesce(nullif({_VALUE('prediction')}, ''), nullif({_VALUE('answer')}, ''), nullif({_VALUE('output')}, ''), t)) AS said FROM b)
+      SELECT example_id, CASE WHEN k THEN {_MATCHED} ELSE said END AS prediction, nullif(trim(coalesce({_VALUE('explanation')}, CASE WHEN NOT k AND t <> '' AND said <> t THEN t END)), '') AS explanation FROM c""",
+    "heading_sections": """WITH m AS (SELECT doc_id, string_split(regexp_replace(replace(text, chr(13) || chr(10), chr(10)), '(?m)(^#{1,6}[^\\S\\n]+[^\\n]+$)', chr(1) || '\\1', 'g'), chr(1)) AS l FROM documents WHERE text IS NOT NULL),
+      s AS (SELECT doc_id, (generate_subscripts(l, 1) - 1)::INTEGER AS section, unnest(l) AS body FROM m)
+      SELECT doc_id, section, CASE WHEN starts_with(body, '#') THEN trim(regexp_extract(body, '^#{1,6}([^\\n]*)', 1)) END AS title, length(body)::INTEGER AS length FROM s WHERE trim(body) <> ''""",
+}
