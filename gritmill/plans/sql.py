@@ -467,5 +467,5 @@ SQL |= {
       SELECT example_id, CASE WHEN k THEN {_MATCHED} ELSE said END AS prediction, nullif(trim(coalesce({_VALUE('explanation')}, CASE WHEN NOT k AND t <> '' AND said <> t THEN t END)), '') AS explanation FROM c""",
     "heading_sections": """WITH m AS (SELECT doc_id, string_split(regexp_replace(replace(text, chr(13) || chr(10), chr(10)), '(?m)(^#{1,6}[^\\S\\n]+[^\\n]+$)', chr(1) || '\\1', 'g'), chr(1)) AS l FROM documents WHERE text IS NOT NULL),
       s AS (SELECT doc_id, (generate_subscripts(l, 1) - 1)::INTEGER AS section, unnest(l) AS body FROM m)
-      SELECT doc_id, section, CASE WHEN starts_with(body, '#') THEN trim(regexp_extract(body, '^#{1,6}([^\\n]*)', 1)) END AS title, length(body)::INTEGER AS length FROM s WHERE trim(body) <> ''""",
+      SELECT doc_id, section, CASE WHEN starts_with(body, '#') THEN """ + strip("regexp_extract(body, '^#{1,6}([^\\n]*)', 1)") + """ END AS title, length(body)::INTEGER AS length FROM s WHERE trim(body) <> ''""",
 }
