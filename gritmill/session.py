@@ -19,6 +19,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # small tables in tests and benchmarks keep all cores busy
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")

@@ -7,7 +7,7 @@ import json
 import os
 import time
 import urllib.robotparser
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
@@ -148,6 +148,8 @@ def fetch_feeds(spark: SparkSession, client: Client, names: list[str], out: str,
             rows = rows.select(F.lit(name).alias("source_id"), F.lit(feed.url).alias("source_url"), F.lit(feed.license).alias("license_note"), F.lit((today or date.today()).isoformat()).alias("date"), F.struct("*").alias("raw"))
             rows.write.mode("append").partitionBy("source_id", "date").option("ignoreNullFields", False).json(f"{out}/{name}")
             totals[name] = rows.count()
+            meta = {"source_id": name, "source_url": feed.url, "license_note": feed.license, "rows": totals[name], "date": (today or date.today()).isoformat()}
+            spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/{name}_metadata")
         except (HttpError, ValueError, KeyError, OSError) as error:
             errors[name] = str(error)
     return {"totals": totals, "errors": errors}
@@ -163,14 +165,30 @@ def months(first: date, last: date) -> list[tuple[date, date]]:
     return out
 
 
-def fetch_pages(client: Client, url: str, first: date, last: date, page: int = 2000) -> list[str]:
-    """All pages of a paged feed, month by month."""
-    out = []
+def fetch_pages(client: Client, url: str, first: date, last: date, page: int = 2000) -> Iterator[str]:
+    """The pages of a paged feed, month by month, one at a time."""
     for a, b in months(first, last):
         start, total = 0, 1
         while start < total:
             text = client.fetch(f"{url}?pubStartDate={a}T00:00:00.000&pubEndDate={b}T23:59:59.999&resultsPerPage={page}&startIndex={start}")
             total = json.loads(text).get("totalResults", 0)
-            out.append(text)
+            yield text
             start += page
-    return out
+
+
+def store_pages(spark: SparkSession, pages: Iterator[str], out: str, at_once: int = 20) -> int:
+    """Writes the items of pages as JSON lines below ``out``, some pages at a time, so the driver never holds a whole feed. Returns the items."""
+    total, block = 0, []
+
+    def flush() -> int:
+        rows = spark.createDataFrame([(t,) for t in block], "t string").select(F.explode(as_list(member(F.parse_json("t"), "vulnerabilities"))).alias("v")).select(F.to_json("v").alias("value"))
+        rows.write.mode("append").text(out)
+        n = sum(len(json.loads(t).get("vulnerabilities") or []) for t in block)
+        block.clear()
+        return n
+
+    for text in pages:
+        block.append(text)
+        if len(block) == at_once:
+            total += flush()
+    return total + (flush() if block else 0)

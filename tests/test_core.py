@@ -252,6 +252,34 @@ def test_sections_and_majority(spark):
     assert [(r.g, r.label, r.share) for r in reports.majority(votes, "g", "l", "i").collect()] == [("g", "b", 0.5)]
 
 
+def test_resumed_stream(spark, tmp_path):
+    """Rows that arrive twice are answered once, also when a batch is run again."""
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    schema = "record_id string, task_type string, label_set string, gold_label string"
+    arrive = lambda n, ids: spark.createDataFrame([(i, "classification", '["a", "b"]', "a") for i in ids], schema).coalesce(1).write.mode("append").json(str(source))
+    run = lambda: events.answer_stream(events.file_stream(spark, str(source), schema, 1), predict.stub_predictions, out, check).awaitTermination(120)
+    arrive(1, ["r1", "r2"])
+    run()
+    arrive(2, ["r2", "r3"])
+    run()
+    assert Counter(r.record_id for r in spark.read.json(out).collect()) == {"r1": 1, "r2": 1, "r3": 1}
+    # the same input from the start, as after a lost checkpoint
+    events.answer_stream(events.file_stream(spark, str(source), schema, 1), predict.stub_predictions, out, str(tmp_path / "again")).awaitTermination(120)
+    assert Counter(r.record_id for r in spark.read.json(out).collect()) == {"r1": 1, "r2": 1, "r3": 1}
+
+
+def test_pages(spark, tmp_path):
+    from datetime import date
+
+    def transport(url, body, headers, timeout):
+        start = int(url.rsplit("=", 1)[1])
+        return 200, json.dumps({"totalResults": 3, "vulnerabilities": [{"cve": {"id": f"{url[40:60]}-{start + i}"}} for i in range(min(2, 3 - start))]})
+
+    pages = http.fetch_pages(http.Client(transport), "http://feed.test/x", date(2020, 1, 1), date(2020, 2, 5), 2)
+    assert not isinstance(pages, list) and http.store_pages(spark, pages, str(tmp_path / "nvd"), 3) == 6
+    assert spark.read.text(str(tmp_path / "nvd")).count() == 6
+
+
 def test_contracts(spark):
     gold = spark.createDataFrame([("a", "s", "nowhere", "c", "t", None, "h", None, None, 2.0), ("a", "s", "network_intrusion", " ", "t", "train", "h", "x", None, 0.5)], "record_id string, source_id string, domain string, category string, task_type string, split string, dedup_hash string, raw_text string, normalized_text string, quality_score double")
     issues = Counter(r.issue for r in validate.unified_issues(gold).collect())
