@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gritmill.functions.text import clean_source
 from gritmill.llm.ranking import salted_rank
+from gritmill.llm.store import saved
 
 
 def quality_key(score: Column) -> Column:
@@ -23,12 +24,12 @@ def rank_contributors(df: DataFrame, contributor: Column, identifier: str, score
     """
     narrow = df.select(F.col(identifier).alias("identifier"), contributor.alias("contributor"), F.col(score).alias("score"))
     once = narrow.where("identifier is not null").groupBy("identifier").agg(F.min("contributor").alias("contributor"), F.max(F.struct(quality_key(F.col("score")).alias("key"), F.col("score").alias("score"))).alias("best"))
-    rows = once.select("identifier", "contributor", "best.key", "best.score")
+    # counts, ranks and the total need the narrow rows; the table itself is read once
+    rows = saved(once.select("identifier", "contributor", "best.key", "best.score"))
+    allowed = rows.count() * percent // 100
+    allowed = allowed if max_count is None else min(allowed, max_count)
     ranked = salted_rank(rows, "contributor", "key", "identifier")
-    total = rows.agg(F.count("*").alias("__gm_total"))
-    limit = F.floor(F.col("__gm_total") * percent / 100) if max_count is None else F.least(F.floor(F.col("__gm_total") * percent / 100), F.lit(max_count))
-    ranked = ranked.join(F.broadcast(total))  # one row
-    return ranked.withColumn("allowed", F.when(F.col("contributor").isNotNull(), limit.cast("long"))).drop("__gm_total", "key")
+    return ranked.withColumn("allowed", F.when(F.col("contributor").isNotNull(), F.lit(allowed).cast("long"))).drop("key")
 
 
 def cap_contributors(df: DataFrame, contributor: Column, identifier: str, score: str, percent: int, max_count: int | None = None) -> DataFrame:

@@ -12,17 +12,23 @@ from gritmill.session import ensure_checkpoint_dir
 _written: list[tuple[object, str]] = []
 
 
-def _clear() -> None:
+def clear_saved() -> list[str]:
+    """Removes all tables written so far, once their results are no longer read; returns the paths that could not be removed.
+
+    A long-lived driver calls it between jobs; it is called when the driver ends.
+    """
+    failed = []
     for jvm, path in _written:
         try:
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
         except Exception:  # noqa: BLE001 - the session may be gone, then the folder's owner clears it
-            pass
+            failed.append(path)
     _written.clear()
+    return failed
 
 
-atexit.register(_clear)
+atexit.register(clear_saved)
 
 
 def saved(df: DataFrame) -> DataFrame:
