@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from gritmill.functions import classify, hashing
 from gritmill.functions.text import filled
-from gritmill.operators.bounded import broadcast_below
 
 INPUT_LENGTH = 4000
 # Fixed value: what each benchmark row says on its safe use.
 SAFETY = "Benchmark input is derived from local normalized silver rows; do not execute code, visit URLs, or run samples."
-MAX_BROADCAST_STRATA = 100_000
 
 
 def input_text() -> Column:
@@ -54,8 +52,8 @@ def label_sets(gold: DataFrame, head: str, task: str) -> DataFrame:
 
 
 def with_label_sets(gold: DataFrame, head: str, task: str) -> DataFrame:
-    sets = broadcast_below(label_sets(gold, head, task), MAX_BROADCAST_STRATA)
-    return gold.join(sets, [head, task], "left")
+    """Adaptive execution broadcasts the sets where they are small; a count beforehand would run the whole plan above them twice."""
+    return gold.join(label_sets(gold, head, task), [head, task], "left")
 
 
 def stratified_cap(df: DataFrame, most: int, strata: list[str], identifier: str, seed: int = 42) -> DataFrame:
@@ -80,7 +78,7 @@ def stratified_cap(df: DataFrame, most: int, strata: list[str], identifier: str,
     condition = F.lit(True)
     for c in strata:
         condition = condition & F.col(c).eqNullSafe(F.col(f"__gm_{c}"))
-    rows = keyed.join(broadcast_below(renamed, MAX_BROADCAST_STRATA), condition)
+    rows = keyed.join(renamed, condition)
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy("__gm_h", identifier))
     # a row beyond twice the size can be neither drawn nor filled in; a literal bound lets Spark limit each stratum before the shuffle
     rows = rows.withColumn("__gm_rank", rank).where(F.col("__gm_rank") <= 2 * max(1, most))

@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gritmill.functions.text import as_col, normalised, tokens
-from gritmill.operators.bounded import broadcast_below
 
 # Weights of the metric groups in the overall score.
 WEIGHTS = {"classification": 0.50, "generation": 0.15, "knowledge": 0.20, "reasoning": 0.15}
-MAX_BROADCAST_SLICES = 100_000
 
 
 def join_predictions(gold: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -91,7 +89,7 @@ def rank_auc(rows: DataFrame, true: str, score: str, position: str, by: list[str
     at = used.groupBy(*by, F.col(score).alias("s")).agg(F.count("*").alias("n"))
     below = at.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     tied = used.withColumn("s", F.col(score)).withColumn("own", F.row_number().over(Window.partitionBy(*by, "s").orderBy(position)))
-    ranked = tied.join(below, [*by, "s"]).join(broadcast_below(classes, MAX_BROADCAST_SLICES), by)
+    ranked = tied.join(below, [*by, "s"]).join(classes, by)
     hit = F.col(true) == F.col("positive")
     sums = ranked.groupBy(*by).agg(F.sum(F.when(hit, F.col("before") + F.col("own"))).alias("ranks"), F.count_if(hit).alias("p"), F.count_if(~hit).alias("q"))
     p, q = F.col("p"), F.col("q")
