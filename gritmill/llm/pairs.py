@@ -4,7 +4,7 @@ A multi-label linear classifier over hashed word n-grams of the answer and featu
 corpus and on copies of them broken on purpose (emptied, cut, copied from the prompt, swapped with an answer of another language,
 refused). Exact conditions (a label, a part of one, an unfinished sentence, the share of the prompt that is repeated, a language that
 nobody asked for) are features beside others, not decisions. Each label's score is calibrated and its threshold set on pairs that
-the weights have not seen, with families of refusals that are kept apart for it. Only a copy is checked exactly afterwards.
+the weights have not seen, with families of refusals that are kept apart for it. Copies and languages are checked exactly afterwards.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from gritmill.llm.words import words
 
 DEFECTS = ("empty", "truncated", "refusal", "copied", "other_language")
 _ORDER = ("empty", "copied", "refusal", "other_language", "truncated")
+#: Defects that decide whatever else a pair looks like.
+FIRST = ("empty", "copied")
 #: Pairs of the training sample at most, taken by the hash of their key, characters of one of them, and pairs of each kind (one word, or
 #: more) of which broken copies are made: the bounds of the only sampled step.
 TRAINING_PAIRS, TRAINING_LENGTH, BROKEN_FROM = 3_000, 100_000, 500
@@ -49,7 +51,7 @@ LABELS = frozenset(
 #: Words for null.
 NULL_WORDS = frozenset("none null nan nil na nat undefined void empty missing".split())
 _IDENTIFIER = re.compile(r"(?:CVE-\d{4}-\d{4,}|CWE-\d{1,5}|CAPEC-\d{1,4}|GHSA(?:-[0-9a-z]{4}){3}|T\d{4}(?:\.\d{3})?|(?:TA|S|G|M)\d{4})", re.IGNORECASE)
-_PART_OF_IDENTIFIER = re.compile(r"(?:C|CV|CVE|CVE-|CVE-\d{1,4}|CVE-\d{4}-\d{0,3}|CW|CWE|CWE-|CA|CAPE?C?-?|GHSA?(?:-[0-9a-z]{0,4}){0,3}|T|T\d{1,3}|T\d{4}\.\d{0,2}|TA\d{0,3})", re.IGNORECASE)
+_PART_OF_IDENTIFIER = re.compile(r"(?:C|CV|CVE|CVE-|CVE-\d{1,4}|CVE-\d{4}-\d{0,3}|CW|CWE|CWE-|CA|CAPE?C?-?|GHSA?(?:-[0-9a-z]{0,4}){0,3}|T|T\d{1,3}|T\d{4}\.\d{0,2}|TA\d{0,3}|[SGM]\d{1,3})", re.IGNORECASE)
 _ENDS_WELL = re.compile(r"(?:[.!?。！？।؟۔…]|[^\W\d_]\.?\s?[\U0001F300-\U0001FAFF☀-➿]️?)[\s\"”»“’'」』）)\]]*$")
 _INSTRUCTED = re.compile(r"[a-z][a-z_]+(?=\s*[,;?.|\]]|$)")
 
@@ -154,8 +156,8 @@ class Prompt:
 
     def words(self) -> tuple[list[str], ...]:
         if self._words is None:
-            own = words(self.record)
-            self._words = (own,) if self.record == self.text else (own, words(self.text))
+            own = units(self.record)
+            self._words = (own,) if self.record == self.text else (own, units(self.text))
         return self._words
 
     def languages(self) -> set[str]:
@@ -177,6 +179,17 @@ class Pair:
         self.prompt, self.answer, self.broken = prompt, (answer or "").strip(), broken
 
 
+_UNSPACED = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff]")
+
+
+def units(text: str) -> list[str]:
+    """Words, or single characters of words in scripts without blanks."""
+    found = words(text)
+    if text.isascii() or not _UNSPACED.search(text):
+        return found
+    return [c for w in found for c in (w if _UNSPACED.search(w) else (w,))]
+
+
 def cover_of(pair: Pair, answer_words: list[str]) -> float:
     """The larger share of the record or the prompt that the answer repeats in order; 0 where it is surely below a half."""
     best, there = 0.0, set(answer_words)
@@ -218,7 +231,7 @@ class Features:
             empty, label, identifier, part = not squeezed or squeezed in NULL_WORDS, False, False, False
         f = {"empty": empty, "label": label, "identifier": identifier, "part": part, "one": one, "broken": pair.broken, "cover": 0.0, "foreign": False, "unfinished": False, "size": 1, "tongue": None}
         if not (empty or label or identifier or part):
-            answer_words = words(a)
+            answer_words = units(a)
             f["size"] = len(answer_words)
             f["cover"] = cover_of(pair, answer_words) if len(answer_words) >= 4 else 0.0
             f["unfinished"] = not one and not _ENDS_WELL.search(a)
@@ -243,12 +256,16 @@ class Features:
         small = 8 * sum(map(_SMALL["en"].__contains__, w)) // max(1, len(w))
         tongue = "unknown" if f["tongue"] is None else "foreign" if f["foreign"] else "wanted"
         out += [f"made of {x}" for x in (f"{usual}, english={f['tongue'] == 'en'}", f"tongue={tongue}", f"{tongue}, english={min(small, 3)}", f"{tongue}, {usual}", f"sentences={min(4, len(_SENTENCE.split(lower.strip())))}")]
+        any_cue = False
         for sentence in _SENTENCE.split(lower):
             cues = [k for k, pattern in _CUES.items() if pattern.search(sentence)]
             for n in (1, 2, 3):
                 out += [f"cues={'+'.join(x)}" for x in itertools.combinations(cues, n)]
+            any_cue |= bool(cues)
             if "first" in cues and ("cannot" in cues or "refuse" in cues):
                 out.append(f"cues=i do not, {usual}")
+        if not any_cue:
+            out.append("cues=none")
         out += [f"3$ {x}" for x in w[-2:] if f["unfinished"]] + [f"1{x}" for x in w] + [f"2{x} {y}" for x, y in zip(w, w[1:])] + [f"3{x} {y} {z}" for x, y, z in zip(w, w[1:], w[2:])]
         # scripts without blanks go by runs of four characters
         for run in re.findall(r"[\u0900-\u0e7f\u3040-\u9fff]{4,}", lower):
@@ -278,13 +295,23 @@ class Classifier:
         return np.add.reduceat(self.weights[:, np.concatenate(slots)], firsts, axis=1).T * self.slope + self.offset
 
     def defects(self, pairs: list[Pair], slack: float = 0.0) -> list[str | None]:
-        """The first label of each pair, in the order of _ORDER, over its threshold less ``slack``; a copy is checked exactly."""
+        """The label of each pair over its threshold less ``slack``: empty or copied before others, else that of the highest score.
+
+        Copies, and languages that are the prompt's or asked for, are checked exactly.
+        """
         if not pairs:
             return []
         facts = [self.features.facts(p) for p in pairs]
         scores = self.scores([self.features.slots(p, f) for p, f in zip(pairs, facts)]) + slack
-        order = [DEFECTS.index(d) for d in _ORDER]
-        return [next((DEFECTS[k] for k in order if row[k] > 0 and (DEFECTS[k] != "copied" or f["cover"] >= COPIED_SHARE)), None) for row, f in zip(scores.tolist(), facts)]
+        out: list[str | None] = []
+        for row, f in zip(scores.tolist(), facts):
+            wrong = {"copied": f["cover"] < COPIED_SHARE, "other_language": f["tongue"] is not None and not f["foreign"]}
+            over = {d: z for d, z in zip(DEFECTS, row) if z > 0 and not wrong.get(d, False)}
+            if "refusal" in over:
+                # a refusal in another language is both
+                over.pop("other_language", None)
+            out.append(next((d for d in FIRST if d in over), max(over, key=over.get, default=None)))
+        return out
 
 
 def _fit(slots: list[list[int]], y: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarray:
@@ -334,7 +361,7 @@ def _broken_on_purpose(pair: Pair, others: list[str], features: Features, rng: r
     out = [(make(rng.choice(["", "  ", "\n", "null", "None", "N/A", "nan", "-", "...", "…", "{}", "[]", '""', "​", "n/a", "NIL", "undefined", "?", "--"])), "empty", frozenset())]
     out.append((make(phrases.refusal(rng, held_out)), "refusal", unsure))
     source = pair.prompt.record if rng.random() < 0.7 else pair.prompt.text
-    if len(words(source)) >= 8:
+    if len(units(source)) >= 8:
         text = source[: int(len(source) * rng.uniform(0.86, 1))] if rng.random() < 0.3 else source
         out.append((make(rng.choice([str, str.upper, str.lower, lambda t: f"Answer: {t}", lambda t: f"“{t}”", lambda t: "  ".join(t.split())])(text)), "copied", frozenset(("truncated", "other_language", "refusal"))))
     tongue, asked = rng.choice(phrases.LANGUAGES), asks_for(pair.prompt.text)
@@ -353,7 +380,7 @@ def _broken_on_purpose(pair: Pair, others: list[str], features: Features, rng: r
     elif len(a.split()) > 4:
         cut = a[: rng.randint(len(a) // 3, len(a) - 2)].rstrip() + rng.choice(["", "", ",", ":", " (see", " because", " and the", " which", " **"])
         if not _ENDS_WELL.search(cut):
-            out.append((make(cut, rng.random() < 0.1), "truncated", frozenset()))
+            out.append((make(cut, rng.random() < 0.3), "truncated", frozenset()))
     return out
 
 
@@ -407,7 +434,7 @@ def train(pairs: list[Pair], seed: int = 42) -> Classifier:
         if i % 2 == 0:
             text = phrases.lookalike(rng)
             own.append((Pair(p.prompt, text if rng.random() < 0.6 or " " not in p.answer else f"{text} {p.answer}"), None, frozenset(("other_language", "truncated"))))
-        if i % 10 == 0:
+        if i % 5 == 0:
             # a language that the prompt asks for
             tongue = rng.choice(phrases.LANGUAGES)
             name = LANGUAGE_NAMES[tongue].split("|")[0].capitalize()

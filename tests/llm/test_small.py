@@ -157,6 +157,8 @@ def test_unseen_wordings(pair_model):
         assert sum(d == defect for d in found) >= 0.9 * len(answers), (defect, list(zip(answers, found)))
     fine = ["benign", "ai_security_risk", "CVE-2021-12345", "T1059.003", "unknown", "The service is unable to start after the change, so the record describes an outage as well.", "I can see two causes in the record, and both are local.", "The loader copies keys of the host, and nobody is alerted."]
     assert pair_model.defects([pairs.Pair(prompt, a) for a in fine]) == [None] * len(fine)
+    han = "密钥服务在登录之前删除了失效的证书。伪造的登录页面复制了签名密钥。"
+    assert pair_model.defects([pairs.Pair(pairs.Prompt(han, han, han), han[:-4]), pairs.Pair(prompt, prompt.record[10:]), pairs.Pair(prompt, "S10")]) == ["copied", "copied", "truncated"]
     asked = pairs.Prompt(prompt.text + " Use Italian for the answer.", prompt.record, prompt.instruction)
     assert pair_model.defects([pairs.Pair(asked, UNSEEN["other_language"][0])]) == [None]
 
