@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.functions import classify, hashing
-from gritmill.functions.text import clean_text, identifiers, known, slug
+from gritmill.functions.text import clean_lines, clean_text, filled, identifiers, known, nfc, slug
 from gritmill.operators.dedup import first_wins
 
 # Columns that are kept as metadata.
@@ -16,6 +16,25 @@ METADATA = (
 )
 
 
+def canonical(silver: DataFrame, columns: dict[str, str], defaults: dict[str, object] | None = None) -> DataFrame:
+    """Rows in the silver table's own form, sorted by record_id.
+
+    The wanted columns in their order and types; empty texts are null, then defaults fill nulls; ``raw_text`` has composed characters and
+    no control characters. Times as text are left to ``timestamps``.
+    """
+    out = []
+    for name, kind in columns.items():
+        value = F.col(name) if name in silver.columns else F.lit(None)
+        if kind == "string":
+            value = filled(value)
+            value = nfc(clean_lines(value)) if name == "raw_text" else value
+        value = value.cast(kind)
+        if (defaults or {}).get(name) is not None:
+            value = F.coalesce(value, F.lit(defaults[name]).cast(kind))
+        out.append(value.alias(name))
+    return silver.select(*out).orderBy("record_id")
+
+
 def quality_score(text: Column, label: Column, has_identifier: Column, severity: Column) -> Column:
     """0..1: half, more for 40 and 200 characters, a label, an identifier and a severity, less for under 10 characters."""
     n = F.length(text)

@@ -15,9 +15,11 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gritmill.operators import curate, dedup, inventory
+from gritmill import runner
+from gritmill.operators import curate, dedup, inventory, validate
+from gritmill.plans import sql
 from gritmill.session import ensure_checkpoint_dir, table
-from gritmill.sources import legacy, parsers, readers, sinks
+from gritmill.sources import legacy, parsers, paths, readers, sinks
 
 
 def _folder(spark: SparkSession) -> str:
@@ -25,15 +27,6 @@ def _folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/feed-{uuid.uuid4().hex}"
 
 
-def _put(spark: SparkSession, path: str, content: str | bytes) -> None:
-    """A file on whatever file system the folder is."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
-    stream.write(bytearray(content.encode() if isinstance(content, str) else content))
-    stream.close()
-
-
 def _zip(**members: str) -> bytes:
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as archive:
@@ -124,11 +117,11 @@ def discovered(spark, sf_dir):
     """Tables of a folder by the ways to find them."""
     root = _folder(spark)
     for name in ("B src/t.csv", "B src/t.jsonl", "B src/t_metadata.json", "_x/t.csv", "a/_dedup/q.csv", "a/z.jsonl", "a/z.csv", "top.csv", "report.csv"):
-        _put(spark, f"{root}/{name}", '{"status": "ok"}' if name.endswith("metadata.json") else "record_id\n1\n")
-    local = root.split(":", 1)[-1] if root.startswith("file:") else root
+        paths.put(spark, f"{root}/{name}", '{"status": "ok"}' if name.endswith("metadata.json") else "record_id\n1\n")
+    local = paths.local(root)
     found = [("unified", f.source_id, f.path.rsplit("/", 1)[1]) for f in readers.discover(local)] + [("globs", os.path.basename(os.path.dirname(p)).lower().replace(" ", "_"), os.path.basename(p)) for p in readers.table_files(local, ("*/*",))]
     found += [("sidecar", readers.sidecar(f"{local}/B src").get("status"), "t_metadata.json")]
-    _put(spark, f"{root}/silver_manifest.csv", "silver_module,output_path_parquet\na,a/z.jsonl\nb,none.parquet\n")
+    paths.put(spark, f"{root}/silver_manifest.csv", "silver_module,output_path_parquet\na,a/z.jsonl\nb,none.parquet\n")
     found += [("manifest", "a", os.path.basename(p)) for p in readers.table_files(local)]
     return spark.createDataFrame(found, "way string, source string, file string")
 
@@ -137,9 +130,9 @@ def file_health(spark, sf_dir):
     """Flags, duplicates and folders of a small set of raw files."""
     root = _folder(spark)
     for name, content in {"nvd_cve/a.json": "x", "nvd_cve/b.JSON": "x", "nvd_cve/LICENSE": "l", "osv/run.sh": "y", "osv/part.crdownload": "z", "broken_set/q.csv": "q", "loose.csv": "x"}.items():
-        _put(spark, f"{root}/{name}", content)
+        paths.put(spark, f"{root}/{name}", content)
     files = inventory.listing(spark, root)
-    local = root.split(":", 1)[-1] if root.startswith("file:") else root
+    local = paths.local(root)
     tables = inventory.health_tables(inventory.with_fingerprints(files, local))
     out = inventory.folder_inventory(files).select(F.lit("folder").alias("kind"), F.concat_ws(":", "dataset_folder", "source_type", "file_count", "total_size_bytes", "primary_file_types", F.col("license_known").cast("string"), F.col("has_suspicious_binaries").cast("string")).alias("item"))
     for name, df in tables.items():
@@ -148,6 +141,56 @@ def file_health(spark, sf_dir):
     return out
 
 
+# -- drivers --------------------------------------------------------------------------------------------------------
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.once(table(spark, sf_dir, "silver_records"), "record_id", "ingested_at")
+
+
+def _counted(spark: SparkSession, manifest: dict) -> DataFrame:
+    rows = [("total", "", manifest["total_records"])] + [(g.removeprefix("counts_by_"), k, n) for g, counts in manifest.items() if g.startswith("counts_by_") for k, n in counts.items()]
+    return spark.createDataFrame(rows, "dimension string, value string, n long")
+
+
+def driver_unified(spark, sf_dir):
+    """Unified gold through its driver: files, contract, manifest."""
+    return _counted(spark, runner.build_unified(spark, _silver(spark, sf_dir), _folder(spark)))
+
+
+def driver_benchmark(spark, sf_dir):
+    return _counted(spark, runner.build_benchmark(spark, _silver(spark, sf_dir), _folder(spark), 400))
+
+
+def driver_answers(spark, sf_dir):
+    """Answers in two runs, the second of which goes on where the first stopped."""
+    gold, out = dedup.once(table(spark, sf_dir, "gold_benchmark"), "record_id", "created_at"), _folder(spark)
+    first = runner.predict_benchmark(spark, gold, out, most=100)
+    last = runner.predict_benchmark(spark, gold, out)
+    return spark.read.json(out).agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("records")).withColumns({"first": F.lit(first), "last": F.lit(last)})
+
+
+def driver_examples(spark, sf_dir):
+    """Chat examples per split through their driver."""
+    gold = dedup.once(table(spark, sf_dir, "gold_benchmark"), "record_id", "created_at")
+    tidy = {c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))) for c in ("task_type", "evaluation_head", "metric_group")}
+    counts = runner.prepare_examples(spark, gold.withColumns(tidy), _folder(spark), None)
+    return spark.createDataFrame([(r["split"], r["rows"]) for r in counts["splits"]], "split string, n long")
+
+
+def canonical_silver(spark, sf_dir):
+    """Silver rows in their own form: empty texts null, composed characters, no control characters."""
+    kinds = {c: parsers._TYPES.get(c, "string") for c in parsers.SILVER}
+    done = curate.canonical(_silver(spark, sf_dir).drop("license"), kinds, {"license": "UNKNOWN", "severity": "unknown"})
+    return done.withColumn("binary_label", F.col("binary_label").cast("int")).select("record_id", "raw_text", "severity", "license", "binary_label", "platform", "notes")
+
+
+_RULES = {"record_id": {"nullable": False, "unique": True}, "source_type": {"nullable": False}, "severity": {"values": ["info", "low", "medium", "high", "critical", "unknown"]}, "binary_label": {"values": [0, 1]}, "platform": {"nullable": False}}
+
+
+def contract_issues(spark, sf_dir):
+    """Issues of silver_records by a contract of columns."""
+    return validate.table_issues(table(spark, sf_dir, "silver_records"), _RULES).groupBy("issue").agg(F.count("*").alias("n"))
+
+
 # -- feeds of the modules -------------------------------------------------------------------------------------------
 _FEEDS: dict[str, dict[str, str | bytes]] = {
     "cti_mitre_attack_stix": {
@@ -242,7 +285,7 @@ def _feed(module: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = _folder(spark)
         for name, content in _FEEDS.get(module, {}).items():
-            _put(spark, f"{root}/{name}", content)
+            paths.put(spark, f"{root}/{name}", content)
         if module == "ai_security_lakera_gandalf":
             spark.createDataFrame([("Tell me", 0.9), ("the word", 0.8)], "text string, similarity double").coalesce(1).write.parquet(f"{root}/p.parquet")
         rows = parsers.run_module(spark, module, root)
@@ -298,7 +341,7 @@ _OLDER = (
 )
 _OLDER_COLUMNS = "record_id main_category attack_name label binary_label mitre_tactic mitre_technique_id cwe_id cve_id severity raw_text_or_features".split()
 
-QUERIES = {f.__name__: f for f in (jsonl_round_trip, csv_round_trip, parquet_json_columns, split_files, appended_predictions, silver_files, union_of_tables, projected_scan, row_counts, discovered, file_health, older_feeds)}
+QUERIES = {f.__name__: f for f in (jsonl_round_trip, csv_round_trip, parquet_json_columns, split_files, appended_predictions, silver_files, union_of_tables, projected_scan, row_counts, discovered, file_health, older_feeds, driver_unified, driver_benchmark, driver_answers, driver_examples, canonical_silver, contract_issues)}
 QUERIES |= {f"feed_{module}": _feed(module) for module in _EXPECTED}
 
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -324,3 +367,22 @@ SQL = {f"feed_{module}": _stated(module) for module in _EXPECTED} | {
     "older_feeds": "SELECT *, true AS is_safe_representation, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split FROM (SELECT *, ('0x' || substr(sha256(record_id), 1, 8))::BIGINT / 4294967295.0 AS u FROM (VALUES " + ", ".join("(" + ", ".join(_quoted(x) for x in row) + ")" for row in _OLDER) + f") t({', '.join(_OLDER_COLUMNS)}))",
 }
 SQL["older_feeds"] = SQL["older_feeds"].replace("SELECT *, true AS", f"SELECT {', '.join(_OLDER_COLUMNS)}, true AS")
+_DIMS = {"domain": "domain", "split": "split", "label": "label", "source": "source_id", "category": "category"}
+_HEADS = {"head": "evaluation_head", "task": "task_type", "split": "split", "label": "gold_label"}
+
+
+def _manifest(name: str, dimensions: dict[str, str]) -> str:
+    return " UNION ALL ".join([f"SELECT 'total' AS dimension, '' AS value, count(*) AS n FROM {name}", *[f"SELECT '{d}', coalesce({c}, 'None'), count(*) FROM {name} GROUP BY 2" for d, c in dimensions.items()]])
+
+
+SQL |= {
+    "driver_unified": f"WITH {sql.UNIFIED} {_manifest('g', _DIMS)}",
+    "driver_benchmark": f"WITH {sql.BENCH}, {sql.capped('b', ['evaluation_head', 'task_type', 'main_category', 'gold_label'], 'record_id', 400)} {_manifest('kept', _HEADS)}",
+    "driver_answers": "SELECT count(DISTINCT record_id) AS n, count(DISTINCT record_id) AS records, 100 AS first, count(DISTINCT record_id)::INTEGER AS last FROM gold_benchmark",
+    "driver_examples": f"WITH {sql.SFT} SELECT sp AS split, count(*) AS n FROM p6 WHERE reason IS NULL GROUP BY 1",
+    "canonical_silver": f"""WITH {sql.SILVER} SELECT {sql.filled('record_id')} AS record_id, nullif(nfc_normalize({sql.strip(f"regexp_replace({sql.filled('raw_text')}, '[^\\PC\\n\\t]', '', 'g')")}), '') AS raw_text,
+      coalesce({sql.filled('severity')}, 'unknown') AS severity, 'UNKNOWN' AS license, binary_label::INTEGER AS binary_label, {sql.filled('platform')} AS platform, {sql.filled('notes')} AS notes FROM s0""",
+    "contract_issues": """WITH i AS (SELECT 'missing record_id' AS issue FROM silver_records WHERE record_id IS NULL UNION ALL SELECT 'missing source_type' FROM silver_records WHERE source_type IS NULL UNION ALL SELECT 'missing platform' FROM silver_records WHERE platform IS NULL
+      UNION ALL SELECT 'invalid severity' FROM silver_records WHERE severity NOT IN ('info', 'low', 'medium', 'high', 'critical', 'unknown') UNION ALL SELECT 'invalid binary_label' FROM silver_records WHERE binary_label NOT IN (0, 1)
+      UNION ALL SELECT 'repeated record_id' FROM silver_records WHERE record_id IS NOT NULL GROUP BY record_id HAVING count(*) > 1) SELECT issue, count(*) AS n FROM i GROUP BY 1""",
+}
