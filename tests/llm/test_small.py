@@ -20,6 +20,18 @@ def md5(x):
     return hashlib.md5(x.encode()).hexdigest()
 
 
+def test_saved_tables_go(spark):
+    from gritmill.llm import store
+
+    df = spark.range(5)
+    kept = store.saved(df)
+    path = store._written[-1][1]
+    assert kept.count() == 5
+    assert store.clear_saved() == [] and not store._written
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+
+
 # 1 ---------------------------------------------------------------------------------------------------------------
 def test_capping(spark):
     rng = random.Random(1)
