@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,14 +120,3 @@ def card(manifest_: dict, title: str) -> str:
             lines += ["", f"## {group.removeprefix('counts_by_')}", "", "| value | records |", "| --- | ---: |"]
             lines += [f"| {k.replace('|', chr(92) + '|')} | {n} |" for k, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
     return "\n".join(lines) + "\n"
-
-
-def write_json(path: str, value: dict) -> None:
-    """Sorted keys; the file appears whole or not at all."""
-    import os
-
-    with open(f"{path}.tmp", "w", encoding="utf-8") as file:
-        json.dump(value, file, indent=2, sort_keys=True, ensure_ascii=False)
-    os.replace(f"{path}.tmp", path)
-
-

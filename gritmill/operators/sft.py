@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.functions import hashing
-from gritmill.functions.text import as_col, filled, json_text, normalised, strip, truncate_middle
+from gritmill.functions.text import filled, json_text, normalised, strip, truncate_middle
 from gritmill.operators.predict import parse_labels
 
 # Texts of prompts and answers, since hashes and stored examples depend on them.
