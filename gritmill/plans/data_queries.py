@@ -102,6 +102,23 @@ SQL: dict[str, str] = {
       SELECT parent_table, variant, count(*) AS records FROM t GROUP BY ALL""",
 }
 
+def _rows(parent_table: str, child: str, source: str, nested: bool, condition: str = "true") -> str:
+    above = "regexp_replace(p, '\\.?[0-9]+$', '')" if nested else "''"
+    return f"SELECT '{parent_table}' AS parent_table, '{child}' AS child, k, '{source}' || {above} AS above FROM {source} WHERE {condition}"
+
+
+_NEW, _OLD = "json_type(v, '$.CVE_data_meta') IS NULL", "json_type(v, '$.CVE_data_meta') IS NOT NULL"
+_EXECUTABLE, _FLOW = _ANY(("sections", "imports", "packer", "sha1", "entropy")), _ANY(("src", "dst", "sport", "dport", "proto", "sbytes", "dbytes"))
+_SUBTYPES = " UNION ALL ".join(
+    [_rows("nvd_items", c, t, nested) for c, t, nested in (("description", "ds", False), ("weakness_entry", "we", False), ("weakness", "wd", True), ("reference", "rf", False), ("reference_tag", "tg", True), ("configuration", "cf", False), ("node", "cn", True), ("cpe", "cm", True), ("node", "nd", False), ("cpe", "om", True), ("child_node", "oc", True), ("cpe_of_child", "cc", True), ("metric", "m31", False), ("metric_3", "m30", False))]
+    + [_rows("silver_records", c, t, nested) for c, t, nested in (("cwe", "cw", False), ("alias", "al", False), ("affected", "af", False), ("version", "vs", True), ("range", "rg", True), ("range_event", "ek", True), ("section", "sc", False), ("section_flag", "sf", True), ("import", "im", False))]
+    + [_rows("silver_records", "executable", "f", False, _EXECUTABLE), _rows("silver_records", "flow", "f", False, f"{_FLOW} AND NOT {_EXECUTABLE}")]
+)
+SQL["p5_subtypes"] = f"""WITH {_CHILDREN}, {_spread('m31', 'n', _AT('metrics.cvssMetricV31'))}, {_spread('m30', 'n', _AT('metrics.cvssMetricV30'))}, {_spread('al', 'f', _AT('aliases'))}, {_spread('vs', 'af', _AT('versions'))}, {_spread('sc', 'f', _AT('sections'))},
+  {_spread('sf', 'sc', _AT('flags'))}, {_spread('im', 'f', _AT('imports'))}, st AS ({_SUBTYPES})
+  SELECT parent_table, child, count(*) AS n, count(DISTINCT k) AS records, count(DISTINCT k || '/' || above) AS parents FROM st GROUP BY ALL"""
+
+
 _ZONES = {"UTC": 0, "GMT": 0, "UT": 0, "CET": 1, "CEST": 2, "EET": 2, "EEST": 3, "BST": 1, "IST": 5.5, "JST": 9, "KST": 9, "SGT": 8, "AEST": 10, "AEDT": 11, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
 _HOURS = "CASE upper(ab) " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _ZONES.items()) + " END"
 _CLEAN = "nullif(trim(regexp_replace(lower({}), '[^a-z0-9]+', '_', 'g'), '_'), '')"
